@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import fixed
+from millrace.functions.barrier import computed_once
 
 UNICODE = "(?U)"
 
@@ -37,7 +38,7 @@ def screen(df: DataFrame, message: str | None = None, answer: str | None = None)
         added["input_reason"] = input_reason(F.coalesce(F.col(message), F.lit("")))
     if answer:
         added["output_reason"] = output_reason(F.coalesce(F.col(answer), F.lit("")))
-    return df.withColumns(added)
+    return computed_once(df, added)
 
 
 def blocks(screened: DataFrame) -> DataFrame:

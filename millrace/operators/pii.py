@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import fixed
+from millrace.functions.barrier import computed_once
 
 
 def label_name(label: str, style: str) -> str:
@@ -52,8 +53,8 @@ def redact(df: DataFrame, fields: Sequence[str], style: str = "bracket", enabled
             for (label, _), before, after in zip(fixed.PII_PATTERNS, chain, chain[1:])
         ]
         out[f"{f}_found"] = F.coalesce(F.array_compact(F.array(*flags)), F.array().cast("array<string>"))
-    df = df.withColumns(out)
-    return df.withColumns({f: current[f] for f in fields}).drop(*steps)
+    out.update({f: current[f] for f in fields})
+    return computed_once(df, out).drop(*steps)
 
 
 def any_found(fields: Sequence[str]) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.config import QualityRules
 from millrace.functions import fixed, text
+from millrace.functions.barrier import computed_once
 
 NGRAM = 3
 
@@ -149,11 +150,8 @@ def gate(pairs: DataFrame, rules: QualityRules = QualityRules(), language: str |
     reason = F.when(steps[0][1], F.lit(steps[0][0]))
     for name, failed in steps[1:]:
         reason = reason.when(failed, F.lit(name))
-    return (
-        pairs.withColumns({"_qw": text.words(q), "_aw": text.words(a)})
-        .withColumn("reason", reason.otherwise(F.lit("ok")))
-        .drop("_qw", "_aw")
-    )
+    worded = pairs.withColumns({"_qw": text.words(q), "_aw": text.words(a)})
+    return computed_once(worded, {"reason": reason.otherwise(F.lit("ok"))}).drop("_qw", "_aw")
 
 
 def accepted(gated: DataFrame) -> DataFrame:

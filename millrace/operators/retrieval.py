@@ -107,11 +107,11 @@ def _nearest_blocks(queries: DataFrame, chunks: DataFrame, k: int) -> DataFrame:
     n_c = max(1, -(-chunks.count() // CHUNK_BLOCK))
     q = queries.select(
         F.lit(0).alias("side"), F.col("id").cast("long").alias("id"), "embedding",
-        F.pmod(F.xxhash64("id"), F.lit(n_q)).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).cast("long").alias("cb"),
+        F.pmod(F.xxhash64("id"), F.lit(n_q)).alias("qb"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_c - 1).cast("long"))).alias("cb"),
     )
     c = chunks.select(
         F.lit(1).alias("side"), F.col("id").cast("long").alias("id"), "embedding",
-        F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).cast("long").alias("qb"), F.pmod(F.xxhash64("id"), F.lit(n_c)).alias("cb"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_q - 1).cast("long"))).alias("qb"), F.pmod(F.xxhash64("id"), F.lit(n_c)).alias("cb"),
     )
 
     def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

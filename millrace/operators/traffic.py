@@ -25,7 +25,7 @@ def clamp_percent(raw: object) -> int:
 
 
 def clamp_percent_column(raw: Column) -> Column:
-    return F.greatest(F.lit(0), F.least(F.lit(100), F.coalesce(F.try_cast(F.trim(raw), "int"), F.lit(0))))
+    return F.greatest(F.lit(0), F.least(F.lit(100), F.coalesce(F.trim(raw).try_cast("int"), F.lit(0))))
 
 
 def variant(client: Column, percent: int) -> Column:

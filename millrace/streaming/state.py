@@ -2,7 +2,7 @@
 
 Rows are handled in arrival order, chunk by chunk; within a chunk they are put
 in time order. State per key is one small row and is removed by an event-time
-timer, so idle keys leave. Nothing of a key's rows is held beyond a chunk.
+timeout, so idle keys leave. Nothing of a key's rows is held beyond a chunk.
 """
 
 from __future__ import annotations
@@ -13,84 +13,70 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.streaming.runner import use_rocksdb
 
 MICROS = 1_000_000
 
 
-def _millis(micros: int) -> int:
-    return -(-int(micros) // 1000)
-
-
-class QuotaState(StatefulProcessor):
-    """State of one (client, minute): requests seen so far."""
-
-    def __init__(self, limit: int):
-        self.limit = limit
+def quota_stream(log: DataFrame, limit: int = 60, watermark: str = "5 minutes") -> DataFrame:
+    """Quota decisions on a stream of (request_id, client, ts).
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seen = handle.getValueState("seen", "n long")
+    The key includes the minute, so a busy client is spread over time. State: requests seen.
+    """
+    use_rocksdb(log.sparkSession)
+    t = F.unix_micros("ts")
+    keyed = log.withWatermark("ts", watermark).select(
+        "ts", "request_id", "client", t.alias("t"), F.floor(t / (60 * MICROS)).cast("long").alias("minute")
+    )
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def count(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         client, minute = key
-        before = self.seen.get()[0] if self.seen.exists() else 0
-        if before == 0:
-            self.handle.registerTimer((int(minute) + 1) * 60_000)
-        for chunk in rows:
+        seen = state.get[0] if state.exists else 0
+        for chunk in chunks:
             chunk = chunk.sort_values(["t", "request_id"])
-            number = np.arange(before + 1, before + 1 + len(chunk), dtype=np.int64)
-            before += len(chunk)
+            number = np.arange(seen + 1, seen + 1 + len(chunk), dtype=np.int64)
+            seen += len(chunk)
             yield pd.DataFrame(
                 {
                     "request_id": chunk["request_id"].to_numpy(),
                     "client": client,
                     "minute": int(minute),
                     "request_no": number,
-                    "allowed": number <= self.limit,
-                    "remaining": np.maximum(0, self.limit - number),
+                    "allowed": number <= limit,
+                    "remaining": np.maximum(0, limit - number),
                 }
             )
-        self.seen.update((int(before),))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.seen.clear()
-        return iter(())
+        state.update((int(seen),))
+        state.setTimeoutTimestamp(max((int(minute) + 1) * 60_000, state.getCurrentWatermarkMs() + 1))
 
-    def close(self) -> None:
-        pass
+    return keyed.groupBy("client", "minute").applyInPandasWithState(
+        count,
+        outputStructType="request_id long, client string, minute long, request_no long, allowed boolean, remaining long",
+        stateStructType="seen long",
+        outputMode="append",
+        timeoutConf=GroupStateTimeout.EventTimeTimeout,
+    )
 
 
-def quota_stream(log: DataFrame, limit: int = 60, watermark: str = "5 minutes") -> DataFrame:
-    """Quota decisions on a stream of (request_id, client, ts). The key includes the minute, so a busy client is spread over time."""
+def cache_stream(log: DataFrame, ttl_s: int = 3600, watermark: str = "5 minutes") -> DataFrame:
+    """Hit or miss on a stream of cacheable requests (request_id, cache_key, ts, stores). State: expiry of the entry."""
     use_rocksdb(log.sparkSession)
-    t = F.unix_micros("ts")
+    ttl = ttl_s * MICROS
     keyed = log.withWatermark("ts", watermark).select(
-        "ts", "request_id", "client", t.alias("t"), F.floor(t / (60 * MICROS)).cast("long").alias("minute")
-    )
-    return keyed.groupBy("client", "minute").transformWithStateInPandas(
-        statefulProcessor=QuotaState(limit),
-        outputStructType="request_id long, client string, minute long, request_no long, allowed boolean, remaining long",
-        outputMode="Append",
-        timeMode="EventTime",
+        "ts", "request_id", "cache_key", "stores", F.unix_micros("ts").alias("t")
     )
 
-
-class CacheState(StatefulProcessor):
-    """State of one cache key: when the stored entry expires."""
-
-    def __init__(self, ttl_s: int):
-        self.ttl = ttl_s * MICROS
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.entry = handle.getValueState("entry", "until long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        until = self.entry.get()[0] if self.entry.exists() else None
-        for chunk in rows:
+    def look_up(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        until = state.get[0] if state.exists else None
+        for chunk in chunks:
             chunk = chunk.sort_values(["t", "request_id"])
             t, stores = chunk["t"].to_numpy(), chunk["stores"].to_numpy(dtype=bool)
             hit = np.zeros(len(t), dtype=bool)
@@ -104,7 +90,7 @@ class CacheState(StatefulProcessor):
                 if len(later) == 0:
                     break
                 at += int(later[0])
-                until = int(t[at]) + self.ttl
+                until = int(t[at]) + ttl
                 at += 1
             yield pd.DataFrame(
                 {
@@ -113,82 +99,61 @@ class CacheState(StatefulProcessor):
                     "cache_result": np.where(hit, "hit", "miss"),
                 }
             )
-        if until is not None:
-            self.entry.update((int(until),))
-            self.handle.registerTimer(_millis(until))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.entry.exists() and _millis(self.entry.get()[0]) <= expiredTimerInfo.getExpiryTimeInMs():
-            self.entry.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
-
-
-def cache_stream(log: DataFrame, ttl_s: int = 3600, watermark: str = "5 minutes") -> DataFrame:
-    """Hit or miss on a stream of cacheable requests (request_id, cache_key, ts, stores)."""
-    use_rocksdb(log.sparkSession)
-    keyed = log.withWatermark("ts", watermark).select(
-        "ts", "request_id", "cache_key", "stores", F.unix_micros("ts").alias("t")
-    )
-    return keyed.groupBy("cache_key").transformWithStateInPandas(
-        statefulProcessor=CacheState(ttl_s),
+        expiry_ms = None if until is None else -(-until // 1000)
+        if expiry_ms is not None and expiry_ms > state.getCurrentWatermarkMs():
+            state.update((int(until),))
+            state.setTimeoutTimestamp(expiry_ms)
+        elif state.exists:
+            state.remove()
+
+    return keyed.groupBy("cache_key").applyInPandasWithState(
+        look_up,
         outputStructType="request_id long, cache_key string, cache_result string",
-        outputMode="Append",
-        timeMode="EventTime",
+        stateStructType="until long",
+        outputMode="append",
+        timeoutConf=GroupStateTimeout.EventTimeTimeout,
     )
 
 
-class HoldState(StatefulProcessor):
-    """State of one alert: the breach it is in (start, last minute) and whether it has fired."""
+def alert_stream(signals: DataFrame) -> DataFrame:
+    """Firing alerts from a stream of (alert, minute, breached, hold_min), one row when a hold is complete.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.breach = handle.getValueState("breach", "started long, last long, fired boolean")
+    The input is per-minute signals, so its rate depends on the number of alerts
+    and not on the traffic. State: start and last minute of the breach, and whether it fired.
+    """
+    use_rocksdb(signals.sparkSession)
+    keyed = signals.select(
+        "alert", F.floor(F.unix_micros("minute") / (60 * MICROS)).cast("long").alias("m"), "breached", "hold_min"
+    )
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        started, last, fired = self.breach.get() if self.breach.exists() else (None, None, False)
-        for chunk in rows:
+    def hold(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        started, last, fired = state.get if state.exists else (None, None, False)
+        for chunk in chunks:
             chunk = chunk.sort_values("m")
             out = []
-            for m, breached, hold in zip(chunk["m"].tolist(), chunk["breached"].tolist(), chunk["hold_min"].tolist()):
+            for m, breached, wait in zip(chunk["m"].tolist(), chunk["breached"].tolist(), chunk["hold_min"].tolist()):
                 if not breached:
                     started, last, fired = None, None, False
                     continue
                 if started is None or m != last + 1:
                     started, fired = m, False
                 last = m
-                if not fired and m - started >= hold:
+                if not fired and m - started >= wait:
                     fired = True
                     out.append((key[0], started, m))
-            yield pd.DataFrame(out, columns=["alert", "started_min", "fired_min"]).astype(
-                {"alert": str, "started_min": np.int64, "fired_min": np.int64}
-            )
-        if started is None:
-            self.breach.clear()
-        else:
-            self.breach.update((int(started), int(last), bool(fired)))
-
-    def close(self) -> None:
-        pass
-
-
-def alert_stream(signals: DataFrame) -> DataFrame:
-    """Firing alerts from a stream of (alert, minute, breached, hold_min), one row when a hold is complete.
-
-    The input is per-minute signals, so its rate depends on the number of alerts
-    and not on the traffic.
-    """
-    use_rocksdb(signals.sparkSession)
-    keyed = signals.select(
-        "alert", F.floor(F.unix_micros("minute") / (60 * MICROS)).cast("long").alias("m"), "breached", "hold_min"
-    )
-    return keyed.groupBy("alert").transformWithStateInPandas(
-        statefulProcessor=HoldState(),
+            if out:
+                yield pd.DataFrame(out, columns=["alert", "started_min", "fired_min"])
+        if started is not None:
+            state.update((int(started), int(last), bool(fired)))
+        elif state.exists:
+            state.remove()
+
+    return keyed.groupBy("alert").applyInPandasWithState(
+        hold,
         outputStructType="alert string, started_min long, fired_min long",
-        outputMode="Append",
-        timeMode="None",
+        stateStructType="started long, last long, fired boolean",
+        outputMode="append",
+        timeoutConf=GroupStateTimeout.NoTimeout,
     ).select(
         "alert", F.timestamp_seconds(F.col("started_min") * 60).alias("started"),
         F.timestamp_seconds(F.col("fired_min") * 60).alias("fired_at"),
