@@ -54,7 +54,7 @@ measured AS (
     len(list_filter(aw, lambda x: trim(lower(x), {LANG}) IN {in_list(fixed.STOPWORDS)})) AS stops,
     rtrim(answer, E' \t\n\r\x0b\x0c') AS tail
   FROM worded),
-judged AS (
+judged AS MATERIALIZED (
   SELECT *, CASE
     WHEN nq = 0 THEN 'empty_question' WHEN na = 0 THEN 'empty_answer'
     WHEN nq NOT BETWEEN 3 AND 1200 THEN 'question_length'
@@ -105,7 +105,7 @@ def leak_norm(field: str) -> str:
 def shingled(src: str) -> str:
     return f"""
 toks AS (SELECT *, list_filter(string_split({norm('question')}, ' '), lambda x: x <> '') AS t FROM {src}),
-sh AS (
+sh AS MATERIALIZED (
   SELECT pos, array_to_string(t[1:4], ' ') AS block,
     list_distinct(CASE WHEN len(t) >= 3 THEN list_transform(range(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2])
       ELSE [array_to_string(t, ' ')] END) AS s
@@ -113,10 +113,10 @@ sh AS (
 
 # Greedy keep-first: rows with an earlier similar row, decided one after the other in order.
 GREEDY = f"""
-edges AS (
+edges AS MATERIALIZED (
   SELECT a.pos AS a, b.pos AS b FROM sh a JOIN sh b ON a.block = b.block AND a.pos < b.pos
   WHERE len(list_intersect(a.s, b.s)) >= {NEAR} * (len(a.s) + len(b.s) - len(list_intersect(a.s, b.s)))),
-late AS (SELECT b, list(a) AS before, row_number() OVER (ORDER BY b) AS i FROM edges GROUP BY b),
+late AS MATERIALIZED (SELECT b, list(a) AS before, row_number() OVER (ORDER BY b) AS i FROM edges GROUP BY b),
 walk AS (
   SELECT CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS dropped
   UNION ALL
@@ -127,7 +127,7 @@ gone AS (SELECT unnest(dropped) AS pos FROM (SELECT dropped FROM walk ORDER BY i
 
 def exact(src: str) -> str:
     return f"""
-numbered AS (SELECT *, row_number() OVER (PARTITION BY {norm('question')} ORDER BY pos) AS rn FROM {src})"""
+numbered AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY {norm('question')} ORDER BY pos) AS rn FROM {src})"""
 
 
 def curation(pairs: str) -> str:
@@ -181,7 +181,7 @@ golden AS (
          [w[-1] || '[.]'] AS banned, coalesce(CASE WHEN item_id % 5 > 0 THEN 'c' || (item_id % 5) END, 'uncategorized') AS category
   FROM words),
 answers AS (SELECT source AS model, doc_id % (SELECT count(*) FROM benchmark) AS case_id, text AS answer FROM documents),
-judged AS (
+judged AS MATERIALIZED (
   SELECT model, case_id, question, answer, category, must, hits,
     (len(must) = 0 OR len(list_filter(must, lambda p: regexp_matches(answer, p, 'i'))) > 0) AND len(hits) = 0 AS passed
   FROM (SELECT *, list_filter(banned, lambda p: regexp_matches(answer, p, 'i')) AS hits FROM answers JOIN golden USING (case_id)))"""

@@ -57,7 +57,7 @@ def report_document(
     nested = (
         dropped.groupBy(*columns).agg(F.sum("n").alias("n")).groupBy("category")
         .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("reason", "n")))).alias("m"))
-        .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "m")))).alias("drops_by_category"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("category", "m"))).alias("drops_by_category"))
     )
     found = entities.where((F.col("entity") != "records") & (F.col("n") > 0))
     scrubbed = entities.where(F.col("entity") == "records").agg(F.max("n").alias("records_with_pii_scrubbed"))

@@ -128,21 +128,20 @@ def alert_stream(signals: DataFrame) -> DataFrame:
 
     def hold(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         started, last, fired = state.get if state.exists else (None, None, False)
-        for chunk in chunks:
-            chunk = chunk.sort_values("m")
-            out = []
-            for m, breached, wait in zip(chunk["m"].tolist(), chunk["breached"].tolist(), chunk["hold_min"].tolist()):
-                if not breached:
-                    started, last, fired = None, None, False
-                    continue
-                if started is None or m != last + 1:
-                    started, fired = m, False
-                last = m
-                if not fired and m - started >= wait:
-                    fired = True
-                    out.append((key[0], started, m))
-            if out:
-                yield pd.DataFrame(out, columns=["alert", "started_min", "fired_min"])
+        minutes = pd.concat(list(chunks)).sort_values("m")  # one row per minute of the batch
+        out = []
+        for m, breached, wait in zip(minutes["m"].tolist(), minutes["breached"].tolist(), minutes["hold_min"].tolist()):
+            if not breached:
+                started, last, fired = None, None, False
+                continue
+            if started is None or m != last + 1:
+                started, fired = m, False
+            last = m
+            if not fired and m - started >= wait:
+                fired = True
+                out.append((key[0], started, m))
+        if out:
+            yield pd.DataFrame(out, columns=["alert", "started_min", "fired_min"])
         if started is not None:
             state.update((int(started), int(last), bool(fired)))
         elif state.exists:
