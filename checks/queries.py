@@ -16,7 +16,7 @@ from millrace.operators import (
 )
 from millrace.plans import curate as curate_plan
 from millrace.plans import traffic_report
-from millrace.session import scratch_path
+from millrace.session import materialize, scratch_path
 from millrace.sources import readers
 from millrace.sources.tables import (
     conversation_pairs, document_answers, document_prompts, request_log, table,
@@ -161,7 +161,7 @@ def shingle_overlap(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def near_dedup_kept(spark: SparkSession, sf: str) -> DataFrame:
     """D6 after D2: greedy keep-first near-duplicate flags."""
-    unique = dedup.flag_exact_duplicates(document_prompts(spark, sf)).where(~F.col("exact_dup"))
+    unique = materialize(dedup.flag_exact_duplicates(document_prompts(spark, sf)).where(~F.col("exact_dup")), "unique")
     return dedup.flag_near_duplicates(unique, NEAR_THRESHOLD).select(F.col("pos").alias("doc_id"), "near_dup")
 
 

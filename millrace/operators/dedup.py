@@ -7,7 +7,8 @@ with the same first four tokens has word-3-gram Jaccard >= threshold.
 The result is exact; the candidates are reduced in steps that cannot lose a pair:
 
 1. Rows with the same block and shingle set collapse to the earliest. A set that
-   cannot reach the threshold against any other set needs no comparison.
+   cannot reach the threshold against any other set, or is alone in its block,
+   needs no comparison.
 2. Any two sets at or above the threshold share one of their first
    ``size - ceil(threshold * size) + 1`` shingles in any common order. The order
    puts frequent shingles last, so buckets of rows sharing such a shingle are small.
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text
+from millrace.functions.groups import with_shared_size
 from millrace.session import materialize
 
 PAIR_LIMIT = 64
@@ -95,29 +97,6 @@ def _prefix_entries(sets: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def _with_bucket_size(entries: DataFrame) -> DataFrame:
-    """Add ``n``, the rows sharing (block, t), without gathering a large bucket in one task.
-
-    Sizes come from a combined count. Rows of the few very large buckets find
-    theirs in a bounded broadcast table; all others join on a key that is then
-    known to be small.
-    """
-    key = ["block", "t"]
-    counts = materialize(entries.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bucket-sizes")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    large = max(10_000, total // HOT_SHINGLES)
-    big = F.broadcast(counts.where(F.col("n") > large).withColumnRenamed("n", "_big"))  # <= HOT_SHINGLES rows
-    tagged = entries.join(big, key, "left")
-    known = tagged.where(F.col("_big").isNotNull()).select("pos", *key, "size", F.col("_big").alias("n"))
-    rest = (
-        tagged.where(F.col("_big").isNull())
-        .drop("_big")
-        .join(counts.where(F.col("n") <= large), key)
-        .select("pos", *key, "size", "n")
-    )
-    return known.unionByName(rest)
-
-
 def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Verified (a, b) among candidate pairs. Each row takes part in a bounded number of them."""
     sa = sets.select(F.col("pos").alias("a"), F.col("sh").alias("_sa"))
@@ -177,18 +156,23 @@ def _swept(kept_hot: DataFrame, rest: DataFrame, sets: DataFrame, threshold: flo
 
 def near_duplicates(df: DataFrame, threshold: float, pos: str = "pos", field: str = "question") -> DataFrame:
     """Positions of the rows that greedy keep-first removal drops."""
-    sets = materialize(shingle_table(df, pos, field), "shingles")
+    sh = F.col("sh")
+    sets = shingle_table(df, pos, field).withColumns(
+        {"size": F.size(sh), "h1": F.xxhash64(sh), "h2": F.xxhash64(F.lit(7), sh)}
+    )
+    sets = materialize(sets, "shingles")
 
-    identity = sets.select("pos", "block", F.xxhash64("sh").alias("_h1"), F.xxhash64(F.lit(7), F.col("sh")).alias("_h2"))
-    first = identity.groupBy("block", "_h1", "_h2").agg(F.min("pos").alias("pos")).select("pos")
-    size = F.size("sh")
+    # One row per (block, shingle set), from narrow columns only.
+    first = sets.groupBy("block", "h1", "h2").agg(F.min("pos").alias("pos"), F.max("size").alias("size"))
+    first = materialize(first.select("pos", "block", "size"), "near-first")
+    copies = sets.select("pos").join(first.select("pos"), "pos", "left_anti")
     # A set of this size can match another one only if gaining one element keeps it at the threshold.
-    usable = sets.join(first, "pos", "left_semi").where(size / (size + 1) >= threshold)
-    usable = materialize(usable, "near-sets")
-    copies = sets.select("pos").join(first, "pos", "left_anti")
+    able = first.where(F.col("size") / (F.col("size") + 1) >= threshold)
+    blocked = with_shared_size(able, ["block"], "block-sizes").select("pos")
+    usable = materialize(sets.select("pos", "block", "sh").join(blocked, "pos", "left_semi"), "near-sets")
 
     prefixes = materialize(_prefix_entries(usable, threshold), "near-prefixes")
-    entries = materialize(_with_bucket_size(prefixes), "near-entries")
+    entries = materialize(with_shared_size(prefixes, ["block", "t"], "bucket-sizes"), "near-entries")
     small = entries.where(F.col("n") <= PAIR_LIMIT)
     edges = materialize(_similar(_pairs_within(small, threshold), usable, threshold), "near-edges")
     hot = entries.where(F.col("n") > PAIR_LIMIT)
