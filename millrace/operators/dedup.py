@@ -98,11 +98,16 @@ def _prefix_entries(sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Verified (a, b) among candidate pairs. Each row takes part in a bounded number of them."""
+    """Verified (a, b) among candidate pairs. Each row takes part in a bounded number of them.
+
+    The pairs are written first: with their size known, few of them are broadcast
+    to the sets, which then need not shuffle.
+    """
+    pairs = materialize(pairs.select("a", "b").distinct(), "near-pairs")
     sa = sets.select(F.col("pos").alias("a"), F.col("sh").alias("_sa"))
     sb = sets.select(F.col("pos").alias("b"), F.col("sh").alias("_sb"))
     return (
-        pairs.select("a", "b").distinct().join(sa, "a").join(sb, "b")
+        pairs.join(sa, "a").join(sb, "b")
         .where(text.jaccard(F.col("_sa"), F.col("_sb")) >= threshold)
         .select("a", "b")
     )

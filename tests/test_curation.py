@@ -155,7 +155,7 @@ def test_near_duplicates_against_a_sequential_scan(spark, monkeypatch, pair_limi
     rng = random.Random(7)
     base = [f"v{i}" for i in range(30)]
     rows = []
-    for pos in range(160):
+    for pos in range(100):
         w = list(base) if pos % 3 else [rng.choice(base) for _ in range(30)]
         for _ in range(rng.randint(0, 6)):
             w[rng.randint(4, 29)] = f"z{rng.randint(0, 5)}"

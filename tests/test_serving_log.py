@@ -240,3 +240,40 @@ def test_drift_policy(spark):
     assert got["topics"][1] == "urgent" and got["topics"][2][0].startswith("data drift: 45% of prompts")
     assert got["edge"][1] == "urgent"  # .92 - .87 exceeds .05 in double arithmetic
     assert got["slow"][2] == ["p95 latency 3.2s over SLO 3s"]
+
+
+# ---------------------------------------------------------------- jobs
+
+
+def test_evaluation_job(spark):
+    from millrace.plans.evaluate import evaluate, report_document
+
+    g = golden(spark, [(i, f"q{i}", [f"a{i}\\b"], ["bad"], "c") for i in range(5)])
+    answers = [("new", i, f"A{i} it is") for i in range(5)] + [("old", i, f"a{i}") for i in range(4)] + [("old", 4, "bad a4")]
+    a = spark.createDataFrame(answers, "model string, case_id long, answer string")
+    got = {r["model"]: r for r in report_document(evaluate(a, g, baseline_model="old")).collect()}
+    assert got["new"]["pass_rate"] == 1.0 and got["new"]["decision"]["approved"]
+    assert got["old"]["passed"] == 4 and got["old"]["per_category"]["c"]["total"] == 5
+
+
+def test_observation_job(spark, sf_dir):
+    from checks.queries import _classified
+    from millrace.plans.observe import observe
+    from millrace.session import materialize
+
+    classified = materialize(_classified(spark, sf_dir), "classified")
+    tables = observe(classified)
+    counted = classified.where("counted").count()
+    assert tables["requests"].agg(F.sum("n")).first()[0] == counted
+    assert tables["rate_5m"].agg(F.sum("n")).first()[0] == 5 * counted
+    top = tables["latency"].where(F.col("le") == float("inf")).agg(F.sum("n")).first()[0]
+    assert top == classified.where("latency_observed").count()
+    assert {r["kind"] for r in tables["upstream_errors"].collect()} == {"timeout", "unavailable", "error"}
+
+
+def test_golden_lint(spark):
+    rows = [(i, "q", ["a"], ["b"], "c") for i in range(20)]
+    assert evaluation.lint_golden(golden(spark, rows)).first()["sound"]
+    assert not evaluation.lint_golden(golden(spark, rows[:19])).first()["sound"]
+    with pytest.raises(Exception, match="(?i)regex|pattern"):
+        evaluation.lint_golden(golden(spark, [(0, "q", ["(?P<x>a"], ["b"], "c")])).collect()
