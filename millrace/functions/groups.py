@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.session import materialize
@@ -13,8 +13,10 @@ LISTED_GROUPS = 20_000
 SMALLEST_LARGE = 10_000
 
 
-def with_shared_size(rows: DataFrame, keys: Sequence[str], label: str, out: str = "n") -> DataFrame:
-    """Rows of groups with at least two members, with the group's size.
+def with_shared_size(
+    rows: DataFrame, keys: Sequence[str], label: str, out: str = "n", extra: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Rows of groups with at least two members, with the group's size and any ``extra`` aggregates.
 
     Sizes come from a combined count. Rows of the few very large groups find
     theirs in a broadcast table, which has at most ``LISTED_GROUPS`` rows because
@@ -23,7 +25,8 @@ def with_shared_size(rows: DataFrame, keys: Sequence[str], label: str, out: str
     and should be a written table or cheap.
     """
     keys = list(keys)
-    counts = materialize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(out)).where(F.col(out) > 1), label)
+    more = [c.alias(name) for name, c in (extra or {}).items()]
+    counts = materialize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(out), *more).where(F.col(out) > 1), label)
     total = counts.agg(F.sum(out)).first()[0] or 0
     if total <= SMALLEST_LARGE:
         return rows.join(counts, keys)
@@ -31,5 +34,5 @@ def with_shared_size(rows: DataFrame, keys: Sequence[str], label: str, out: str
     listed = F.broadcast(counts.where(F.col(out) > large).withColumnRenamed(out, "_big"))
     tagged = rows.join(listed, keys, "left")
     known = tagged.where(F.col("_big").isNotNull()).withColumnRenamed("_big", out)
-    rest = tagged.where(F.col("_big").isNull()).drop("_big").join(counts.where(F.col(out) <= large), keys)
+    rest = tagged.where(F.col("_big").isNull()).drop("_big", *(extra or {})).join(counts.where(F.col(out) <= large), keys)
     return known.unionByName(rest)

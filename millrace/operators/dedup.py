@@ -12,6 +12,7 @@ The result is exact; the candidates are reduced in steps that cannot lose a pair
 2. Any two sets at or above the threshold share one of their first
    ``size - ceil(threshold * size) + 1`` shingles in any common order. The order
    puts frequent shingles last, so buckets of rows sharing such a shingle are small.
+   A bucket of more than ``SPLIT_ROWS`` is split by a second shared shingle.
 3. Buckets of at most ``PAIR_LIMIT`` rows are compared pairwise, once.
 4. Larger buckets are never paired in full. Each round compares the earliest
    undecided rows of the bucket with each other, and only those of them that are
@@ -22,7 +23,7 @@ The result is exact; the candidates are reduced in steps that cannot lose a pair
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text
@@ -31,6 +32,8 @@ from millrace.session import materialize
 
 PAIR_LIMIT = 64
 HOT_SHINGLES = 20_000
+SPLIT_ROWS = 1000
+SPLIT_KEYS = 64
 SALT_ROWS = 200_000
 MAX_HEADS = 1000  # up to this width the rank filter is applied before the shuffle
 EPS = 1e-9
@@ -80,21 +83,52 @@ def _hot_shingles(sets: DataFrame) -> DataFrame:
     )
 
 
-def _prefix_entries(sets: DataFrame, threshold: float) -> DataFrame:
-    """One row per (row, prefix shingle): (pos, block, t, size)."""
+def _required(size: Column, threshold: float) -> Column:
+    """Common elements any partner at the threshold must share with a set of this size."""
+    return F.ceil(F.lit(threshold) * size - EPS).cast("int")
+
+
+def _prefixes(sets: DataFrame, threshold: float) -> DataFrame:
+    """(pos, block, size, p): the shingles a similar set may start with, and one more."""
     hot = F.broadcast(_hot_shingles(sets))  # bounded by HOT_SHINGLES entries
     size = F.size("sh")
-    length = size - F.ceil(F.lit(threshold) * size - EPS) + 1
     none = F.array().cast("array<bigint>")
     ordered = F.concat(
         F.array_except("sh", F.coalesce("hot", none)),
         F.array_intersect(F.coalesce("hot", none), F.col("sh")),
     )
-    return (
-        sets.join(hot, "block", "left")
-        .select("pos", "block", size.alias("size"), F.slice(ordered, F.lit(1), length.cast("int")).alias("p"))
-        .select("pos", "block", "size", F.explode("p").alias("t"))
+    return sets.join(hot, "block", "left").select(
+        "pos", "block", size.alias("size"), F.slice(ordered, F.lit(1), size - _required(size, threshold) + 2).alias("p")
+    )
+
+
+def _entries(prefixes: DataFrame, threshold: float) -> DataFrame:
+    """Bucket entries (pos, block, t, size, n): one per (row, prefix shingle) shared with another row.
+
+    The k-th smallest common shingle of a similar pair lies among the first
+    ``size - required + k`` of both. So a large bucket can be split by a second
+    shingle, from the prefix extended by one, without losing a pair.
+    """
+    size = F.col("size")
+    first = F.slice("p", F.lit(1), size - _required(size, threshold) + 1)
+    single = prefixes.select("pos", "block", "size", F.explode(first).alias("t"))
+    single = materialize(single, "near-single")
+    extra = {"_max": F.max("size"), "_min": F.min("size")}
+    entries = materialize(with_shared_size(single, ["block", "t"], "bucket-sizes", extra=extra), "near-entries")
+    narrow = F.col("_max") - _required(F.col("_max"), threshold) + 1 <= SPLIT_KEYS
+    dense = (F.col("n") > SPLIT_ROWS) & narrow & (_required(F.col("_min"), threshold) >= 2)
+    split = entries.where(dense)
+    rest = entries.where(~dense).select("pos", "block", "t", "size", "n")
+    if split.isEmpty():
+        return rest
+    after = F.slice("p", F.array_position("p", F.col("t")).cast("int") + 1, F.size("p"))
+    pairs = (
+        split.select("pos", "t").join(prefixes, "pos")
+        .select("pos", "block", "size", "t", F.explode(after).alias("t2"))
+        .select("pos", "block", "size", F.xxhash64("t", "t2").alias("t"))
     )
+    pairs = with_shared_size(materialize(pairs, "near-double"), ["block", "t"], "bucket-sizes")
+    return rest.unionByName(pairs.select("pos", "block", "t", "size", "n"))
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -176,8 +210,8 @@ def near_duplicates(df: DataFrame, threshold: float, pos: str = "pos", field: st
     blocked = with_shared_size(able, ["block"], "block-sizes").select("pos")
     usable = materialize(sets.select("pos", "block", "sh").join(blocked, "pos", "left_semi"), "near-sets")
 
-    prefixes = materialize(_prefix_entries(usable, threshold), "near-prefixes")
-    entries = materialize(with_shared_size(prefixes, ["block", "t"], "bucket-sizes"), "near-entries")
+    prefixes = materialize(_prefixes(usable, threshold), "near-prefixes")
+    entries = _entries(prefixes, threshold)
     small = entries.where(F.col("n") <= PAIR_LIMIT)
     edges = materialize(_similar(_pairs_within(small, threshold), usable, threshold), "near-edges")
     hot = entries.where(F.col("n") > PAIR_LIMIT)

@@ -146,11 +146,11 @@ def test_chain_is_not_transitive(spark):
     assert near(spark, rows, 0.7) == {1}
 
 
-@pytest.mark.parametrize("pair_limit", [64, 3])
-@pytest.mark.parametrize("threshold", [0.5, 0.92])
-def test_near_duplicates_against_a_sequential_scan(spark, monkeypatch, pair_limit, threshold):
+@pytest.mark.parametrize("pair_limit,split_rows,threshold", [(64, 1000, 0.5), (3, 1000, 0.5), (3, 4, 0.6), (64, 4, 0.92)])
+def test_near_duplicates_against_a_sequential_scan(spark, monkeypatch, pair_limit, split_rows, threshold):
     """Templates sharing a block, many near copies: one block and one group hold most rows."""
     monkeypatch.setattr(dedup, "PAIR_LIMIT", pair_limit)
+    monkeypatch.setattr(dedup, "SPLIT_ROWS", split_rows)
     monkeypatch.setattr(dedup, "SALT_ROWS", 4)
     rng = random.Random(7)
     base = [f"v{i}" for i in range(30)]
