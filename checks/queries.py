@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,8 +35,15 @@ ALERTS = AlertRules(error_share=0.25, error_hold_min=2, p95_s=1.5, p95_hold_min=
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
-    return fn
+    """Register a query; it runs in UTC, the zone the tables' times are in."""
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def epoch(ts: Column) -> Column:

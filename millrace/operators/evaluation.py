@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.config import GateRules
 from millrace.functions import fixed
 
-FLAGS = "(?iu)"
+FLAGS = "(?iuU)"
 
 
 class GateBlocked(ValueError):

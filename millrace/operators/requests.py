@@ -181,8 +181,6 @@ def classify(facts: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- log lines
 
-LOG_SCHEMA = "ts double, event string, rid string, path string, status int, ms long"
-
 
 def parse_log(lines: DataFrame, column: str = "line") -> tuple[DataFrame, DataFrame]:
     """(events, quarantine) from JSON log lines; event-specific keys stay in ``extra``."""
