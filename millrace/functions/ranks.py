@@ -32,8 +32,8 @@ def bucketed_row_number(
     inner = Window.partitionBy(*keys).orderBy(*order)
     return (
         df.withColumn("_rn", F.row_number().over(inner))
-        .join(offsets, keys)
-        .withColumn(out, F.col("_before") + F.col("_rn"))
+        .join(offsets, keys, "left")  # keeps rows whose key is null
+        .withColumn(out, F.coalesce("_before", F.lit(0)) + F.col("_rn"))
         .drop("_before", "_rn")
     )
 

@@ -78,11 +78,12 @@ def assign(df: DataFrame, row_id: str, rules: SplitRules = SplitRules()) -> Data
     # One row per category, written first so that the planner knows its size.
     cuts = materialize(cuts, "split-cuts")
     label = (
-        F.when(F.col("_k") <= F.col("_train"), F.lit("train"))
+        F.when(F.col("_train").isNull() | (F.col("_k") <= F.col("_train")), F.lit("train"))
         .when(F.col("_k") <= F.col("_val"), F.lit("val"))
         .otherwise(F.lit("test"))
     )
-    return keyed.join(cuts, "category").withColumn("split", label).drop("_k", "_train", "_val")
+    # A row without a category is kept, for training.
+    return keyed.join(cuts, "category", "left").withColumn("split", label).drop("_k", "_train", "_val")
 
 
 def leaks(keys: DataFrame) -> DataFrame:

@@ -114,6 +114,8 @@ def test_split_membership(spark):
     big = [s for i, s in a.items() if i < 900]
     assert (big.count("train"), big.count("val"), big.count("test")) == (765, 90, 45)
     assert a[999] == "train"
+    loose = spark.createDataFrame([(1, None), (2, "c")], "id long, category string")
+    assert {r["id"]: r["split"] for r in split.assign(loose, "id").collect()} == {1: "train", 2: "train"}
 
 
 def test_leaks_count_extra_splits(spark):

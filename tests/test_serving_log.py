@@ -139,6 +139,7 @@ def test_quota(spark):
     assert [got[i][1] for i in range(5)] == [True, True, True, False, False]
     assert got[7] == (6, False, 0) and got[5] == (1, True, 2) and got[6] == (1, True, 2)
     assert traffic.quota(at(spark, rows), ServingLimits(quota_enabled=False)).where("not allowed").count() == 0
+    assert traffic.quota(at(spark, [(0, None, 1.0), (1, None, 1.5)])).count() == 2
 
 
 def cache_scan(rows, ttl):
