@@ -3,11 +3,15 @@ import pytest
 import __spark_entry__ as contract
 from checks.compare import connect, differences
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from checks.oracles import build
+from checks.queries import QUERIES
+
+ORACLES = build()
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
 
 
 def test_entry(spark):
