@@ -11,21 +11,39 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import packing
+from millrace.llm import langid, line_crf, packing, simhash
 from millrace.llm.common import table
 from millrace.llm.queries import BYTE_FILE
 from millrace.session import materialize
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and stand mostly in content lines."""
+    return line_crf.keep_good(docs, line_crf.train(docs, table(spark, sf_dir, "labels")))
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told."""
+    return langid.keep_known(docs, langid.train_on(docs))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash.keep_one(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path(BYTE_FILE))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
+    ("language", language),
+    ("near_dedup", near_dedup),
     ("packing", pack),
 ]
 
-#: No stage but the first can be said in SQL; the tests compare with brute force.
+#: Trained models and packing can't be said in SQL; the tests compare with brute force.
 ORACLE_SQL = None
 
 

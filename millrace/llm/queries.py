@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import encode, packing
+from millrace.llm import encode, langid, line_crf, packing, simhash
 from millrace.llm.common import table
 
 WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -18,12 +18,29 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.digests(encode.encode(docs, public_tokenizers.path(WORD_FILE), decoded=True))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.train_on(docs))
+
+
+def op8_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_crf.judge(docs, line_crf.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_FILE))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
+    "op7_language": op7_language,
+    "op8_line_crf": op8_line_crf,
+    "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
 }
 
