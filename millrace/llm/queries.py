@@ -7,17 +7,26 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import encode, langid, line_crf, packing, simhash
+from millrace.llm import encode, langid, license_scan, line_crf, packing, sharding, simhash
 from millrace.llm.common import table
 
 WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.summary(license_scan.detect(docs))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return encode.digests(encode.encode(docs, public_tokenizers.path(WORD_FILE), decoded=True))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.by_bytes(table(spark, sf_dir, "documents"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.train_on(docs))
@@ -37,11 +46,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": op1_licenses,
     "op3_bpe": op3_bpe,
+    "op4_sharding": op4_sharding,
     "op7_language": op7_language,
     "op8_line_crf": op8_line_crf,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_licenses": license_scan.oracle(),
+}

@@ -1,15 +1,15 @@
 """Shards of near-equal bytes by Karmarkar-Karp differencing; groups of equal texts stay whole.
 
-A partial partition is one total per shard with the groups behind it. Two of them are
+A partial partition is one total per shard with what is behind it. Two of them are
 combined by adding the largest total of one to the smallest of the other, and so on; the
-two with the largest spread go first, until one is left. The heap does this in two
-levels of the same kind: every bucket of groups (dealt by hash, so a bucket never holds
-more than its share) becomes one partial partition in a task, and the partial
-partitions of all buckets, one row of totals each, are combined on the driver. What the
-driver sees is buckets x shards numbers; the number of buckets is a parameter.
+two with the largest spread go first, until one is left. This runs on two levels: the
+groups of a bucket (dealt by hash) are differenced in a task into as many parcels as
+there are shards, and the parcels of all buckets are differenced on the driver into the
+shards. The driver sees buckets x shards numbers; a bucket stands for up to
+``BUCKET_ROWS`` rows.
 
-A group is larger than a shard's share if its text is so common; it then makes a shard
-of its own size, as no law on bytes can cut it.
+A group that is larger than a shard's share is a parcel, and then a shard, of its own;
+no law on bytes can cut it.
 
 Each text is read once, for its size, checksum and digest; all that follows runs on a
 narrow table. Slots are counted by (shard, part) and numbered within, a part holding a
@@ -126,12 +126,9 @@ def shards(docs: DataFrame, ways: int = SHARDS, buckets: int = BUCKETS, parts: i
     bucket = F.pmod(F.xxhash64("digest"), F.lit(buckets)).cast("int").alias("bucket")
     placed = materialize(_bucket_places(groups.select(bucket, "digest", "bytes"), ways), "places")
     totals = placed.groupBy("bucket", "place").agg(F.sum("bytes").alias("bytes")).collect()
-    by_bucket: dict[int, list[int]] = {}
-    for r in totals:
-        by_bucket.setdefault(r["bucket"], [0] * ways)[r["place"]] = r["bytes"]
-    start = [(sums, [b * ways + i for i in range(ways)]) for b, sums in sorted(by_bucket.items())]
-    final = difference(start)[1] if start else []
-    found = [(cell // ways, cell % ways, shard) for shard, content in enumerate(final) for cell in leaves(content)]
+    parcels = sorted((r["bucket"], r["place"], r["bytes"]) for r in totals)
+    _, shard_of = split([n for _, _, n in parcels], ways)
+    found = [(bucket, place, int(shard)) for (bucket, place, _), shard in zip(parcels, shard_of)]
     schema = "bucket int, place int, shard int"
     chosen = docs.sparkSession.createDataFrame(found, T._parse_datatype_string(schema))
     of_group = placed.join(F.broadcast(chosen), ["bucket", "place"]).select("digest", "shard")  # buckets x shards rows
