@@ -54,3 +54,21 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Rows that follow each other with equal whole-number values in the first ``keys`` columns, as one table each."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(i).to_numpy() for i in range(keys)]
+        changed = np.any([np.diff(c) != 0 for c in columns], axis=0)
+        cuts = [0, *(np.flatnonzero(changed) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if held and any(held[0].column(i)[0].as_py() != c[a].item() for i, c in enumerate(columns)):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import encode, langid, license_scan, line_crf, packing, sharding, simhash
+from millrace.llm import embedding_dedup, encode, langid, license_scan, line_crf, packing, sharding, simhash
 from millrace.llm.common import table
 
 WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -27,6 +27,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.by_bytes(table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.train_on(docs))
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op3_bpe": op3_bpe,
     "op4_sharding": op4_sharding,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op7_language": op7_language,
     "op8_line_crf": op8_line_crf,
     "op9_simhash": op9_simhash,
