@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import embedding_dedup, encode, langid, license_scan, line_crf, packing, sharding, simhash
+from millrace.llm import embedding_dedup, encode, langid, license_scan, line_crf, lm_score, packing, sharding, simhash
 from millrace.llm.common import table
 
 WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -18,6 +18,10 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.summary(license_scan.detect(docs))
 
 
+def op2_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return encode.digests(encode.encode(docs, public_tokenizers.path(WORD_FILE), decoded=True))
@@ -51,6 +55,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
+    "op2_hmm": op2_hmm,
     "op3_bpe": op3_bpe,
     "op4_sharding": op4_sharding,
     "op5_embedding_dedup": op5_embedding_dedup,
