@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import embedding_dedup, encode, langid, license_scan, line_crf, lm_score, packing, sharding, simhash
+from millrace.llm import embedding_dedup, encode, langid, license_scan, line_crf, lm_score, packing, sharding, simhash, wrapper
 from millrace.llm.common import table
 
 WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -35,6 +36,11 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op6_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrapper.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.train_on(docs))
@@ -59,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op4_sharding": op4_sharding,
     "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_wrappers": op6_wrappers,
     "op7_language": op7_language,
     "op8_line_crf": op8_line_crf,
     "op9_simhash": op9_simhash,
