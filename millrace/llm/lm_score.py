@@ -114,7 +114,7 @@ def _class_sizes(vocab: DataFrame, own: list[bytes]) -> np.ndarray:
     return np.where(np.arange(size) < OWN, n + SMOOTH, n + SMOOTH * (v + 1))
 
 
-def _encoded(docs: DataFrame, head: list[bytes], counts: np.ndarray) -> DataFrame:
+def _encoded(docs: DataFrame, head: list[bytes], counts: np.ndarray, norm: float) -> DataFrame:
     """Documents as classes, sums over frequent tokens, and lists of rare tokens."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((head, counts))
@@ -126,7 +126,7 @@ def _encoded(docs: DataFrame, head: list[bytes], counts: np.ndarray) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, found = shared.value
         index = {t: i for i, t in enumerate(words)}
-        logs = np.log10(found + SMOOTH)
+        logs = np.log10((found + SMOOTH) / norm)
         kind = np.array([i if i < OWN else shared_class(t) for i, t in enumerate(words)], np.uint16)
         for batch in batches:
             texts = texts_of(batch.column(3))
@@ -234,20 +234,21 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     vocab = materialize(vocabulary(docs.where(remainder(F.col("doc_id"), 10) != 0)), "vocabulary")
     total, distinct = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     head, counts = _head(vocab)
-    encoded = materialize(_encoded(docs, head, counts), "lm-rows")
+    norm = total + SMOOTH * (distinct + 1)
+    encoded = materialize(_encoded(docs, head, counts, norm), "lm-rows")
     sizes = _class_sizes(vocab, head[:OWN])
     scored = _likelihoods(encoded, _train(encoded, rounds), sizes)
     pairs = encoded.select("row", F.inline(F.arrays_zip("rare", "times"))).withColumnsRenamed({"rare": "token", "times": "n"})
     met = pairs.join(vocab, "token").groupBy("row").agg(
-        F.sum("n").alias("met"), F.sum(F.col("n") * F.log10(F.col("c") + SMOOTH)).alias("met_sum")
+        F.sum("n").alias("met"), F.sum(F.col("n") * F.log10((F.col("c") + SMOOTH) / norm)).alias("met_sum")
     )
     joined = scored.join(met, "row", "left").na.fill(0, ["met"]).na.fill(0.0, ["met_sum"])
     unseen = F.col("n_tokens") - F.col("n_head") - F.col("met")
-    logs = F.col("head_sum") + F.col("met_sum") + unseen * F.lit(log10(SMOOTH))
+    base = F.col("head_sum") + F.col("met_sum") + unseen * F.lit(log10(SMOOTH / norm))
     return joined.select(
         "doc_id", "held_out", "n_tokens",
         (F.col("n_head") + F.col("met")).alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),
-        (logs - F.col("n_tokens") * F.lit(log10(total + SMOOTH * (distinct + 1)))).alias("base_score"),
-        (logs + F.col("classes_log")).alias("score"),
+        base.alias("base_score"),
+        (base + F.col("n_tokens") * F.lit(log10(norm)) + F.col("classes_log")).alias("score"),
     )
