@@ -124,7 +124,7 @@ def read(page: str) -> Node:
             if first is not None and not node.apart:
                 del stack[first:]
         stack[-1].kids.append(node)
-        if tag not in _VOID and not rest.rstrip().endswith("/") and len(stack) < DEEPEST:
+        if tag not in _VOID and len(stack) < DEEPEST:
             stack.append(node)
     return root
 
