@@ -10,6 +10,18 @@ def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def places(e: str, n: int) -> str:
+    """A quotient at n places by the double's exact value: the tie is decided on exact integers."""
+    c = 2 * 10**n
+    # a double is a whole number of 2**-60 parts here once its integer part is taken off
+    return f"""list_transform([CAST({e} AS DOUBLE)], lambda x: CASE
+  WHEN CAST(round_even(x * {c}, 0) AS BIGINT) % 2 = 1 AND x = round_even(x * {c}, 0) / {c}.0::DOUBLE
+    AND CAST((x - floor(x)) * 1152921504606846976.0::DOUBLE AS HUGEINT) * {c} <> (CAST(round_even(x * {c}, 0) AS HUGEINT) - CAST(floor(x) AS HUGEINT) * {c}) * 1152921504606846976::HUGEINT
+  THEN (CAST(round_even(x * {c}, 0) AS BIGINT) + CASE WHEN CAST((x - floor(x)) * 1152921504606846976.0::DOUBLE AS HUGEINT) * {c}
+    > (CAST(round_even(x * {c}, 0) AS HUGEINT) - CAST(floor(x) AS HUGEINT) * {c}) * 1152921504606846976::HUGEINT THEN 1 ELSE -1 END) / 2 / {c // 2}.0::DOUBLE
+  ELSE round_even(x, {n}) END)[1]"""
+
+
 def in_list(items) -> str:
     return "(" + ", ".join(lit(i) for i in items) + ")"
 
@@ -25,7 +37,7 @@ DOC_PROMPTS = f"""
 pairs AS (SELECT doc_id AS pos, text AS question, {lit(PROMPT_ANSWER)} AS answer, lang AS category, source FROM documents)"""
 CONV_PAIRS = """
 pairs AS (
-  SELECT a.conv_id * 100000 + a.turn AS pos,
+  SELECT a.conv_id * 2147483648 + a.turn AS pos,
          'conv.' || a.conv_id || '.' || a.turn AS id, a.text AS question, b.text AS answer,
          CASE WHEN a.turn < 2 THEN 'opening' ELSE 'follow_up' END AS category
   FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1
@@ -186,15 +198,15 @@ judged AS MATERIALIZED (
     (len(must) = 0 OR len(list_filter(must, lambda p: regexp_matches(answer, p, 'i'))) > 0) AND len(hits) = 0 AS passed
   FROM (SELECT *, list_filter(banned, lambda p: regexp_matches(answer, p, 'i')) AS hits FROM answers JOIN golden USING (case_id)))"""
 
-RATES = """
+RATES = f"""
 SELECT model, category, count(*) AS total, CAST(sum(CAST(passed AS INT)) AS BIGINT) AS passed,
-       round_even(sum(CAST(passed AS INT)) / count(*), 4) AS pass_rate, grouping(category) = 1 AS overall
-FROM {src} GROUP BY GROUPING SETS ((model), (model, category))"""
+       {places('sum(CAST(passed AS INT)) / count(*)', 4)} AS pass_rate, grouping(category) = 1 AS overall
+FROM {{src}} GROUP BY GROUPING SETS ((model), (model, category))"""
 
 LABEL_RATES = f"""
 lab AS (SELECT d.source AS model, d.lang AS category, l.quality = 1 AS passed, l.toxic = 0 AS base FROM labels l JOIN documents d USING (doc_id)),
 rates AS ({RATES.format(src='lab')}),
-base AS (SELECT model, round_even(sum(CAST(base AS INT)) / count(*), 4) AS baseline_rate FROM lab GROUP BY model)"""
+base AS (SELECT model, {places('sum(CAST(base AS INT)) / count(*)', 4)} AS baseline_rate FROM lab GROUP BY model)"""
 
 
 def pct(e: str) -> str:
@@ -371,7 +383,7 @@ FROM documents WHERE lang IN ('en', 'fr', 'de') ORDER BY {sha(42, "lang || '.' |
     o["quality_report"] = f"WITH {DOC_ANSWERS}, {REASONS} {BREAKDOWN.format('judged')}"
     o["survival"] = f"""WITH {DOC_ANSWERS}, {REASONS}
 SELECT count(*) AS input_records, count(*) FILTER (reason = 'ok') AS kept,
-  round_even(count(*) FILTER (reason = 'ok') / greatest(count(*), 1), 3) AS survival_rate FROM judged"""
+  {places("count(*) FILTER (reason = 'ok') / greatest(count(*), 1)", 3)} AS survival_rate FROM judged"""
     o["kept_categories"] = f"WITH {DOC_ANSWERS}, {REASONS} SELECT category, count(*) AS n FROM judged WHERE reason = 'ok' GROUP BY category"
     for name, style in (("pii_redacted", "bracket"), ("pii_entities", "entity")):
         r, f = redact("text", style)
@@ -406,7 +418,7 @@ SELECT id, category, {_rendered('question', 'answer')} AS text FROM pairs
 UNION ALL SELECT 'honesty.' || item_id, 'honesty', {_rendered('text', lit('I do not know.'))} FROM benchmark"""
     o["validation_errors"] = """
 WITH triples AS (
-  SELECT a.conv_id * 100000 + a.turn AS line_no, a.role AS r0, c.role AS r2, c.text AS last, [a.role, b.role, c.role] AS roles,
+  SELECT a.conv_id * 2147483648 + a.turn AS line_no, a.role AS r0, c.role AS r2, c.text AS last, [a.role, b.role, c.role] AS roles,
     [length(a.text), length(b.text), length(c.text)] AS sizes, CASE WHEN a.turn < 3 THEN 'early' ELSE '' END AS category
   FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1
   JOIN conversations c ON c.conv_id = a.conv_id AND c.turn = a.turn + 2),
@@ -437,7 +449,7 @@ SELECT md5(key) AS key_md5, CAST(count(DISTINCT split) - 1 AS BIGINT) AS leaks F
 GROUP BY key HAVING count(DISTINCT split) > 1"""
     o["dataset_stats"] = f"""WITH {DOC_PROMPTS}, {split_ctes('pairs', 'pos')}
 SELECT CASE WHEN grouping(split) = 0 THEN 'split' WHEN grouping(category) = 0 THEN 'category' ELSE 'all' END AS level,
-  coalesce(split, category, 'all') AS name, count(*) AS n, round_even(sum(length(question)) / count(*), 1) AS avg_answer_chars
+  coalesce(split, category, 'all') AS name, count(*) AS n, {places('sum(length(question)) / count(*)', 1)} AS avg_answer_chars
 FROM splits GROUP BY GROUPING SETS ((), (split), (category))"""
     o["split_presence"] = f"WITH {CONV_PAIRS}, {split_ctes('pairs', 'id')} SELECT split, count(*) AS n FROM splits GROUP BY split"
     o["seeded_shuffle"] = f"WITH {CONV_PAIRS} SELECT id, {sha(42, 'id')} AS order_key FROM pairs"
@@ -548,7 +560,7 @@ SELECT count(*) FILTER (cache_result = 'hit') AS hits, count(*) FILTER (cache_re
     o["token_totals"] = f"""WITH {ROUTED}
 SELECT variant, 'prompt' AS kind, CAST(sum(k) AS BIGINT) AS tokens FROM routed GROUP BY variant
 UNION ALL SELECT variant, 'completion', CAST(sum(k * 2 + 1) AS BIGINT) FROM routed GROUP BY variant"""
-    o["upstream_last"] = f"WITH {LOG} SELECT client, arg_max(CASE WHEN status = 200 THEN 1 ELSE 0 END, ts)::BIGINT AS up FROM log GROUP BY client"
+    o["upstream_last"] = f"WITH {LOG} SELECT client, last(CASE WHEN status = 200 THEN 1 ELSE 0 END ORDER BY ts, request_id)::BIGINT AS up FROM log GROUP BY client"
     o["rate_5m"] = f"""WITH {ROUTED}, w AS ({sliding('routed', ['variant', 'status'], 5)})
 SELECT variant, CAST(status AS BIGINT) AS status, window_end, n, round_even(n / 300.0::DOUBLE, 9) AS per_second FROM w"""
     o["rate_1m"] = f"""WITH {ROUTED}, w AS ({sliding('routed', ['variant'], 1)})
@@ -585,10 +597,16 @@ FROM (SELECT *, CAST(floor(epoch_us(ts) / 300000000) AS BIGINT) * 300 AS w FROM
     o["stream_sliding_rates"] = f"""
 WITH w AS (SELECT CAST(floor(epoch_us(ts) / 60000000) AS BIGINT) * 60 + 60 * i AS window_end FROM events CROSS JOIN (SELECT unnest(range(1, 6)) AS i))
 SELECT window_end, count(*) AS n FROM w WHERE window_end * 1000000 <= {closed} GROUP BY window_end"""
+    passed = "(SELECT max(epoch_us(ts)) // 1000 - 300000 FROM events)"
     o["stream_quota"] = f"""WITH {LOG}, q AS (
-  SELECT request_id, row_number() OVER (PARTITION BY client, date_trunc('minute', ts) ORDER BY ts, request_id) AS request_no FROM log)
-SELECT request_id, request_no, request_no <= 1 AS allowed, CAST(greatest(0, 1 - request_no) AS BIGINT) AS remaining FROM q"""
-    o["stream_cache"] = o["cache_hits"]
+  SELECT request_id, epoch_us(ts) // 60000000 AS m, row_number() OVER (PARTITION BY client, date_trunc('minute', ts) ORDER BY ts, request_id) AS request_no FROM log)
+SELECT request_id, request_no, request_no <= 1 AS allowed, CAST(greatest(0, 1 - request_no) AS BIGINT) AS remaining FROM q WHERE (m + 1) * 60000 < {passed}"""
+    o["stream_cache"] = f"""WITH RECURSIVE {cache_sql('status = 200')}
+SELECT request_id, cache_result FROM cached JOIN log USING (request_id) WHERE epoch_us(ts) // 1000 < {passed}"""
     o["stream_blocks"] = f"SELECT doc_id, 'input' AS stage, i AS reason FROM (SELECT doc_id, {screen_sql('text')} AS i FROM documents) WHERE i <> ''"
-    o["stream_alerts"] = f"WITH {SIGNALS} SELECT alert, started, fired_at FROM firing"
+    o["stream_alerts"] = f"""
+WITH w AS (SELECT event_type, CAST(floor(epoch_us(ts) / 60000000) AS BIGINT) * 60 + 60 * i AS m FROM events CROSS JOIN (SELECT unnest(range(1, 6)) AS i)),
+s AS (SELECT m, count(*) FILTER (event_type = 'error') / count(*) > 0.25 AS breached FROM w WHERE m * 1000000 <= {closed} GROUP BY m),
+i AS (SELECT m, m / 60 - row_number() OVER (ORDER BY m) AS island FROM s WHERE breached AND m < (SELECT max(m) - 600 FROM s))
+SELECT 'HighErrorRate' AS alert, min(m) AS started, min(m) + 120 AS fired_at FROM i GROUP BY island HAVING max(m) >= min(m) + 120"""
     return o

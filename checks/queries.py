@@ -20,7 +20,7 @@ from millrace.plans import traffic_report
 from millrace.session import materialize, scratch_path
 from millrace.sources import readers
 from millrace.sources.tables import (
-    conversation_pairs, document_answers, document_prompts, request_log, table,
+    conversation_pairs, document_answers, document_prompts, request_log, table, turn_key,
 )
 from millrace.streaming import runner, state, windows
 
@@ -56,7 +56,7 @@ def epoch(ts: Column) -> Column:
 @query
 def corpus_sample(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as a corpus, three languages kept, capped by seeded hash order."""
-    rows = table(spark, sf, "documents", "doc_id").select(
+    rows = table(spark, sf, "documents").select(
         F.concat("lang", F.lit("."), F.col("doc_id").cast("string")).alias("id"),
         F.col("source").alias("question"), F.col("text").alias("response"), F.lit(None).cast("string").alias("system_prompt"),
     )
@@ -224,7 +224,7 @@ def validation_errors(spark: SparkSession, sf: str) -> DataFrame:
         return turns.select("conv_id", (F.col("turn") - by).alias("turn"), F.struct("role", F.col("text").alias("content")).alias(f"m{by}"))
 
     triples = shifted(0).join(shifted(1), ["conv_id", "turn"]).join(shifted(2), ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 100_000 + F.col("turn")).alias("line_no"), F.array("m0", "m1", "m2").alias("messages"),
+        turn_key().alias("line_no"), F.array("m0", "m1", "m2").alias("messages"),
         F.when(F.col("turn") < 3, F.lit("early")).otherwise(F.lit("")).alias("category"),
     )
     return validate.explode_errors(validate.example_errors(triples)).select(
@@ -235,7 +235,7 @@ def validation_errors(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def validation_lines(spark: SparkSession, sf: str) -> DataFrame:
     """V1 on raw lines: documents as JSON lines, some broken by what the document is."""
-    docs = table(spark, sf, "documents", "doc_id")
+    docs = table(spark, sf, "documents")
     content = F.when(F.col("lang") == "es", F.lit("5")).otherwise(F.to_json(F.struct(F.col("source").alias("v"))).substr(F.lit(6), F.length("source") + 2))
     line = F.concat(
         F.lit('{"messages":[{"role":"system","content":"s"},{"role":"'),
@@ -343,7 +343,7 @@ def _golden(spark: SparkSession, sf: str) -> DataFrame:
 
 def _answers(spark: SparkSession, sf: str) -> DataFrame:
     n = table(spark, sf, "benchmark").count()
-    return table(spark, sf, "documents", "doc_id").select(
+    return table(spark, sf, "documents").select(
         F.col("source").alias("model"), (F.col("doc_id") % n).alias("case_id"), F.col("text").alias("answer")
     )
 
@@ -618,7 +618,7 @@ def cache_hits_all(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _vectors(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "embeddings", "vec_id").select(F.col("vec_id").alias("id"), "embedding")
+    return table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
 
 
 def _hits(spark: SparkSession, sf: str) -> DataFrame:
@@ -810,8 +810,28 @@ def drift_decision(spark: SparkSession, sf: str) -> DataFrame:
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
-def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    events = runner.stream_files(spark, sf, EVENT_SCHEMA, "events.parquet")
+FILES_PER_SLICE = 8
+
+
+def _sliced_files(rows: DataFrame, ts: str, key: str, label: str) -> str:
+    """Rows written as four slices of time, each shuffled over eight files, rows up to four minutes out of order."""
+    path = scratch_path(rows.sparkSession, label)
+    late = F.unix_seconds(F.col(ts).cast("timestamp")) + F.pmod(F.xxhash64(key), F.lit(240))
+    ends = rows.agg(F.min(late).alias("a"), F.max(late).alias("b")).first()
+    width = (ends["b"] - ends["a"]) // 4 + 1
+    for i in range(4):
+        part = rows.where(F.floor((late - ends["a"]) / width) == i)
+        part.repartition(FILES_PER_SLICE, F.xxhash64(key)).write.mode("append").parquet(path)
+    return path
+
+
+def _event_stream(spark: SparkSession, sf: str, shuffled: bool = False) -> DataFrame:
+    if shuffled:
+        rows = spark.read.schema(EVENT_SCHEMA).parquet(f"{sf}/events.parquet")
+        path = _sliced_files(rows, "ts", "event_id", "event-files")
+        events = runner.stream_files(spark, path, EVENT_SCHEMA, files_per_batch=FILES_PER_SLICE)
+    else:
+        events = runner.stream_files(spark, sf, EVENT_SCHEMA, "events.parquet")
     return events.select(
         F.col("event_id").alias("request_id"), F.col("ts").cast("timestamp").alias("ts"),
         F.concat(F.lit("user:"), F.col("user_id").cast("string")).alias("client"), "event_type",
@@ -835,15 +855,15 @@ def stream_sliding_rates(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_quota(spark: SparkSession, sf: str) -> DataFrame:
-    """ST3: quota decisions from keyed state."""
-    out, _ = runner.drain(state.quota_stream(_event_stream(spark, sf), limit=1), "stream-quota")
+    """ST3: quota decisions from keyed state over shuffled files, for minutes the watermark has closed."""
+    out, _ = runner.drain(state.quota_stream(_event_stream(spark, sf, shuffled=True), limit=1), "stream-quota")
     return out.select("request_id", "request_no", "allowed", "remaining")
 
 
 @query
 def stream_cache(spark: SparkSession, sf: str) -> DataFrame:
-    """ST6: hits and misses from keyed state."""
-    log = _event_stream(spark, sf).select(
+    """ST6: hits and misses from keyed state over shuffled files, for requests the watermark has passed."""
+    log = _event_stream(spark, sf, shuffled=True).select(
         "ts", "request_id", F.col("k").cast("string").alias("cache_key"), (F.col("event_type") != "error").alias("stores")
     )
     out, _ = runner.drain(state.cache_stream(log), "stream-cache")
@@ -861,11 +881,16 @@ def stream_blocks(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
-    """ST4: alert holds over the per-minute signals of the log."""
-    path = scratch_path(spark, "signals")
-    _signals(spark, sf).select("alert", "minute", "breached", "hold_min").repartition("alert").write.parquet(path)
-    schema = "alert string, minute timestamp, breached boolean, hold_min int"
-    signals = runner.stream_files(spark, path, schema, files_per_batch=1000)
+    """ST1 into ST4: a stream of sliding windows, read by a second stream that holds breaches, minutes out of order."""
+    events = _event_stream(spark, sf, shuffled=True)
+    bad = {"bad": F.count_if(F.col("event_type") == "error")}
+    counted, _ = runner.drain(windows.windowed_counts(events, [], "5 minutes", "1 minute", extra=bad), "stream-windows")
+    path = _sliced_files(counted.select("window_end", "n", "bad"), "window_end", "window_end", "window-files")
+    rows = runner.stream_files(spark, path, "window_end timestamp, n long, bad long", files_per_batch=FILES_PER_SLICE)
+    signals = rows.select(
+        F.lit("HighErrorRate").alias("alert"), F.col("window_end").alias("minute"),
+        (F.col("bad") / F.col("n") > ALERTS.error_share).alias("breached"), F.lit(ALERTS.error_hold_min).alias("hold_min"),
+    )
     out, _ = runner.drain(state.alert_stream(signals), "stream-alerts")
     return out.select("alert", epoch(F.col("started")).alias("started"), epoch(F.col("fired_at")).alias("fired_at"))
 

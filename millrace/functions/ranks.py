@@ -27,14 +27,17 @@ def bucketed_row_number(
     offsets = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*keys, F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before"))
+        .select(
+            *[F.col(k).alias(f"_at_{k}") for k in keys], F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before")
+        )
     )
+    same = [F.col(k).eqNullSafe(F.col(f"_at_{k}")) for k in keys]  # a null key is a group like any other
     inner = Window.partitionBy(*keys).orderBy(*order)
     return (
         df.withColumn("_rn", F.row_number().over(inner))
-        .join(offsets, keys, "left")  # keeps rows whose key is null
-        .withColumn(out, F.coalesce("_before", F.lit(0)) + F.col("_rn"))
-        .drop("_before", "_rn")
+        .join(offsets, same)
+        .withColumn(out, F.col("_before") + F.col("_rn"))
+        .drop("_before", "_rn", *[f"_at_{k}" for k in keys])
     )
 
 
@@ -42,9 +45,10 @@ def keys_at_ranks(keys: DataFrame, group: Sequence[str], key: str, wanted: DataF
     """The sort key at given ranks of each group.
 
     ``keys`` has the group columns and a hexadecimal hash ``key``; ``wanted`` has
-    the group columns, ``name`` and ``rank`` (from 1). The first four digits cut
-    the keys into 65,536 even buckets, and only the buckets that contain a wanted
-    rank are sorted.
+    the group columns, ``name`` and ``rank`` (from 1). The result has ``cut``, the key,
+    and ``at_cut``, how many rows with that very key lie within the rank. The first
+    four digits cut the keys into 65,536 even buckets, and only the buckets that
+    contain a wanted rank are sorted, each by its distinct keys.
     """
     group = list(group)
     bucketed = keys.select(*group, key, F.substring(key, 1, 4).alias("_b"))
@@ -56,13 +60,14 @@ def keys_at_ranks(keys: DataFrame, group: Sequence[str], key: str, wanted: DataF
         .where((F.col("rank") > F.col("_lo")) & (F.col("rank") <= F.col("_hi")))
         .select(*group, "_b", "name", (F.col("rank") - F.col("_lo")).alias("_at"))
     )
-    inner = Window.partitionBy(*group, "_b").orderBy(key)
-    sorted_hits = (
+    inner = Window.partitionBy(*group, "_b").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    distinct = (
         bucketed.join(hit.select(*group, "_b").distinct(), [*group, "_b"], "left_semi")
-        .withColumn("_rn", F.row_number().over(inner))
+        .groupBy(*group, "_b", key).agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_to", F.sum("_n").over(inner))
     )
     return (
-        sorted_hits.join(hit, [*group, "_b"])
-        .where(F.col("_rn") == F.col("_at"))
-        .select(*group, "name", F.col(key).alias("cut"))
+        distinct.join(hit, [*group, "_b"])
+        .where((F.col("_at") <= F.col("_to")) & (F.col("_at") > F.col("_to") - F.col("_n")))
+        .select(*group, "name", F.col(key).alias("cut"), (F.col("_at") - F.col("_to") + F.col("_n")).alias("at_cut"))
     )

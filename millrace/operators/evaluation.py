@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.config import GateRules
 from millrace.functions import fixed
+from millrace.functions.rounding import nearest_places
 
 FLAGS = "(?iuU)"
 
@@ -73,7 +74,7 @@ def rates(judged: DataFrame) -> DataFrame:
         cells.groupingSets([[F.col("model")], [F.col("model"), F.col("category")]], F.col("model"), F.col("category"))
         .agg(F.sum("total").alias("total"), F.sum("passed").alias("passed"), F.grouping("category").alias("overall"))
         .withColumn("overall", F.col("overall") == 1)
-        .withColumn("pass_rate", F.bround(F.col("passed") / F.greatest("total", F.lit(1)), 4))
+        .withColumn("pass_rate", nearest_places(F.col("passed") / F.greatest("total", F.lit(1)), 4))
     )
 
 

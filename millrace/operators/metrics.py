@@ -92,9 +92,14 @@ def token_totals(log: DataFrame) -> DataFrame:
     return wide.unpivot("variant", ["prompt", "completion"], "kind", "tokens")
 
 
-def latest(readings: DataFrame, labels: Sequence[str], value: str, ts: str = "ts") -> DataFrame:
+def _last(value: str, ts: str, row_id: str) -> Column:
+    """The value of the latest row; of rows of the same time, that with the largest id."""
+    return F.max_by(value, F.struct(ts, row_id))
+
+
+def latest(readings: DataFrame, labels: Sequence[str], value: str, ts: str = "ts", row_id: str = "request_id") -> DataFrame:
     """Gauge: the value of the latest reading per label combination."""
-    return readings.groupBy(*labels).agg(F.max_by(value, ts).alias(value))
+    return readings.groupBy(*labels).agg(_last(value, ts, row_id).alias(value))
 
 
 def minute_counts(log: DataFrame, labels: Sequence[str], ts: str = "ts") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import seeded_order
+from millrace.functions.rounding import nearest_places
 
 
 def reason_counts(judged: DataFrame) -> DataFrame:
@@ -27,11 +28,11 @@ def breakdown(counts: DataFrame) -> DataFrame:
 
 
 def summary(counts: DataFrame) -> DataFrame:
-    """Input rows, kept rows and the survival rate (half-even, three places)."""
+    """Input rows, kept rows and the survival rate at three places."""
     total = F.coalesce(F.sum("n"), F.lit(0))
     kept = F.coalesce(F.sum(F.when(F.col("reason") == "ok", F.col("n"))), F.lit(0))
     return counts.agg(total.alias("input_records"), kept.alias("kept")).withColumn(
-        "survival_rate", F.bround(F.col("kept") / F.greatest("input_records", F.lit(1)), 3)
+        "survival_rate", nearest_places(F.col("kept") / F.greatest("input_records", F.lit(1)), 3)
     )
 
 

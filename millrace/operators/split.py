@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.config import SplitRules
 from millrace.functions.hashing import seeded_order
 from millrace.functions.ranks import keys_at_ranks
+from millrace.functions.rounding import nearest_places
 from millrace.functions.text import leakage_text
 from millrace.operators.chat import last_content, user_message
 from millrace.session import materialize
@@ -136,5 +137,5 @@ def stats(examples: DataFrame, chars: Column | None = None) -> DataFrame:
         level.alias("level"),
         F.coalesce("split", "category", F.lit("all")).alias("name"),
         "n",
-        F.bround(F.col("_c") / F.greatest("n", F.lit(1)), 1).alias("avg_answer_chars"),
+        nearest_places(F.col("_c") / F.greatest("n", F.lit(1)), 1).alias("avg_answer_chars"),
     )

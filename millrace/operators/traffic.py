@@ -25,7 +25,11 @@ def clamp_percent(raw: object) -> int:
 
 
 def clamp_percent_column(raw: Column) -> Column:
-    return F.greatest(F.lit(0), F.least(F.lit(100), F.coalesce(F.trim(raw).try_cast("int"), F.lit(0))))
+    """The same of a text column; whole numbers of any length are read by their digits."""
+    digits = F.regexp_replace(F.regexp_extract(raw, r"^\s*[+-]?0*(\d+(?:_\d+)*)\s*$", 1), "_", "")
+    negative = F.regexp_like(raw, F.lit(r"^\s*-"))
+    size = F.when(F.length(digits) > 3, F.lit(100)).otherwise(F.coalesce(digits.try_cast("int"), F.lit(0)))
+    return F.when(negative, F.lit(0)).otherwise(F.coalesce(F.least(F.lit(100), size), F.lit(0)))
 
 
 def variant(client: Column, percent: int) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,15 +28,19 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_no, pos, line): every line of the text files under ``path``.
 
     ``line_no`` counts from 1 within a file and ``pos`` from 0 over all files in
-    path order. Rows of one file split keep their order, so a count per split
-    (one row each) gives every split's offset; files stay splittable and are
+    path order. The lines are read once and written with their place in their file
+    split; another scan could cut the files elsewhere. Rows of one file split keep their order,
+    so a count per split (one row each) gives every split's offset; files stay splittable and are
     never held as one row.
     """
-    raw = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_id"),
-        F.col("value").alias("line"),
+    raw = materialize(
+        spark.read.text(path).select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("_start"),
+            F.monotonically_increasing_id().alias("_id"),
+            F.col("value").alias("line"),
+        ),
+        "lines",
     )
     splits = raw.groupBy("file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
     in_file = Window.partitionBy("file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
@@ -46,7 +52,8 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     files = files.select("file", F.coalesce(F.sum("_rows").over(in_all), F.lit(0)).alias("_files_before"))
     offsets = materialize(sized.join(files, "file").drop("_n"), "line-offsets")
     at = F.col("_before") + F.col("_id") - F.col("_first")
-    return raw.join(offsets, ["file", "_start"]).select(
+    at = F.coalesce(at, F.raise_error(F.lit("a line without an offset")).cast("long"))
+    return raw.join(offsets, ["file", "_start"], "left").select(
         "file", (at + 1).alias("line_no"), (at + F.col("_files_before")).alias("pos"), "line"
     )
 
@@ -84,7 +91,7 @@ def read_local_pairs(spark: SparkSession, path: str) -> DataFrame:
         answer.alias("answer"),
         present("system_prompt").alias("orig_system_prompt"),
         F.coalesce(F.when(given != "", given), category_of(present("id"))).alias("category"),
-        F.element_at(F.split("file", "/"), -1).alias("source"),
+        F.url_decode(F.replace(F.element_at(F.split("file", "/"), -1), F.lit("+"), F.lit("%2B"))).alias("source"),
     )
 
 
@@ -110,34 +117,46 @@ def read_corpus(rows: DataFrame, source: str, rules: IngestRules = IngestRules()
     return seeded_cap(pairs, rules.max_docs, rules.seed)
 
 
+def _sampling_key(df: DataFrame, seed: int, row_id: str) -> Column:
+    """Seeded hash of the id, then a digest of the whole row: only rows that are equal in all tie."""
+    blank = F.coalesce(F.col(row_id).cast("string"), F.lit("")) == ""
+    content = F.sha2(F.to_json(F.struct(*df.columns)), 256)
+    return F.concat(F.when(blank, F.sha2(F.concat(F.lit(f"{seed}|"), content), 256)).otherwise(seeded_order(seed, F.col(row_id))), F.lit("|"), content)
+
+
 def seeded_cap(df: DataFrame, rows: int, seed: int, row_id: str = "id") -> DataFrame:
     """The first ``rows`` rows in seeded hash order: a uniform sample, the same under any partitioning.
 
     The hash at that rank is found exactly and compared with each row's, so a
-    large sample is not gathered in one task the way a sorted limit is.
+    large sample is not gathered in one task the way a sorted limit is. Ids may be
+    blank or repeat: rows then go by their content, and of rows that are equal
+    throughout as many are taken as still fit.
     """
-    order = F.concat(seeded_order(seed, F.col(row_id)), F.lit("|"), F.col(row_id).cast("string"))
-    keyed = df.withColumn("_k", order).withColumn("_g", F.lit(0))
+    keyed = df.withColumn("_k", _sampling_key(df, seed, row_id)).withColumn("_g", F.lit(0))
     wanted = df.sparkSession.createDataFrame([(0, "cap", rows)], "_g int, name string, rank long")
     cut = keys_at_ranks(keyed.select("_g", "_k"), ["_g"], "_k", wanted).first()
-    if cut is not None:
-        keyed = keyed.where(F.col("_k") <= cut["cut"])
-    return keyed.drop("_k", "_g")
+    if cut is None:
+        return df
+    equal = keyed.where(F.col("_k") == cut["cut"]).limit(cut["at_cut"])
+    return keyed.where(F.col("_k") < cut["cut"]).unionByName(equal).drop("_k", "_g")
 
 
-def with_pos(df: DataFrame, order: Column) -> DataFrame:
-    """Add ``pos``, a position that follows ``order``: range-sorted partitions numbered in sequence."""
-    return df.orderBy(order).withColumn("pos", F.monotonically_increasing_id())
+def with_pos(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Add ``pos``, a position that follows ``order``: range-sorted partitions numbered in sequence.
+
+    Written once: range bounds are sampled anew by every action and would move the numbers.
+    """
+    return materialize(df.orderBy(*order).withColumn("pos", F.monotonically_increasing_id()), "positions")
 
 
 def ingest(
     spark: SparkSession, mode: str, location: str | DataFrame, rules: IngestRules = IngestRules(), source: str = "corpus"
 ) -> DataFrame:
-    """Read pairs by mode: ``openorca`` (a corpus table or path), ``sample`` or ``local_kb`` (JSON lines)."""
-    if mode == "openorca":
+    """Read pairs by mode: ``corpus`` (a corpus table or path), ``sample`` or ``local_kb`` (JSON lines)."""
+    if mode == "corpus":
         rows = location if isinstance(location, DataFrame) else spark.read.parquet(location)
         pairs = read_corpus(rows, source, rules)
-        pairs = with_pos(pairs, seeded_order(rules.seed, F.col("id")))
+        pairs = with_pos(pairs, [seeded_order(rules.seed, F.col("id")), _sampling_key(pairs, rules.seed, "id")])
     elif mode in ("sample", "local_kb"):
         pairs = read_local_pairs(spark, location)
     else:

@@ -2,24 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DOCUMENT_QUESTION = "what is this text about"
 PROMPT_ANSWER = "This is a short answer to the question that was asked, and it is the same for all of them."
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
-    """A table; with ``key``, spread over all cores if the files give fewer splits than that.
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    Only a small input has fewer splits than the cluster has cores, so a large
-    one is never shuffled here.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if key and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, key)
-    return df
+
+def turn_key() -> Column:
+    """A number that orders all turns; unique while turns and conversations are below 2**31 and 2**32."""
+    return F.col("conv_id") * (1 << 31) + F.col("turn")
 
 
 def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +32,7 @@ def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")
     )
     return asked.join(replied, ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 100_000 + F.col("turn")).alias("pos"),
+        turn_key().alias("pos"),
         F.concat(F.lit("conv."), F.col("conv_id").cast("string"), F.lit("."), F.col("turn").cast("string")).alias("id"),
         "question",
         "answer",
@@ -48,7 +44,7 @@ def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as the answer to one fixed question; category is its language."""
-    return table(spark, sf_dir, "documents", "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("pos"),
         F.col("doc_id").cast("string").alias("id"),
         F.lit(DOCUMENT_QUESTION).alias("question"),
@@ -61,7 +57,7 @@ def document_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a prompt with one fixed reply; category is its language."""
-    return table(spark, sf_dir, "documents", "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("pos"),
         F.col("doc_id").cast("string").alias("id"),
         F.col("text").alias("question"),

@@ -17,7 +17,7 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 def stream_files(spark: SparkSession, path: str, schema: str, name: str | None = None, files_per_batch: int = 1) -> DataFrame:
     """A file stream over ``path``; ``name`` restricts it to files of that name."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", "true")
     if name:
         reader = reader.option("pathGlobFilter", name)
     return reader.parquet(path)

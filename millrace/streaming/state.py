@@ -1,8 +1,11 @@
-"""Keyed state on streams: quota, cache entries, alert holds.
-
-Rows are handled in arrival order, chunk by chunk; within a chunk they are put
-in time order. State per key is one small row and is removed by an event-time
-timeout, so idle keys leave. Nothing of a key's rows is held beyond a chunk.
+"""Keyed state on streams: quota, cache entries, alert holds, in event-time order.
+
+Rows wait in the state until the watermark has passed them and are then handled
+in time order (ties by id). So results depend neither on the order of files nor on how
+rows are cut into chunks, and equal those of the batch operators for every row
+the watermark has passed. A key holds the rows of the watermark's span, or of one
+minute for the quota; rows later than the watermark are dropped and counted by
+``runner.late_rows``.
 """
 
 from __future__ import annotations
@@ -20,10 +23,21 @@ from millrace.streaming.runner import use_rocksdb
 MICROS = 1_000_000
 
 
+def _gathered(chunks: Iterator[pd.DataFrame], columns: list[str], held: list[list]) -> list[np.ndarray]:
+    """Held values and those of all chunks, one array per column, sorted by the first two columns."""
+    parts = [[list(h)] for h in held]
+    for chunk in chunks:
+        for part, column in zip(parts, columns):
+            part.append(chunk[column].tolist())
+    arrays = [np.array([v for p in part for v in p], dtype=np.int64) for part in parts]
+    order = np.lexsort((arrays[1], arrays[0]))
+    return [a[order] for a in arrays]
+
+
 def quota_stream(log: DataFrame, limit: int = 60, watermark: str = "5 minutes") -> DataFrame:
-    """Quota decisions on a stream of (request_id, client, ts).
+    """Quota decisions on a stream of (request_id, client, ts), one batch of them when a client's minute is over.
 
-    The key includes the minute, so a busy client is spread over time. State: requests seen.
+    The key includes the minute, so a busy client is spread over time. State: the minute's requests.
     """
     use_rocksdb(log.sparkSession)
     t = F.unix_micros("ts")
@@ -32,39 +46,41 @@ def quota_stream(log: DataFrame, limit: int = 60, watermark: str = "5 minutes")
     )
 
     def count(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
         client, minute = key
-        seen = state.get[0] if state.exists else 0
-        for chunk in chunks:
-            chunk = chunk.sort_values(["t", "request_id"])
-            number = np.arange(seen + 1, seen + 1 + len(chunk), dtype=np.int64)
-            seen += len(chunk)
-            yield pd.DataFrame(
-                {
-                    "request_id": chunk["request_id"].to_numpy(),
-                    "client": client,
-                    "minute": int(minute),
-                    "request_no": number,
-                    "allowed": number <= limit,
-                    "remaining": np.maximum(0, limit - number),
-                }
-            )
-        state.update((int(seen),))
-        state.setTimeoutTimestamp(max((int(minute) + 1) * 60_000, state.getCurrentWatermarkMs() + 1))
+        held = list(state.get) if state.exists else [[], []]
+        if not state.hasTimedOut:
+            times, ids = _gathered(chunks, ["t", "request_id"], held)
+            state.update((times.tolist(), ids.tolist()))
+            state.setTimeoutTimestamp((int(minute) + 1) * 60_000)
+            return
+        _, ids = _gathered(iter(()), [], held)
+        state.remove()
+        number = np.arange(1, len(ids) + 1, dtype=np.int64)
+        yield pd.DataFrame(
+            {
+                "request_id": ids,
+                "client": client,
+                "minute": int(minute),
+                "request_no": number,
+                "allowed": number <= limit,
+                "remaining": np.maximum(0, limit - number),
+            }
+        )
 
     return keyed.groupBy("client", "minute").applyInPandasWithState(
         count,
         outputStructType="request_id long, client string, minute long, request_no long, allowed boolean, remaining long",
-        stateStructType="seen long",
+        stateStructType="t array<long>, request_id array<long>",
         outputMode="append",
         timeoutConf=GroupStateTimeout.EventTimeTimeout,
     )
 
 
 def cache_stream(log: DataFrame, ttl_s: int = 3600, watermark: str = "5 minutes") -> DataFrame:
-    """Hit or miss on a stream of cacheable requests (request_id, cache_key, ts, stores). State: expiry of the entry."""
+    """Hit or miss on a stream of cacheable requests (request_id, cache_key, ts, stores).
+
+    State: expiry of the entry, and the requests the watermark has not passed.
+    """
     use_rocksdb(log.sparkSession)
     ttl = ttl_s * MICROS
     keyed = log.withWatermark("ts", watermark).select(
@@ -72,65 +88,65 @@ def cache_stream(log: DataFrame, ttl_s: int = 3600, watermark: str = "5 minutes"
     )
 
     def look_up(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
+        until, *held = state.get if state.exists else (None, [], [], [])
+        passed = state.getCurrentWatermarkMs()
+        rows = _gathered(chunks, ["t", "request_id", "stores"], held)
+        ready = int(np.searchsorted(rows[0], passed * 1000, side="left"))
+        t, ids, stores = (r[:ready] for r in rows)
+        hit = np.zeros(ready, dtype=bool)
+        at = 0
+        while at < ready:
+            if until is not None:
+                end = int(np.searchsorted(t, until, side="left"))
+                hit[at:end] = True
+                at = max(at, end)
+            later = np.flatnonzero(stores[at:])
+            if len(later) == 0:
+                break
+            at += int(later[0])
+            until = int(t[at]) + ttl
+            at += 1
+        if ready:
+            yield pd.DataFrame({"request_id": ids, "cache_key": key[0], "cache_result": np.where(hit, "hit", "miss")})
+        waiting = [r[ready:].tolist() for r in rows]
+        # wake when the first waiting request may be handled, or when the entry is of no more use
+        wake = waiting[0][0] // 1000 if waiting[0] else None if until is None else -(-until // 1000)
+        if wake is None or (not waiting[0] and wake <= passed):
+            if state.exists:
+                state.remove()
             return
-        until = state.get[0] if state.exists else None
-        for chunk in chunks:
-            chunk = chunk.sort_values(["t", "request_id"])
-            t, stores = chunk["t"].to_numpy(), chunk["stores"].to_numpy(dtype=bool)
-            hit = np.zeros(len(t), dtype=bool)
-            at = 0
-            while at < len(t):
-                if until is not None:
-                    end = int(np.searchsorted(t, until, side="left"))
-                    hit[at:end] = True
-                    at = max(at, end)
-                later = np.flatnonzero(stores[at:])
-                if len(later) == 0:
-                    break
-                at += int(later[0])
-                until = int(t[at]) + ttl
-                at += 1
-            yield pd.DataFrame(
-                {
-                    "request_id": chunk["request_id"].to_numpy(),
-                    "cache_key": key[0],
-                    "cache_result": np.where(hit, "hit", "miss"),
-                }
-            )
-        expiry_ms = None if until is None else -(-until // 1000)
-        if expiry_ms is not None and expiry_ms > state.getCurrentWatermarkMs():
-            state.update((int(until),))
-            state.setTimeoutTimestamp(expiry_ms)
-        elif state.exists:
-            state.remove()
+        state.update((until, *waiting))
+        state.setTimeoutTimestamp(max(wake, passed + 1))
 
     return keyed.groupBy("cache_key").applyInPandasWithState(
         look_up,
         outputStructType="request_id long, cache_key string, cache_result string",
-        stateStructType="until long",
+        stateStructType="until long, t array<long>, request_id array<long>, stores array<long>",
         outputMode="append",
         timeoutConf=GroupStateTimeout.EventTimeTimeout,
     )
 
 
-def alert_stream(signals: DataFrame) -> DataFrame:
+def alert_stream(signals: DataFrame, watermark: str = "10 minutes") -> DataFrame:
     """Firing alerts from a stream of (alert, minute, breached, hold_min), one row when a hold is complete.
 
     The input is per-minute signals, so its rate depends on the number of alerts
-    and not on the traffic. State: start and last minute of the breach, and whether it fired.
+    and not on the traffic. State: start and last minute of the breach, whether it
+    fired, and the minutes the watermark has not passed.
     """
     use_rocksdb(signals.sparkSession)
-    keyed = signals.select(
-        "alert", F.floor(F.unix_micros("minute") / (60 * MICROS)).cast("long").alias("m"), "breached", "hold_min"
+    keyed = signals.withWatermark("minute", watermark).select(
+        "minute", "alert", F.floor(F.unix_micros("minute") / (60 * MICROS)).cast("long").alias("m"),
+        F.col("breached").cast("long").alias("breached"), F.col("hold_min").cast("long").alias("hold_min"),
     )
 
     def hold(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        started, last, fired = state.get if state.exists else (None, None, False)
-        minutes = pd.concat(list(chunks)).sort_values("m")  # one row per minute of the batch
+        started, last, fired, *held = state.get if state.exists else (None, None, False, [], [], [])
+        passed = state.getCurrentWatermarkMs()
+        rows = _gathered(chunks, ["m", "breached", "hold_min"], held)
+        ready = int(np.searchsorted(rows[0] * 60_000, passed, side="left"))
         out = []
-        for m, breached, wait in zip(minutes["m"].tolist(), minutes["breached"].tolist(), minutes["hold_min"].tolist()):
+        for m, breached, wait in zip(*(r[:ready].tolist() for r in rows)):
             if not breached:
                 started, last, fired = None, None, False
                 continue
@@ -142,17 +158,17 @@ def alert_stream(signals: DataFrame) -> DataFrame:
                 out.append((key[0], started, m))
         if out:
             yield pd.DataFrame(out, columns=["alert", "started_min", "fired_min"])
-        if started is not None:
-            state.update((int(started), int(last), bool(fired)))
-        elif state.exists:
-            state.remove()
+        waiting = [r[ready:].tolist() for r in rows]
+        state.update((started, last, bool(fired), *waiting))
+        if waiting[0]:
+            state.setTimeoutTimestamp(max(waiting[0][0] * 60_000, passed + 1))
 
     return keyed.groupBy("alert").applyInPandasWithState(
         hold,
         outputStructType="alert string, started_min long, fired_min long",
-        stateStructType="started long, last long, fired boolean",
+        stateStructType="started long, last long, fired boolean, m array<long>, breached array<long>, hold_min array<long>",
         outputMode="append",
-        timeoutConf=GroupStateTimeout.NoTimeout,
+        timeoutConf=GroupStateTimeout.EventTimeTimeout,
     ).select(
         "alert", F.timestamp_seconds(F.col("started_min") * 60).alias("started"),
         F.timestamp_seconds(F.col("fired_min") * 60).alias("fired_at"),
