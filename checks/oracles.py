@@ -314,17 +314,27 @@ def sliding(src: str, labels: list[str], width: int) -> str:
 FROM (SELECT *, date_trunc('minute', ts) AS m FROM {src}) CROSS JOIN (SELECT unnest(range(1, {width + 1})) AS i) GROUP BY {keys}window_end"""
 
 
-SIGNALS = f"""{ROUTED},
-ends AS (SELECT *, epoch(date_trunc('minute', ts))::BIGINT + 60 * i AS minute FROM routed CROSS JOIN (SELECT unnest(range(1, 6)) AS i)),
+COUNTED = f"""{OUTCOMES},
+requests AS (SELECT * EXCLUDE (variant, status), label_variant AS variant, http_status AS status FROM classified WHERE counted),
+observed AS (SELECT * FROM classified WHERE latency_observed)"""
+
+
+def signals(every: int = 1) -> str:
+    """Alert signals and stretches; the gauge's last reading is looked up for every minute."""
+    return f"""{COUNTED},
+ends AS (SELECT *, epoch(date_trunc('minute', ts))::BIGINT + 60 * i AS minute FROM requests CROSS JOIN (SELECT unnest(range(1, 6)) AS i)),
 per AS (
   SELECT minute, count(*) AS n, count(*) FILTER (status >= 500) AS bad, count(*) FILTER (variant = 'canary') AS cn,
     count(*) FILTER (variant = 'canary' AND status >= 500) AS cb
   FROM ends GROUP BY minute),
-hist AS ({histogram('ends', ['minute'])}),
+seen AS (SELECT * FROM ends WHERE latency_observed),
+hist AS ({histogram('seen', ['minute'])}),
 p95 AS ({quantiles('SELECT * FROM hist', ['minute'], [0.95])}),
-up AS (
-  SELECT epoch(date_trunc('minute', ts))::BIGINT AS minute, arg_max(CASE WHEN status = 200 THEN 1.0 ELSE 0.0 END, ts) AS value
-  FROM routed WHERE event_type IN ('click', 'error') GROUP BY 1),
+read AS (
+  SELECT epoch(date_trunc('minute', ts))::BIGINT AS minute, last(CASE WHEN status = 200 THEN 1.0 ELSE 0.0 END ORDER BY ts, request_id) AS value
+  FROM log WHERE event_type IN ('click', 'error') AND request_id % {every} = 0 GROUP BY 1),
+every_minute AS (SELECT unnest(range((SELECT min(minute) FROM read), (SELECT greatest(max(per.minute), (SELECT max(minute) FROM read)) FROM per) + 60, 60)) AS minute),
+up AS (SELECT e.minute, r.value FROM every_minute e ASOF JOIN read r ON e.minute >= r.minute),
 signals AS (
   SELECT 'HighErrorRate' AS alert, minute, bad / n AS value, bad / n > 0.25 AS breached, 2::BIGINT AS hold_min FROM per
   UNION ALL SELECT 'CanaryErrorsHigh', minute, CASE WHEN cn > 0 THEN cb / cn END, coalesce(CASE WHEN cn > 0 THEN cb / cn END > 0.25, false), 2 FROM per
@@ -337,6 +347,9 @@ firing AS (
   FROM islands GROUP BY alert, island, hold_min HAVING max(minute) >= min(minute) + 60 * hold_min)"""
 
 
+SIGNALS = signals()
+
+
 def screen_sql(field: str) -> str:
     injection = "|".join(f"({p})" for p in fixed.INJECTION_PATTERNS)
     pii = " ".join(
@@ -551,8 +564,8 @@ FROM t GROUP BY query_id"""
 SELECT route, CAST(http_status AS BIGINT) AS status, label_variant AS variant, count(*) AS n FROM classified WHERE counted GROUP BY ALL"""
     o["rate_limited"] = f"WITH {OUTCOMES} SELECT route, count(*) AS n FROM classified WHERE outcome = 'rate_limited' GROUP BY route"
     o["upstream_errors"] = f"WITH {OUTCOMES} SELECT upstream_error, count(*) AS n FROM classified WHERE upstream_error IS NOT NULL GROUP BY 1"
-    o["latency_hist"] = f"WITH {ROUTED} {histogram('routed', ['route', 'variant'])}"
-    o["latency_quantile"] = f"""WITH {ROUTED}, h AS ({histogram('routed', ['variant'])})
+    o["latency_hist"] = f"WITH {COUNTED} {histogram('observed', ['route', 'variant'])}"
+    o["latency_quantile"] = f"""WITH {COUNTED}, h AS ({histogram('observed', ['variant'])})
 SELECT variant, q, round_even(value, 6) AS value FROM ({quantiles('SELECT * FROM h', ['variant'], [0.5, 0.95, 0.99])})"""
     o["cache_ratio"] = f"""WITH RECURSIVE {cache_sql('status = 200')}
 SELECT count(*) FILTER (cache_result = 'hit') AS hits, count(*) FILTER (cache_result = 'miss') AS misses,
@@ -561,20 +574,35 @@ SELECT count(*) FILTER (cache_result = 'hit') AS hits, count(*) FILTER (cache_re
 SELECT variant, 'prompt' AS kind, CAST(sum(k) AS BIGINT) AS tokens FROM routed GROUP BY variant
 UNION ALL SELECT variant, 'completion', CAST(sum(k * 2 + 1) AS BIGINT) FROM routed GROUP BY variant"""
     o["upstream_last"] = f"WITH {LOG} SELECT client, last(CASE WHEN status = 200 THEN 1 ELSE 0 END ORDER BY ts, request_id)::BIGINT AS up FROM log GROUP BY client"
-    o["rate_5m"] = f"""WITH {ROUTED}, w AS ({sliding('routed', ['variant', 'status'], 5)})
+    o["rate_5m"] = f"""WITH {COUNTED}, w AS ({sliding('requests', ['variant', 'status'], 5)})
 SELECT variant, CAST(status AS BIGINT) AS status, window_end, n, round_even(n / 300.0::DOUBLE, 9) AS per_second FROM w"""
-    o["rate_1m"] = f"""WITH {ROUTED}, w AS ({sliding('routed', ['variant'], 1)})
+    o["rate_1m"] = f"""WITH {COUNTED}, w AS ({sliding('requests', ['variant'], 1)})
 SELECT variant, window_end, n, round_even(n / 60.0::DOUBLE, 9) AS per_second FROM w"""
-    o["variant_compare"] = f"WITH {ROUTED} SELECT " + ", ".join(
+    o["variant_compare"] = f"WITH {COUNTED} SELECT " + ", ".join(
         f"count(*) FILTER (variant = '{v}') AS {v}_requests, round_even(count(*) FILTER (variant = '{v}' AND status >= 500) / count(*) FILTER (variant = '{v}'), 6) AS {v}_server_error_share"
         for v in ("stable", "canary")
-    ) + " FROM routed"
+    ) + " FROM requests"
     o["status_classes"] = f"""WITH {OUTCOMES},
 s AS (SELECT client, count(*) AS requests, count(*) FILTER (http_status BETWEEN 400 AND 499) AS client_errors,
   count(*) FILTER (http_status BETWEEN 500 AND 599) AS server_errors FROM classified WHERE counted GROUP BY client)
 SELECT *, round_even(client_errors / requests, 6) AS client_error_share, round_even(server_errors / requests, 6) AS server_error_share FROM s"""
     o["alert_signals"] = f"WITH {SIGNALS} SELECT alert, minute, round_even(value, 6) AS value, breached, hold_min FROM signals"
     o["alerts"] = f"WITH {SIGNALS} SELECT alert, started, ended, fired_at FROM firing"
+    o["alerts_sparse"] = f"WITH {signals(7)} SELECT alert, started, ended, fired_at FROM firing"
+    o["observe"] = f"""WITH {SIGNALS}
+SELECT 'requests' AS metric, route || '|' || status || '|' || variant AS label, count(*) AS n FROM requests GROUP BY 2
+UNION ALL SELECT 'latency', route || '|' || variant || '|' || CASE WHEN le = 'inf'::DOUBLE THEN 'Infinity' ELSE CAST(le AS VARCHAR) END, n
+  FROM ({histogram('observed', ['route', 'variant'])})
+UNION ALL SELECT 'rate_limited', route, count(*) FROM classified WHERE outcome = 'rate_limited' GROUP BY 2
+UNION ALL SELECT 'upstream_errors', upstream_error, count(*) FROM classified WHERE upstream_error IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'blocks', CASE outcome WHEN 'input_blocked' THEN 'input|' || input_reason ELSE 'output|' || output_reason END, count(*)
+  FROM classified WHERE outcome IN ('input_blocked', 'output_blocked') GROUP BY 2
+UNION ALL SELECT 'tokens', variant || '|prompt', CAST(sum(k) AS BIGINT) FROM classified WHERE outcome = 'ok' GROUP BY 2
+UNION ALL SELECT 'tokens', variant || '|completion', CAST(sum(2 * k + 1) AS BIGINT) FROM classified WHERE outcome = 'ok' GROUP BY 2
+UNION ALL SELECT 'upstream', 'main', CAST(last(CASE WHEN status = 200 THEN 1 ELSE 0 END ORDER BY ts, request_id) AS BIGINT) FROM log WHERE event_type IN ('click', 'error')
+UNION ALL SELECT 'alerts', alert, started FROM firing
+UNION ALL SELECT 'cache', 'hit', count(*) FROM classified WHERE outcome = 'cache_hit'
+UNION ALL SELECT 'cache', 'miss', count(*) FROM classified WHERE outcome IN ('timeout', 'unavailable', 'engine_error', 'output_blocked', 'ok')"""
     o["drift_signals"] = f"""WITH {SIGNALS_PER_MODEL}
 SELECT model, round_even(golden_pass_rate, 6) AS golden_pass_rate, round_even(baseline_pass_rate, 6) AS baseline_pass_rate, round_even(error_rate, 6) AS error_rate,
   round_even(p95_latency_s, 6) AS p95_latency_s, new_labelled_examples, round_even(unknown_topic_rate, 6) AS unknown_topic_rate FROM drift"""

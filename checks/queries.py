@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from millrace.operators import (
     validate,
 )
 from millrace.plans import curate as curate_plan
+from millrace.plans import observe as observe_plan
 from millrace.plans import traffic_report
 from millrace.session import materialize, scratch_path
 from millrace.sources import readers
@@ -683,13 +684,13 @@ def upstream_errors(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def latency_hist(spark: SparkSession, sf: str) -> DataFrame:
     """M2: cumulative histogram by route and variant."""
-    return metrics.latency_histogram(_routed(spark, sf), ["route", "variant"])
+    return metrics.latency_histogram(_classified(spark, sf).where("latency_observed"), ["route", "variant"])
 
 
 @query
 def latency_quantile(spark: SparkSession, sf: str) -> DataFrame:
     """M3: quantiles from the buckets."""
-    hist = metrics.latency_histogram(_routed(spark, sf), ["variant"])
+    hist = metrics.latency_histogram(_classified(spark, sf).where("latency_observed"), ["variant"])
     return metrics.quantiles(hist, ["variant"], [0.5, 0.95, 0.99]).withColumn("value", F.bround("value", 6))
 
 
@@ -717,12 +718,17 @@ def upstream_last(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.latest(readings, ["client"], "up")
 
 
+def _counted(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests in the request counter, with the variant they are labelled with."""
+    return _classified(spark, sf).where("counted").drop("variant").withColumnRenamed("label_variant", "variant")
+
+
 @query
 def rate_5m(spark: SparkSession, sf: str) -> DataFrame:
     """Five-minute rates, sliding by a minute, per variant and status."""
-    out = metrics.rates(_routed(spark, sf), ["variant", "status"], 5)
+    out = metrics.rates(_counted(spark, sf), ["variant", "http_status"], 5)
     return out.select(
-        "variant", F.col("status").cast("long").alias("status"), epoch(F.col("window_end")).alias("window_end"), "n",
+        "variant", F.col("http_status").cast("long").alias("status"), epoch(F.col("window_end")).alias("window_end"), "n",
         F.bround("per_second", 9).alias("per_second"),
     )
 
@@ -730,14 +736,14 @@ def rate_5m(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def rate_1m(spark: SparkSession, sf: str) -> DataFrame:
     """One-minute rates per variant."""
-    out = metrics.rates(_routed(spark, sf), ["variant"], 1)
+    out = metrics.rates(_counted(spark, sf), ["variant"], 1)
     return out.select("variant", epoch(F.col("window_end")).alias("window_end"), "n", F.bround("per_second", 9).alias("per_second"))
 
 
 @query
 def variant_compare(spark: SparkSession, sf: str) -> DataFrame:
     """Stable against canary."""
-    wide = metrics.variant_comparison(_routed(spark, sf))
+    wide = metrics.variant_comparison(_counted(spark, sf), "http_status")
     return wide.withColumns({c: F.bround(c, 6) for c in wide.columns if c.endswith("share")})
 
 
@@ -748,10 +754,14 @@ def status_classes(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumns({c: F.bround(c, 6) for c in out.columns if c.endswith("share")})
 
 
-def _signals(spark: SparkSession, sf: str) -> DataFrame:
-    log = _routed(spark, sf)
-    readings = log.where(F.col("event_type").isin("click", "error")).withColumn("up", (F.col("status") == 200).cast("long"))
-    return metrics.alert_signals(log, readings, ALERTS)
+def _readings(spark: SparkSession, sf: str, every: int = 1) -> DataFrame:
+    """Clicks and errors as probes of the upstream; ``every`` thins them out."""
+    log = request_log(spark, sf).where(F.col("event_type").isin("click", "error") & (F.col("request_id") % every == 0))
+    return log.select("ts", "request_id", F.lit("main").alias("upstream"), (F.col("status") == 200).cast("long").alias("up"))
+
+
+def _signals(spark: SparkSession, sf: str, every: int = 1) -> DataFrame:
+    return metrics.alert_signals(_classified(spark, sf), _readings(spark, sf, every), ALERTS)
 
 
 @query
@@ -771,6 +781,40 @@ def alerts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def alerts_sparse(spark: SparkSession, sf: str) -> DataFrame:
+    """The gauge is read rarely and holds between readings."""
+    return metrics.firing(_signals(spark, sf, every=7)).select(
+        "alert", epoch(F.col("started")).alias("started"), epoch(F.col("ended")).alias("ended"), epoch(F.col("fired_at")).alias("fired_at")
+    )
+
+
+@query
+def observe(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole observation job, one row per metric and label with its count."""
+    tokens = {"prompt_tokens": F.col("k").cast("long"), "completion_tokens": (F.col("k") * 2 + 1).cast("long")}
+    classified = materialize(_classified(spark, sf).withColumns(tokens), "classified")
+    done = observe_plan.observe(classified, materialize(_readings(spark, sf), "readings"), rules=ALERTS)
+
+    def rows(name: str, labels: Sequence[str], n: Column) -> DataFrame:
+        label = F.concat_ws("|", *[F.col(c).cast("string") for c in labels]) if labels else F.lit("")
+        return done[name].select(F.lit(name).alias("metric"), label.alias("label"), n.cast("long").alias("n"))
+
+    parts = [
+        rows("requests", ["route", "status", "variant"], F.col("n")),
+        rows("latency", ["route", "variant", "le"], F.col("n")),
+        rows("rate_limited", ["route"], F.col("n")),
+        rows("upstream_errors", ["kind"], F.col("n")),
+        rows("blocks", ["stage", "reason"], F.col("n")),
+        rows("tokens", ["variant", "kind"], F.col("tokens")),
+        rows("upstream", ["upstream"], F.col("up")),
+        rows("alerts", ["alert"], epoch(F.col("started"))),
+        done["cache"].select(F.lit("cache").alias("metric"), F.lit("hit").alias("label"), F.col("hits").alias("n")),
+        done["cache"].select(F.lit("cache").alias("metric"), F.lit("miss").alias("label"), F.col("misses").alias("n")),
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def _drift_signals(spark: SparkSession, sf: str) -> DataFrame:
     """One model per language; its traffic is the clients whose number falls to it."""
     docs = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("model"))

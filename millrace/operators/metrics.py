@@ -158,22 +158,23 @@ def variant_comparison(log: DataFrame, status: str = "status") -> DataFrame:
 # ---------------------------------------------------------------- alerts
 
 
-def alert_signals(log: DataFrame, readings: DataFrame | None = None, rules: AlertRules = AlertRules()) -> DataFrame:
+def alert_signals(classified: DataFrame, readings: DataFrame | None = None, rules: AlertRules = AlertRules()) -> DataFrame:
     """(alert, minute, value, breached, hold_min) for every minute with a value.
 
-    ``log`` has ts, status, variant, latency_s; ``readings`` has ts, up. Everything
-    is derived from per-minute counts.
+    ``classified`` is a classified log with ts and latency_s: shares are of counted requests,
+    latency is that of observed ones. ``readings`` has ts, up, request_id; a reading holds until
+    the next one. Everything is derived from per-minute counts.
     """
     width = rules.rate_window_min
-    is_canary = F.col("variant") == "canary"
-    failed = F.col("status").between(500, 599)
+    is_canary = F.col("label_variant") == "canary"
+    failed = F.col("http_status").between(500, 599)
     edges = [*fixed.LATENCY_BOUNDS, INF]
-    minutes = log.groupBy(F.date_trunc("minute", "ts").alias("minute")).agg(
+    minutes = classified.where("counted").groupBy(F.date_trunc("minute", "ts").alias("minute")).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(failed).alias("bad"),
         F.count_if(is_canary).alias("canary_n"),
         F.count_if(failed & is_canary).alias("canary_bad"),
-        *[F.count_if(F.col("latency_s") <= F.lit(float(b))).alias(f"b{i}") for i, b in enumerate(edges)],
+        *[F.count_if(F.col("latency_observed") & (F.col("latency_s") <= F.lit(float(b)))).alias(f"b{i}") for i, b in enumerate(edges)],
     )
     sums = ["n", "bad", "canary_n", "canary_bad", *[f"b{i}" for i in range(len(edges))]]
     windows = sliding(minutes, [], width, sums).withColumnRenamed("window_end", "minute")
@@ -207,9 +208,7 @@ def alert_signals(log: DataFrame, readings: DataFrame | None = None, rules: Aler
     )
     out = from_log.unionByName(p95)
     if readings is not None:
-        up = readings.groupBy(F.date_trunc("minute", "ts").alias("minute")).agg(
-            F.max_by("up", "ts").cast("double").alias("value")
-        )
+        up = _held(readings, windows)
         out = out.unionByName(
             up.select(
                 F.lit("UpstreamDown").alias("alert"), "minute", "value", (F.col("value") == 0).alias("breached"),
@@ -219,6 +218,25 @@ def alert_signals(log: DataFrame, readings: DataFrame | None = None, rules: Aler
     return out
 
 
+def _held(readings: DataFrame, windows: DataFrame) -> DataFrame:
+    """(minute, value): the last reading of each minute, carried on to the next one and to the end of the log.
+
+    One row per minute with a reading is ordered, whatever the traffic.
+    """
+    each = readings.groupBy(F.date_trunc("minute", "ts").alias("minute")).agg(
+        _last("up", "ts", "request_id").cast("double").alias("value")
+    )
+    end = windows.agg(F.max("minute").alias("minute")).select("minute", F.lit(None).cast("double").alias("value"))
+    marks = each.unionByName(end.where("minute is not null")).groupBy("minute").agg(F.max("value").alias("value"))
+    order = Window.orderBy("minute")
+    minute = F.expr("INTERVAL 1 MINUTE")
+    held = marks.select(
+        "minute", F.last("value", ignorenulls=True).over(order).alias("value"), F.lead("minute").over(order).alias("_next")
+    ).where("value is not null")
+    upto = F.coalesce(F.col("_next") - minute, F.col("minute"))
+    return held.select(F.explode(F.sequence("minute", upto, minute)).alias("minute"), "value")
+
+
 def firing(signals: DataFrame) -> DataFrame:
     """Stretches of unbroken breach that lasted the whole hold: (alert, started, ended, fired_at).
 
