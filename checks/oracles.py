@@ -375,7 +375,7 @@ drift AS (
 
 KNN = """
 v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-ranked AS (SELECT q.vec_id AS query_id, c.vec_id AS id, pow(list_distance(q.e, c.e), 2) AS d FROM v q CROSS JOIN v c),
+ranked AS (SELECT q.vec_id AS query_id, c.vec_id AS id, pow(list_distance(q.e, c.e), 2) AS d FROM v q CROSS JOIN v c WHERE q.vec_id % 50 = 0),
 hits AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, id) AS rank FROM ranked) WHERE rank <= 3)"""
 
 
@@ -558,7 +558,16 @@ GROUP BY event_type, least(coalesce(max_tokens, 256), 512), coalesce(temperature
 t AS (SELECT query_id, text, row_number() OVER (PARTITION BY query_id ORDER BY rank) AS i FROM hits JOIN documents ON doc_id = id)
 SELECT query_id, md5({lit(fixed.CONTEXT_HEADER.rstrip(chr(10)))} || chr(10) || chr(10) || string_agg('[' || i || '] ' || text, chr(10) ORDER BY i)) AS context_md5
 FROM t GROUP BY query_id"""
-    o["unknown_topics"] = "SELECT count(*) AS hit, CAST(0 AS BIGINT) AS empty, CAST(0 AS DOUBLE) AS unknown_topic_rate FROM embeddings"
+    o["unknown_topics"] = f"""WITH {KNN}, best AS (SELECT query_id, 1 / (1 + min(d)) AS score FROM ranked WHERE id % 50 <> 0 GROUP BY query_id)
+SELECT count(*) FILTER (score >= 0.5) AS hit, count(*) FILTER (score < 0.5) AS empty, count(*) FILTER (score < 0.5) / count(*) AS unknown_topic_rate FROM best"""
+    o["kb_context"] = f"""
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+r AS (SELECT q.vec_id AS conv_id, d.text, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(q.e, c.e), 'kb-' || c.vec_id) AS i
+  FROM v q JOIN (SELECT DISTINCT conv_id FROM conversations) ON conv_id = q.vec_id CROSS JOIN v c JOIN documents d ON d.doc_id = c.vec_id WHERE c.vec_id % 3 = 0),
+ctx AS (SELECT conv_id, {lit(fixed.CONTEXT_HEADER.rstrip(chr(10)))} || chr(10) || chr(10) || string_agg('[' || i || '] ' || text, chr(10) ORDER BY i) AS context FROM r WHERE i <= 3 GROUP BY conv_id),
+l AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS r FROM conversations),
+t AS (SELECT conv_id, count(*) + 1 AS n, string_agg(role || ':' || text, chr(10) ORDER BY turn) AS turns FROM l WHERE r <= 4 GROUP BY conv_id)
+SELECT conv_id, n, md5('system:' || {lit(SYSTEM_PROMPT)} || coalesce(chr(10) || chr(10) || context, '') || chr(10) || turns) AS prompt_md5 FROM t LEFT JOIN ctx USING (conv_id)"""
 
     o["request_counts"] = f"""WITH {OUTCOMES}
 SELECT route, CAST(http_status AS BIGINT) AS status, label_variant AS variant, count(*) AS n FROM classified WHERE counted GROUP BY ALL"""

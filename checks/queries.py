@@ -17,7 +17,7 @@ from millrace.operators import (
 )
 from millrace.plans import curate as curate_plan
 from millrace.plans import observe as observe_plan
-from millrace.plans import traffic_report
+from millrace.plans import prompt, traffic_report
 from millrace.session import materialize, scratch_path
 from millrace.sources import readers
 from millrace.sources.tables import (
@@ -622,14 +622,17 @@ def _vectors(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
 
 
+ASKED = "id % 50 = 0"
+
+
 def _hits(spark: SparkSession, sf: str) -> DataFrame:
     vectors = _vectors(spark, sf)
-    return retrieval.nearest(vectors, vectors)
+    return retrieval.nearest(vectors.where(ASKED), vectors)
 
 
 @query
 def knn_topk(spark: SparkSession, sf: str) -> DataFrame:
-    """K1-K2: the three nearest vectors of every vector."""
+    """K1-K2: the three nearest vectors of every fiftieth vector."""
     return _hits(spark, sf).select(
         "query_id", F.col("rank").cast("long").alias("rank"), "id", F.bround("distance", 6).alias("distance"),
         F.bround("score", 6).alias("score"),
@@ -640,7 +643,7 @@ def knn_topk(spark: SparkSession, sf: str) -> DataFrame:
 def knn_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """K1 by block product, the way for chunk tables too large to broadcast; true L2 distance."""
     vectors = _vectors(spark, sf)
-    return retrieval.nearest(vectors, vectors, metric="l2", broadcast_bytes=0).select(
+    return retrieval.nearest(vectors.where(ASKED), vectors, metric="l2", broadcast_bytes=0).select(
         "query_id", F.col("rank").cast("long").alias("rank"), "id", F.bround("distance", 6).alias("distance"),
         F.bround("score", 6).alias("score"),
     )
@@ -655,9 +658,22 @@ def context_blocks(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def unknown_topics(spark: SparkSession, sf: str) -> DataFrame:
-    """Retrievals with and without context."""
+    """Every fiftieth vector against the others, found from a score of 0.5."""
     vectors = _vectors(spark, sf)
-    return retrieval.unknown_topic_rate(retrieval.context_found(vectors, _hits(spark, sf)))
+    return prompt.unknown_rate(vectors.where(ASKED), vectors.where(f"NOT ({ASKED})"), 0.5)
+
+
+@query
+def kb_context(spark: SparkSession, sf: str) -> DataFrame:
+    """Prompts of all conversations with context from a knowledge base with text ids."""
+    vectors = _vectors(spark, sf)
+    texts = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    chunks = vectors.where("id % 3 = 0").join(texts, "id").withColumn("id", F.concat(F.lit("kb-"), F.col("id").cast("string")))
+    turns = table(spark, sf, "conversations")
+    questions = vectors.join(turns.select(F.col("conv_id").alias("id")).distinct(), "id")
+    built = prompt.prompts(turns, questions, chunks, SYSTEM_PROMPT, limits=ServingLimits(max_history_turns=2))
+    rendered = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n")
+    return built.select("conv_id", F.size("messages").cast("long").alias("n"), F.md5(rendered).alias("prompt_md5"))
 
 
 # ---------------------------------------------------------------- metrics

@@ -96,17 +96,26 @@ def assemble_from_messages(
 
 
 def assemble_from_turns(
-    turns: DataFrame, system_prompt: str, conversation: str = "conv_id", limits: ServingLimits = ServingLimits()
+    turns: DataFrame, system_prompt: str, conversation: str = "conv_id", limits: ServingLimits = ServingLimits(),
+    contexts: DataFrame | None = None,
 ) -> DataFrame:
-    """(conversation, messages). Only the last turns are collected, a bounded number per conversation."""
+    """(conversation, messages). Only the last turns are collected, a bounded number per conversation.
+
+    ``contexts`` (conversation, context) goes into the system message; without a row the context is empty.
+    """
     latest = Window.partitionBy(conversation).orderBy(F.col("turn").desc())
     kept = turns.withColumn("_r", F.row_number().over(latest)).where(F.col("_r") <= 2 * limits.max_history_turns)
     last = F.transform(
         F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))),
         lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")),
     )
-    head = F.struct(F.lit("system").alias("role"), F.lit(system_prompt.strip()).alias("content"))
-    return kept.groupBy(conversation).agg(F.concat(F.array(head), last).alias("messages"))
+    collected = kept.groupBy(conversation).agg(last.alias("_last"))
+    context = None
+    if contexts is not None:
+        collected = collected.join(contexts.select(conversation, F.col("context").alias("_context")), conversation, "left")
+        context = F.col("_context")
+    head = F.struct(F.lit("system").alias("role"), _system(system_prompt, context).alias("content"))
+    return collected.select(conversation, F.concat(F.array(head), "_last").alias("messages"))
 
 
 # ---------------------------------------------------------------- parameters and client

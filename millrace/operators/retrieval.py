@@ -14,7 +14,8 @@ from millrace.functions import fixed
 BROADCAST_BYTES = 64 * 1024 * 1024
 QUERY_BLOCK = 2048
 CHUNK_BLOCK = 8192
-HIT_SCHEMA = "query_id long, id long, distance double"
+#: Queries whose candidates are measured again at a time; each may have a whole block of ties.
+TIE_ROWS = 16
 
 
 def _top(queries: np.ndarray, query_ids: np.ndarray, chunks: np.ndarray, chunk_ids: np.ndarray, k: int) -> pd.DataFrame:
@@ -22,53 +23,62 @@ def _top(queries: np.ndarray, query_ids: np.ndarray, chunks: np.ndarray, chunk_i
 
     One matrix product gives distances up to rounding; everything within the
     rounding margin of the k-th is then measured again by differences, so equal
-    vectors tie exactly and the order is that of the exact distances.
+    vectors tie exactly and the order is that of the exact distances. That is done
+    for a few queries at a time, which bounds the memory however many chunks tie.
     """
     k = min(k, len(chunk_ids))
     q2 = np.einsum("ij,ij->i", queries, queries)
     c2 = np.einsum("ij,ij->i", chunks, chunks)
     rough = q2[:, None] + c2[None, :] - 2.0 * (queries @ chunks.T)
     kth = np.partition(rough, k - 1, axis=1)[:, k - 1]
-    margin = 1e-9 * (1.0 + q2 + c2.max())
-    rows, cols = np.nonzero(rough <= (kth + margin)[:, None])
-    exact = np.square(queries[rows] - chunks[cols]).sum(axis=1)
-    ids = chunk_ids[cols]
-    order = np.lexsort((ids, exact, rows))
-    rows, exact, ids = rows[order], exact[order], ids[order]
-    starts = np.searchsorted(rows, np.arange(len(query_ids)))
-    place = np.arange(len(rows)) - starts[rows]
-    best = place < k
-    return pd.DataFrame({"query_id": query_ids[rows[best]], "id": ids[best], "distance": exact[best]})
+    near = rough <= (kth + 1e-9 * (1.0 + q2 + c2.max()))[:, None]
+    _, place_of_id = np.unique(chunk_ids, return_inverse=True)  # ids of any kind, by their order
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for start in range(0, len(queries), TIE_ROWS):
+        rows, cols = np.nonzero(near[start : start + TIE_ROWS])
+        rows += start
+        exact = np.square(queries[rows] - chunks[cols]).sum(axis=1)
+        order = np.lexsort((place_of_id[cols], exact, rows))
+        rows, cols, exact = rows[order], cols[order], exact[order]
+        best = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+        found.append((rows[best], cols[best], exact[best]))
+    rows, cols, exact = (np.concatenate(x) for x in zip(*found))
+    return pd.DataFrame({"query_id": query_ids[rows], "id": chunk_ids[cols], "distance": exact})
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack(vectors.to_numpy()).astype(np.float64)
 
 
-def _bytes(chunks: DataFrame) -> int:
-    size = chunks.agg(F.coalesce(F.sum(F.size("embedding") * 8 + 16), F.lit(0)).alias("b")).first()["b"]
-    return int(size)
+def _bytes(vectors: DataFrame) -> int:
+    size = vectors.agg(F.coalesce(F.sum(F.size("embedding") * 8 + F.octet_length(F.col("id").cast("string")) + 16), F.lit(0)).alias("b"))
+    return int(size.first()["b"])
 
 
 def nearest(
     queries: DataFrame, chunks: DataFrame, k: int = 3, metric: str = "l2sq", broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """(query_id, rank, id, distance, score): exact search, best first, ties by id.
+    """(query_id, rank, id, distance, score): exact search, best first, ties by id; ids are of any orderable type.
 
-    Both sides have (id, embedding). Up to ``broadcast_bytes`` of chunks are sent
-    to every task and the queries are scanned where they lie. More chunks than
-    that are cut into blocks; queries and chunks meet block by block through a
-    shuffle, each cell keeps k hits per query, and a rank filter merges them.
+    Both sides have (id, embedding) and are measured. A side of up to ``broadcast_bytes``
+    is sent to every task and the other is scanned where it lies: queries each
+    against all chunks, or chunks keeping the best k of their part for each query.
+    If both are larger, they are cut into blocks that meet block by block through a
+    shuffle. A rank filter merges the candidates.
     """
     if metric not in ("l2sq", "l2"):
         raise ValueError(f"unknown metric: {metric}")
+    kinds = {"query_id": queries.schema["id"].dataType, "id": chunks.schema["id"].dataType}
+    schema = ", ".join(f"{n} {t.simpleString()}" for n, t in kinds.items()) + ", distance double"
     size = _bytes(chunks)
     if size == 0:
-        return queries.sparkSession.createDataFrame([], HIT_SCHEMA + ", rank int, score double")
-    if size <= broadcast_bytes:
-        hits = _nearest_broadcast(queries, chunks, k)
+        hits = queries.sparkSession.createDataFrame([], schema)
+    elif size <= broadcast_bytes:
+        hits = _scan_queries(queries, chunks, k, schema)
+    elif _bytes(queries) <= broadcast_bytes:
+        hits = _scan_chunks(queries, chunks, k, schema)
     else:
-        hits = _nearest_blocks(queries, chunks, k)
+        hits = _nearest_blocks(queries, chunks, k, schema)
     order = Window.partitionBy("query_id").orderBy("distance", "id")
     ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     distance = F.col("distance") if metric == "l2sq" else F.sqrt("distance")
@@ -77,10 +87,15 @@ def nearest(
     )
 
 
-def _nearest_broadcast(queries: DataFrame, chunks: DataFrame, k: int) -> DataFrame:
-    spark = queries.sparkSession
-    local = chunks.select(F.col("id").cast("long").alias("id"), "embedding").toPandas()  # size checked by the caller
-    shared = spark.sparkContext.broadcast((_matrix(local["embedding"]), local["id"].to_numpy()))
+def _shared(vectors: DataFrame):
+    """A side whose size the caller has checked, in every task."""
+    local = vectors.select("id", "embedding").toPandas()
+    matrix = _matrix(local["embedding"]) if len(local) else np.zeros((0, 0))
+    return vectors.sparkSession.sparkContext.broadcast((matrix, local["id"].to_numpy()))
+
+
+def _scan_queries(queries: DataFrame, chunks: DataFrame, k: int, schema: str) -> DataFrame:
+    shared = _shared(chunks)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vectors, ids = shared.value
@@ -88,16 +103,32 @@ def _nearest_broadcast(queries: DataFrame, chunks: DataFrame, k: int) -> DataFra
             for at in range(0, len(batch), QUERY_BLOCK):
                 part = batch.iloc[at : at + QUERY_BLOCK]
                 q, qid = _matrix(part["embedding"]), part["id"].to_numpy()
-                found = [
-                    _top(q, qid, vectors[c : c + CHUNK_BLOCK], ids[c : c + CHUNK_BLOCK], k)
-                    for c in range(0, len(ids), CHUNK_BLOCK)
-                ]
-                yield pd.concat(found)
+                for c in range(0, len(ids), CHUNK_BLOCK):
+                    yield _top(q, qid, vectors[c : c + CHUNK_BLOCK], ids[c : c + CHUNK_BLOCK], k)
+
+    return queries.select("id", "embedding").mapInPandas(scan, schema)
+
+
+def _scan_chunks(queries: DataFrame, chunks: DataFrame, k: int, schema: str) -> DataFrame:
+    shared = _shared(queries)
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        vectors, ids = shared.value
+        best: pd.DataFrame | None = None
+        for batch in batches:
+            for at in range(0, len(batch) if len(ids) else 0, CHUNK_BLOCK):
+                part = batch.iloc[at : at + CHUNK_BLOCK]
+                c, cid = _matrix(part["embedding"]), part["id"].to_numpy()
+                hits = [_top(vectors[q : q + QUERY_BLOCK], ids[q : q + QUERY_BLOCK], c, cid, k) for q in range(0, len(ids), QUERY_BLOCK)]
+                merged = pd.concat([*hits] if best is None else [best, *hits]).sort_values(["query_id", "distance", "id"])
+                best = merged.groupby("query_id", sort=False).head(k)
+        if best is not None:
+            yield best
 
-    return queries.select(F.col("id").cast("long").alias("id"), "embedding").mapInPandas(scan, HIT_SCHEMA)
+    return chunks.select("id", "embedding").mapInPandas(scan, schema)
 
 
-def _nearest_blocks(queries: DataFrame, chunks: DataFrame, k: int) -> DataFrame:
+def _nearest_blocks(queries: DataFrame, chunks: DataFrame, k: int, schema: str) -> DataFrame:
     """Block product: every query block meets every chunk block in a task of its own.
 
     The number of blocks comes from the row counts, so both sides of a cell have a
@@ -106,11 +137,11 @@ def _nearest_blocks(queries: DataFrame, chunks: DataFrame, k: int) -> DataFrame:
     n_q = max(1, -(-queries.count() // QUERY_BLOCK))
     n_c = max(1, -(-chunks.count() // CHUNK_BLOCK))
     q = queries.select(
-        F.lit(0).alias("side"), F.col("id").cast("long").alias("id"), "embedding",
-        F.pmod(F.xxhash64("id"), F.lit(n_q)).alias("qb"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_c - 1).cast("long"))).alias("cb"),
+        "id", "embedding", F.pmod(F.xxhash64("id"), F.lit(n_q)).alias("qb"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_c - 1).cast("long"))).alias("cb"),
     )
     c = chunks.select(
-        F.lit(1).alias("side"), F.col("id").cast("long").alias("id"), "embedding",
+        "id", "embedding",
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_q - 1).cast("long"))).alias("qb"), F.pmod(F.xxhash64("id"), F.lit(n_c)).alias("cb"),
     )
 
@@ -121,7 +152,7 @@ def _nearest_blocks(queries: DataFrame, chunks: DataFrame, k: int) -> DataFrame:
             _matrix(left["embedding"]), left["id"].to_numpy(), _matrix(right["embedding"]), right["id"].to_numpy(), k
         )
 
-    return q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInPandas(cell, HIT_SCHEMA)
+    return q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInPandas(cell, schema)
 
 
 def context_blocks(hits: DataFrame, chunks: DataFrame) -> DataFrame:
