@@ -253,7 +253,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Field | None:
     place = F.xxhash64("doc_id")
     share = F.when(F.col("quality") == 1, SAMPLE_DOCS / sizes[1]).otherwise(SAMPLE_DOCS / sizes[0])
     chosen = known.where((F.pmod(place, F.lit(1_000_003)) / 1_000_003.0) < share).dropDuplicates(["doc_id"])
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("quality", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", "text")  # about 2 SAMPLE_DOCS ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
