@@ -465,6 +465,11 @@ SELECT CASE WHEN grouping(split) = 0 THEN 'split' WHEN grouping(category) = 0 TH
   coalesce(split, category, 'all') AS name, count(*) AS n, {places('sum(length(question)) / count(*)', 1)} AS avg_answer_chars
 FROM splits GROUP BY GROUPING SETS ((), (split), (category))"""
     o["split_presence"] = f"WITH {CONV_PAIRS}, {split_ctes('pairs', 'id')} SELECT split, count(*) AS n FROM splits GROUP BY split"
+    o["split_no_ids"] = f"""WITH {DOC_PROMPTS}, {SIZES.format(src='pairs')}
+SELECT category, split, n FROM (
+  SELECT category, 'train' AS split, n_train AS n FROM sizes UNION ALL SELECT category, 'val', n_val FROM sizes UNION ALL SELECT category, 'test', n_test FROM sizes)
+WHERE n > 0"""
+    o["corpus_cap_no_ids"] = "SELECT 'unknown' AS category, CAST(least(150, 2 * count(*)) AS BIGINT) AS n FROM documents"
     o["seeded_shuffle"] = f"WITH {CONV_PAIRS} SELECT id, {sha(42, 'id')} AS order_key FROM pairs"
     o["run_board"] = """
 WITH l AS (SELECT d.source, avg(1.0::DOUBLE - quality) AS loss, count(*) AS n FROM labels JOIN documents d USING (doc_id) GROUP BY d.source)

@@ -170,8 +170,10 @@ def shingle_overlap(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def near_dedup_kept(spark: SparkSession, sf: str) -> DataFrame:
     """D6 after D2: greedy keep-first near-duplicate flags."""
-    unique = materialize(dedup.flag_exact_duplicates(document_prompts(spark, sf)).where(~F.col("exact_dup")), "unique")
-    return dedup.flag_near_duplicates(unique, NEAR_THRESHOLD).select(F.col("pos").alias("doc_id"), "near_dup")
+    docs = document_prompts(spark, sf)
+    dropped = materialize(dedup.drops(docs, NEAR_THRESHOLD), "dropped")
+    flagged = docs.select("pos").join(dropped, "pos", "left").where("dropped is distinct from 'exact_dup'")
+    return flagged.select(F.col("pos").alias("doc_id"), F.col("dropped").isNotNull().alias("near_dup"))
 
 
 @query
@@ -290,6 +292,24 @@ def split_presence(spark: SparkSession, sf: str) -> DataFrame:
     return split.assign(_chat_examples(spark, sf), "id").groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def split_no_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """L1 with all ids blank: the sizes stay exact."""
+    blank = document_prompts(spark, sf).withColumn("id", F.lit(""))
+    return split.assign(blank, "id", tie="pos").groupBy("category", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def corpus_cap_no_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """S4 with all ids blank, every document twice: the cap stays exact."""
+    rows = table(spark, sf, "documents").select(
+        F.lit(None).cast("string").alias("id"), F.col("text").alias("question"), F.lit("r").alias("response"),
+        F.lit(None).cast("string").alias("system_prompt"),
+    )
+    capped = readers.read_corpus(rows.unionByName(rows), "documents", IngestRules(max_docs=150, keep_categories=()))
+    return capped.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def seeded_shuffle(spark: SparkSession, sf: str) -> DataFrame:
     """Place of every example in the seeded order, as its hash."""

@@ -34,7 +34,10 @@ def add_honesty(examples: DataFrame, honesty_pairs: DataFrame, system_prompt: st
 
 
 def shuffled(examples: DataFrame, seed: int, row_id: str = "id") -> DataFrame:
-    """A seeded total order for the sink; range-partitioned, not gathered."""
+    """A seeded total order for the sink; range-partitioned, not gathered. A column ``row`` orders equal ids."""
+    if "row" in examples.columns:
+        named = F.concat_ws("|", F.col(row_id).cast("string"), F.col("row").cast("string"))
+        return examples.orderBy(seeded_order(seed, named), "row")
     return examples.orderBy(seeded_order(seed, F.col(row_id)), row_id)
 
 

@@ -54,6 +54,25 @@ def flag_exact_duplicates(df: DataFrame, pos: str = "pos", field: str = "questio
     return df.join(first, pos, "left").withColumn("exact_dup", F.coalesce("exact_dup", F.lit(True)))
 
 
+def exact_duplicates(df: DataFrame, pos: str = "pos", field: str = "question") -> DataFrame:
+    """Positions of the rows whose normal form an earlier row has; only positions and digests shuffle."""
+    keyed = df.select(F.col(pos).alias("pos"), F.sha2(text.dedup_text(F.col(field)), 256).alias("_key"))
+    first = keyed.groupBy("_key").agg(F.min("pos").alias("pos")).select("pos")
+    return keyed.select("pos").join(first, "pos", "left_anti")
+
+
+def drops(df: DataFrame, threshold: float, pos: str = "pos", field: str = "question") -> DataFrame:
+    """(pos, dropped): ``exact_dup`` or ``near_dup`` for every row that exact dedup and then near dedup drop.
+
+    Both read the texts where they lie. The near step may look at exact duplicates too:
+    they have the shingle set of their first row, so they are copies of it there and
+    decide nothing about other rows.
+    """
+    exact = materialize(exact_duplicates(df, pos, field), "exact-dropped")
+    near = near_duplicates(df, threshold, pos, field).join(exact, "pos", "left_anti")
+    return exact.withColumn("dropped", F.lit("exact_dup")).unionByName(near.withColumn("dropped", F.lit("near_dup")))
+
+
 # ---------------------------------------------------------------- near
 
 

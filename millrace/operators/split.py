@@ -53,14 +53,19 @@ def sizes(df: DataFrame, rules: SplitRules = SplitRules()) -> DataFrame:
     return with_sizes(df.groupBy("category").agg(F.count(F.lit(1)).alias("n")), rules)
 
 
-def assign(df: DataFrame, row_id: str, rules: SplitRules = SplitRules()) -> DataFrame:
+def assign(df: DataFrame, row_id: str, rules: SplitRules = SplitRules(), tie: str | None = None) -> DataFrame:
     """Add ``split``: exact sizes per category, membership by seeded hash order.
 
+    Ids that are blank or repeat need ``tie``, a unique column, to keep the sizes exact.
+
     Instead of numbering every category's rows, the two boundary hashes are
     found exactly and each row compares its own hash with them, so the rows
     themselves neither shuffle nor sort and a category of any size is no hot spot.
     """
-    order = F.concat(seeded_order(rules.seed, F.col(row_id)), F.lit("|"), F.col(row_id).cast("string"))
+    named = F.col(row_id).cast("string")
+    if tie is not None:
+        named = F.concat_ws("|", named, F.col(tie).cast("string"))
+    order = F.concat(seeded_order(rules.seed, named), F.lit("|"), named)
     keyed = df.withColumn("_k", order)
     wanted = sizes(df, rules).select(
         "category",

@@ -23,14 +23,16 @@ def build_split(
 ) -> Dataset:
     """Turn curated pairs into a checked, split dataset; raises if a check fails.
 
-    Validation comes before the split here, not only by run order. The split
-    table is written once because both guards, the statistics and the sink read it.
+    Validation comes before the split here, not only by run order. The examples are written
+    once with a number, ``row``, which makes split and shuffle exact where ids are blank
+    or repeat; both guards, the statistics and the sink read them with their split.
     """
     examples = chat.to_chat(kept, system_prompt)
     if honesty_pairs is not None:
         examples = chat.add_honesty(examples, honesty_pairs, system_prompt)
-    checked = validate.example_errors(examples).withColumn("line_no", F.col("id"))
+    examples = materialize(examples.withColumn("row", F.monotonically_increasing_id()), "examples")
+    checked = validate.example_errors(examples).withColumn("line_no", F.col("row"))
     validate.require_valid(checked)
-    done = materialize(split.assign(examples, "id", rules), "split-examples")
+    done = split.assign(examples, "id", rules, tie="row")
     split.require_sound(done)
     return Dataset(done, split.stats(done))

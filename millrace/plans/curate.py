@@ -33,25 +33,19 @@ def curate(
 ) -> Curated:
     """Run the curation job over pairs with a unique, ordering ``pos``.
 
-    Two tables are written: the gated rows, because the rejects feed the report
-    and the rest feeds redaction, and the redacted rows, which both dedup steps read.
+    Text is written once, gated and redacted in one pass; of rejected rows only their
+    reason is. Both dedup steps read it where it lies and give one narrow table of
+    dropped positions. Texts are read once more for the survivors.
     """
-    gated = materialize(quality.gate(pairs, quality_rules, language), "gated")
-    redacted = materialize(
-        pii.redact(quality.accepted(gated), FIELDS, rules.placeholder_style, rules.pii_enabled), "redacted"
-    )
-    exact = materialize(dedup.flag_exact_duplicates(redacted), "exact")
-    unique = exact.where(~F.col("exact_dup")).drop("exact_dup")
-    flagged = materialize(dedup.flag_near_duplicates(unique, rules.near_dup_threshold), "near")
-    kept = flagged.where(~F.col("near_dup")).drop("near_dup", "reason", "question_found", "answer_found")
-
-    outcome = [F.col("pos"), F.col("category")]
-    judged = (
-        gated.where(F.col("reason") != "ok").select(*outcome, "reason")
-        .unionByName(exact.where("exact_dup").select(*outcome, F.lit("exact_dup").alias("reason")))
-        .unionByName(
-            flagged.select(*outcome, F.when(F.col("near_dup"), F.lit("near_dup")).otherwise(F.lit("ok")).alias("reason"))
-        )
+    gated = quality.gate(pairs, quality_rules, language)
+    ok = F.col("reason") == "ok"
+    texts = gated.withColumns({f: F.when(ok, F.col(f)) for f in FIELDS})
+    wide = materialize(pii.redact(texts, FIELDS, rules.placeholder_style, rules.pii_enabled), "judged")
+    redacted = wide.where(ok)
+    dropped = materialize(dedup.drops(redacted, rules.near_dup_threshold), "dropped")
+    kept = redacted.join(dropped, "pos", "left_anti").drop("reason", "question_found", "answer_found")
+    judged = wide.select("pos", "category", "reason").join(dropped, "pos", "left").select(
+        "pos", "category", F.coalesce("dropped", "reason").alias("reason")
     )
     counts = report.reason_counts(judged)
     entities = pii.entity_totals(redacted, FIELDS, rules.placeholder_style)

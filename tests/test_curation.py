@@ -4,13 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.config import CurationRules, QualityRules
-from millrace.functions import text
+from millrace.functions import groups, text
 from millrace.operators import dedup, pii, quality, report
 from millrace.plans.curate import curate
 from millrace.sources.readers import category_of
 
-GOOD_Q = "What is the capital of Japan and why is it famous?"
-GOOD_A = "The capital of Japan is Tokyo. It is famous for its food, its temples and its busy streets."
+GOOD_Q = "Which tools do you need to bind a small book at home?"
+GOOD_A = "You need a needle, strong thread and an awl. A bone folder is useful, but a spoon will do for most of the folds."
 
 
 def pairs(spark, rows):
@@ -28,23 +28,20 @@ def test_gate_reasons(spark):
     rows = {
         (GOOD_Q, GOOD_A): "ok",
         (None, GOOD_A): "empty_question",
-        ("  \t", GOOD_A): "empty_question",
-        (GOOD_Q, ""): "empty_answer",
-        (GOOD_Q, "\n \x1c"): "empty_answer",
-        ("Two words", GOOD_A): "question_length",
-        ("Describe a sunset.", "beautiful"): "answer_length",
-        ("What do you think?", "As an AI language model, I cannot provide that opinion."): "refusal",
-        ("What is the capital of France?", "What is the capital of France"): "question_echo",
-        ("List the benefits.", "Exercise is good. " * 12): "repetition",
-        (
-            "Write a short ad for the sale.",
-            "BUY NOW LIMITED TIME OFFER CLICK HERE FOR THE BEST DEAL TODAY ONLY",
-        ): "all_caps",
-        (GOOD_Q, "The # of # things # is ... not # known to us."): "symbol_ratio",
-        (GOOD_Q, "a b c d e f g h i j k l m."): "mean_word_length",
-        (GOOD_Q, "Ein ganz anderer Satz ohne jedes passende Wort."): "not_english",
-        ("Explain the water cycle please.", "The water rises by evaporation, and then it"): "truncated",
-        (GOOD_Q, "The best site for viagra is not one that you would trust."): "blocklist",
+        ("\n \t", GOOD_A): "empty_question",
+        (GOOD_Q, "   "): "empty_answer",
+        (GOOD_Q, "\x1c\x1f"): "empty_answer",
+        ("Bind how", GOOD_A): "question_length",
+        (GOOD_Q, "Needle and thread."): "answer_length",
+        (GOOD_Q, "I am unable to provide the list of tools that you asked for."): "refusal",
+        ("Fold the sheets and then press them flat", "then press the sheets flat and fold them"): "question_echo",
+        (GOOD_Q, "Wax the thread. Wax the thread. Wax the thread. Wax the thread."): "repetition",
+        (GOOD_Q, "NEEDLE, THREAD, PAPER, GLUE and CLOTH for the COVER and the SPINE of it too."): "all_caps",
+        (GOOD_Q, "Step # one is to fold, step # two ... is to sew ... the # pile."): "symbol_ratio",
+        (GOOD_Q, "I do so as we do it: by a bit, on a go, in a fix."): "mean_word_length",
+        (GOOD_Q, "Nadel, Faden und Papier liegen schon lange bereit."): "not_english",
+        (GOOD_Q, "You start by folding all of the sheets and then you press"): "truncated",
+        (GOOD_Q, "There is a casino bonus for you with all of our glue."): "blocklist",
     }
     assert reasons(spark, list(rows)) == list(rows.values())
 
@@ -57,9 +54,11 @@ def test_finished_answers(spark):
 
 
 def test_switches_and_language_column(spark):
-    refusal = ("What do you think?", "As an AI language model, I cannot provide that opinion to you at this time.")
+    refusal = (GOOD_Q, "I'm unable to provide that, as it is a secret of the trade and not for all of us.")
+    assert reasons(spark, [refusal]) == ["refusal"]
     assert reasons(spark, [refusal], QualityRules(reject_refusals=False)) == ["ok"]
-    cut = ("Explain the water cycle please.", "The water rises by evaporation, and then it")
+    cut = (GOOD_Q, "You will want an awl for the holes and a ruler that is")
+    assert reasons(spark, [cut]) == ["truncated"]
     assert reasons(spark, [cut], QualityRules(reject_truncated=False)) == ["ok"]
     df = pairs(spark, [(GOOD_Q, GOOD_A)] * 2).withColumn("lang", F.when(F.col("pos") == 0, "en").otherwise("fr"))
     assert [r["reason"] for r in quality.gate(df, language="lang").orderBy("pos").collect()] == ["ok", "not_english"]
@@ -82,27 +81,24 @@ def test_repetition_against_counting(spark, limit):
 
 
 def test_category_of(spark):
-    ids = ["flan.2000000", "t0.1000", "niv.123", "cot.456", "", None, ".5", "NIV"]
+    ids = {"flan.77": "flan", "COT.a.b": "cot", "T0": "t0", "": "unknown", None: "unknown", ".9": "", "Niv.": "niv"}
     df = spark.createDataFrame([(i, v) for i, v in enumerate(ids)], "i int, id string")
-    got = [r["c"] for r in df.orderBy("i").select(category_of(F.col("id")).alias("c")).collect()]
-    assert got == ["flan", "t0", "niv", "cot", "unknown", "unknown", "", "niv"]
+    assert [r["c"] for r in df.orderBy("i").select(category_of(F.col("id")).alias("c")).collect()] == list(ids.values())
 
 
 def test_redaction(spark):
     rows = [
-        ("Email priya@example.com, card 4532 1122 3344 5566, SSN 123-45-6789", ["EMAIL", "CARD", "SSN"]),
-        ("The capital of Japan is Tokyo and it took 3 hours.", []),
-        ("Call +1 415 555 2671 now", ["PHONE"]),
-        (None, []),
+        ("Write to o.neill_7@post.example.ie or ring 020 555 0199.", ["EMAIL", "PHONE"], "Write to [EMAIL] or ring [PHONE]."),
+        ("Her number there was 078-05-1120, paid with 4111-1111-1111-1111", ["CARD", "SSN"], "Her number there was [SSN], paid with [CARD]"),
+        ("Room 12 holds 340 chairs.", [], "Room 12 holds 340 chairs."),
+        (None, [], None),
     ]
-    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "i int, t string")
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(rows)], "i int, t string")
     got = pii.redact(df, ["t"]).orderBy("i").collect()
-    assert [r["t_found"] for r in got] == [f for _, f in rows]
-    assert got[0]["t"] == "Email [EMAIL], card [CARD], SSN [SSN]"
-    assert got[1]["t"] == rows[1][0]
+    assert [(r["t_found"], r["t"]) for r in got] == [(f, t) for _, f, t in rows]
     entity = pii.redact(df, ["t"], style="entity").orderBy("i").collect()
-    assert entity[0]["t"] == "Email <EMAIL_ADDRESS>, card <CREDIT_CARD>, SSN <US_SSN>"
-    assert pii.redact(df, ["t"], enabled=False).orderBy("i").collect()[0]["t"] == rows[0][0]
+    assert entity[1]["t"] == "Her number there was <US_SSN>, paid with <CREDIT_CARD>"
+    assert pii.redact(df, ["t"], enabled=False).orderBy("i").first()["t"] == rows[0][0]
 
 
 def test_normal_forms(spark):
@@ -115,20 +111,18 @@ def test_normal_forms(spark):
     assert r[1]["n"] == 0
 
 
-def shingle_set(s):
-    t = s.split()
-    return {" ".join(t)} if len(t) < 3 else {" ".join(t[i : i + 3]) for i in range(len(t) - 2)}
+def likeness(a, b):
+    """Jaccard of two texts' distinct word triples; the texts here have at least three words."""
+    triples = [set(zip(w, w[1:], w[2:])) for w in (a.split(), b.split())]
+    return len(triples[0] & triples[1]) / len(triples[0] | triples[1])
 
 
-def greedy(rows, threshold):
-    kept, dropped = {}, set()
-    for pos, s in sorted(rows):
-        sh, block = shingle_set(s), " ".join(s.split()[:4])
-        if any(len(sh & k) / len(sh | k) >= threshold for k in kept.get(block, [])):
-            dropped.add(pos)
-        else:
-            kept.setdefault(block, []).append(sh)
-    return dropped
+def assert_keep_first(rows, dropped, threshold):
+    """A row is dropped exactly if an earlier kept row of its block is alike: the rule itself, checked row by row."""
+    kept = [r for r in rows if r[0] not in dropped]
+    for pos, s in rows:
+        rivals = [k for k in kept if k[0] < pos and k[1].split()[:4] == s.split()[:4]]
+        assert (pos in dropped) == any(likeness(s, k[1]) >= threshold for k in rivals), pos
 
 
 def near(spark, rows, threshold):
@@ -142,12 +136,12 @@ def test_chain_is_not_transitive(spark):
     b = words[:-4] + ["x1", "x2", "x3", "x4"]
     c = b[:-8] + ["y1", "y2", "y3", "y4"] + b[-4:]
     rows = [(0, " ".join(a)), (1, " ".join(b)), (2, " ".join(c))]
-    assert greedy(rows, 0.7) == {1}
-    assert near(spark, rows, 0.7) == {1}
+    assert likeness(rows[0][1], rows[1][1]) >= 0.7 > likeness(rows[0][1], rows[2][1])
+    assert near(spark, rows, 0.7) == {1}  # the last row resembles a dropped one only
 
 
 @pytest.mark.parametrize("pair_limit,split_rows,threshold", [(64, 1000, 0.5), (3, 1000, 0.5), (3, 4, 0.6), (64, 4, 0.92)])
-def test_near_duplicates_against_a_sequential_scan(spark, monkeypatch, pair_limit, split_rows, threshold):
+def test_near_duplicates_keep_the_rule(spark, monkeypatch, pair_limit, split_rows, threshold):
     """Templates sharing a block, many near copies: one block and one group hold most rows."""
     monkeypatch.setattr(dedup, "PAIR_LIMIT", pair_limit)
     monkeypatch.setattr(dedup, "SPLIT_ROWS", split_rows)
@@ -161,9 +155,32 @@ def test_near_duplicates_against_a_sequential_scan(spark, monkeypatch, pair_limi
             w[rng.randint(4, 29)] = f"z{rng.randint(0, 5)}"
         w[:4] = ["please", "answer", "this", "question"] if pos % 4 else ["another", "block", "of", f"b{pos % 8}"]
         rows.append((pos, " ".join(w)))
-    expected = greedy(rows, threshold)
-    assert expected
-    assert near(spark, rows, threshold) == expected
+    dropped = near(spark, rows, threshold)
+    assert dropped
+    assert_keep_first(rows, dropped, threshold)
+
+
+def test_low_limits_change_nothing(spark, monkeypatch):
+    rng = random.Random(11)
+    base = [f"v{i}" for i in range(24)]
+    rows = []
+    for pos in range(90):
+        w = list(base)
+        for _ in range(rng.randint(0, 5)):
+            w[rng.randint(4, 23)] = f"z{rng.randint(0, 4)}"
+        rows.append((pos, " ".join(w)))
+    usual = near(spark, rows, 0.6)
+    for name, value in (("HOT_SHINGLES", 3), ("MAX_HEADS", 5), ("PAIR_LIMIT", 4)):
+        monkeypatch.setattr(dedup, name, value)
+    monkeypatch.setattr(groups, "LISTED_GROUPS", 2)
+    monkeypatch.setattr(groups, "SMALLEST_LARGE", 1)
+    assert near(spark, rows, 0.6) == usual
+
+
+def test_no_text_is_shuffled(spark):
+    df = pairs(spark, [(GOOD_Q, GOOD_A), (GOOD_Q + " Now", GOOD_A)])
+    plan = curate(df).judged._jdf.queryExecution().executedPlan().toString()
+    assert "question" not in plan and "answer" not in plan
 
 
 def test_exact_duplicates_keep_the_first(spark):
@@ -171,10 +188,12 @@ def test_exact_duplicates_keep_the_first(spark):
     df = spark.createDataFrame(rows, "pos long, question string").repartition(4)
     got = {r["pos"]: r["exact_dup"] for r in dedup.flag_exact_duplicates(df).collect()}
     assert got == {1: False, 2: True, 3: True, 4: False}
+    assert {r["pos"] for r in dedup.exact_duplicates(df).collect()} == {2, 3}
+    assert {(r["pos"], r["dropped"]) for r in dedup.drops(df, 0.7).collect()} == {(2, "exact_dup"), (3, "exact_dup")}
 
 
 def test_job_accounts_for_every_row(spark):
-    rows = [(GOOD_Q, GOOD_A), (GOOD_Q.upper(), GOOD_A), ("Two words", GOOD_A), (GOOD_Q + " Mail me at a@b.com", GOOD_A)]
+    rows = [(GOOD_Q, GOOD_A), (GOOD_Q.upper(), GOOD_A), ("Bind how", GOOD_A), (GOOD_Q + " Mail me at a@b.com", GOOD_A)]
     done = curate(pairs(spark, rows), rules=CurationRules(near_dup_threshold=0.99))
     got = {r["pos"]: r["reason"] for r in done.judged.collect()}
     assert got == {0: "ok", 1: "exact_dup", 2: "question_length", 3: "ok"}

@@ -48,6 +48,39 @@ def test_line_numbers_across_file_splits(spark, tmp_path):
     assert [r["line_no"] for r in got] == list(range(1, 3001)) + list(range(1, 11))
 
 
+def test_lines_are_counted_and_read_by_one_scan(spark, tmp_path):
+    lines = [f"line {i}" for i in range(3000)]
+    write(tmp_path / "my file+1.txt", lines)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        got = readers.numbered_lines(spark, str(tmp_path))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+        assert [(r["line_no"], r["line"]) for r in got.orderBy("pos").collect()] == list(enumerate(lines, 1))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_source_is_the_file_name(spark, tmp_path):
+    write(tmp_path / "my file+1.jsonl", ['{"id": "a.1", "question": "q", "answer": "a"}'])
+    assert readers.read_local_pairs(spark, str(tmp_path)).first()["source"] == "my file+1.jsonl"
+
+
+def test_cap_without_ids(spark):
+    rows = spark.range(500).select(
+        F.lit(None).cast("string").alias("id"), F.concat(F.lit("q"), (F.col("id") % 50).cast("string")).alias("question"),
+        F.lit("r").alias("response"), F.lit("s").alias("system_prompt"),
+    )
+    for most in (1, 10, 137, 499, 500, 900):
+        assert readers.read_corpus(rows, "c", IngestRules(max_docs=most, keep_categories=())).count() == min(most, 500)
+
+
+def test_split_without_ids(spark):
+    done = build_split(chat_pairs(spark, 200).withColumn("id", F.lit("")), "s")
+    got = {r["split"]: r["count"] for r in done.examples.groupBy("split").count().collect()}
+    assert got == {"train": 170, "val": 20, "test": 10}
+
+
 def test_corpus_cap_is_exact_and_stable(spark):
     rows = spark.range(5000).select(
         F.concat(F.when(F.col("id") % 5 == 0, "zz").otherwise("flan"), F.lit("."), F.col("id").cast("string")).alias("id"),
@@ -67,7 +100,7 @@ def test_ingest_guards(spark, tmp_path):
         readers.ingest(spark, "sample", str(tmp_path / "a.jsonl"))
     with pytest.raises(ValueError, match="unknown source mode"):
         readers.ingest(spark, "other", "x")
-    pairs = readers.ingest(spark, "openorca", spark.createDataFrame([("cot.1", "q", "r", "s")], "id string, question string, response string, system_prompt string"))
+    pairs = readers.ingest(spark, "corpus", spark.createDataFrame([("cot.1", "q", "r", "s")], "id string, question string, response string, system_prompt string"))
     assert pairs.count() == 1 and "pos" in pairs.columns
 
 
@@ -77,25 +110,23 @@ def test_missing_knowledge_base_is_empty(spark, tmp_path):
     assert sorted((r["id"], r["text"]) for r in readers.read_kb(spark, str(tmp_path / "kb.jsonl")).collect()) == [("", "u"), ("k1", "t")]
 
 
-def reference_sizes(n, val, test):
-    if n == 1:
-        return 1, 0, 0
-    if n == 2:
-        return 1, 1, 0
-    v, t = max(1, round(n * val)), max(1, round(n * test))
-    while n - v - t < 1 and (v > 1 or t > 1):
-        if v > 1:
-            v -= 1
-        else:
-            t -= 1
-    return n - v - t, v, t
-
-
-@pytest.mark.parametrize("val,test", [(0.10, 0.05), (0.5, 0.5), (0.9, 0.4)])
-def test_split_sizes_against_the_loop(spark, val, test):
+@pytest.mark.parametrize(
+    "val,test,want",
+    [
+        (0.10, 0.05, {1: (1, 0, 0), 2: (1, 1, 0), 3: (1, 1, 1), 10: (8, 1, 1), 25: (22, 2, 1), 30: (25, 3, 2), 50: (43, 5, 2), 70: (59, 7, 4)}),
+        (0.5, 0.5, {1: (1, 0, 0), 2: (1, 1, 0), 3: (1, 1, 1), 4: (1, 1, 2), 5: (1, 2, 2), 6: (1, 2, 3), 7: (1, 2, 4)}),
+        (0.9, 0.4, {3: (1, 1, 1), 4: (1, 1, 2), 5: (1, 2, 2), 10: (1, 5, 4)}),
+    ],
+)
+def test_split_sizes(spark, val, test, want):
+    """Sizes worked out by hand, and what holds for every count."""
     counts = spark.range(1, 300).select(F.col("id").cast("string").alias("category"), F.col("id").alias("n"))
-    for r in split.with_sizes(counts, SplitRules(val=val, test=test)).collect():
-        assert (r["n_train"], r["n_val"], r["n_test"]) == reference_sizes(r["n"], val, test), r
+    got = {r["n"]: (r["n_train"], r["n_val"], r["n_test"]) for r in split.with_sizes(counts, SplitRules(val=val, test=test)).collect()}
+    assert {n: got[n] for n in want} == want
+    for n, (a, b, c) in got.items():
+        assert a + b + c == n and a >= 1 and (n < 3 or min(b, c) >= 1)
+        if n > 2 and a > 1:  # nothing had to give way
+            assert abs(b - n * val) <= max(0.5, 1 - n * val) and abs(c - n * test) <= max(0.5, 1 - n * test)
 
 
 def test_published_split_sizes(spark):
