@@ -390,6 +390,21 @@ SELECT lang || '.' || doc_id AS id, source AS question, md5(text) AS answer_md5,
 FROM documents WHERE lang IN ('en', 'fr', 'de') ORDER BY {sha(42, "lang || '.' || doc_id")} LIMIT 300"""
     o["ingest_counts"] = "SELECT lang AS category, count(*) AS n FROM documents GROUP BY lang"
 
+    o["local_pairs"] = """
+SELECT lang || '.' || doc_id AS id, md5(text) AS question_md5, source AS answer, '' AS orig_system_prompt, lang AS category FROM documents"""
+    o["golden_roundtrip"] = f"""WITH {GOLDEN}
+SELECT row_number() OVER (ORDER BY case_id) - 1 AS case_id, question, array_to_string(must, '|') AS must, array_to_string(banned, '|') AS banned,
+  nullif(category, 'uncategorized') AS category FROM golden"""
+    o["kb_roundtrip"] = """
+SELECT CASE WHEN doc_id % 10 > 0 THEN 'kb-' || doc_id ELSE '' END AS id, count(*) AS n, max(md5(text)) AS last_md5 FROM documents GROUP BY 1"""
+    o["chat_roundtrip"] = f"""WITH {CONV_PAIRS}, {split_ctes('pairs', 'id')}
+SELECT split, category, md5('[{{"role":"system","content":' || to_json({lit(SYSTEM_PROMPT)}) || '}},{{"role":"user","content":' || to_json(question)
+  || '}},{{"role":"assistant","content":' || to_json(answer) || '}}]') AS messages_md5 FROM splits"""
+    _, found = redact("text")
+    o["report_roundtrip"] = f"""WITH {DOC_ANSWERS}, {REASONS}
+SELECT 'documents' AS source_mode, count(*) AS input_records, count(*) FILTER (reason = 'ok') AS kept,
+  {places("count(*) FILTER (reason = 'ok') / greatest(count(*), 1)", 3)} AS survival_rate,
+  count(DISTINCT reason) FILTER (reason <> 'ok') AS reasons, (SELECT count(*) FILTER ({found} <> '') FROM documents) AS records_with_pii_scrubbed FROM judged"""
     o["quality_reasons"] = f"WITH {DOC_ANSWERS}, {REASONS} SELECT pos AS doc_id, reason FROM judged"
     o["quality_conversations"] = f"WITH {CONV_PAIRS}, {REASONS} SELECT pos, category, reason FROM judged"
     o["quality_accepted"] = f"WITH {DOC_ANSWERS}, {REASONS} SELECT pos AS doc_id, category, md5(answer) AS answer_md5 FROM judged WHERE reason = 'ok'"
@@ -639,6 +654,11 @@ FROM (SELECT *, CAST(floor(epoch_us(ts) / 300000000) AS BIGINT) * 300 AS w FROM
     o["stream_sliding_rates"] = f"""
 WITH w AS (SELECT CAST(floor(epoch_us(ts) / 60000000) AS BIGINT) * 60 + 60 * i AS window_end FROM events CROSS JOIN (SELECT unnest(range(1, 6)) AS i))
 SELECT window_end, count(*) AS n FROM w WHERE window_end * 1000000 <= {closed} GROUP BY window_end"""
+    o["stream_late"] = f"""
+WITH e AS (SELECT *, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS t, CAST(floor(epoch_us(ts) / 300000000) AS BIGINT) * 300 AS w FROM events),
+m AS (SELECT (min(t) + max(t)) // 2 AS middle FROM e)
+SELECT w AS window_start, event_type, count(*) AS n FROM e, m
+WHERE (w + 300) * 1000000 <= {closed} AND (t >= middle) GROUP BY ALL"""
     passed = "(SELECT max(epoch_us(ts)) // 1000 - 300000 FROM events)"
     o["stream_quota"] = f"""WITH {LOG}, q AS (
   SELECT request_id, epoch_us(ts) // 60000000 AS m, row_number() OVER (PARTITION BY client, date_trunc('minute', ts) ORDER BY ts, request_id) AS request_no FROM log)

@@ -19,7 +19,7 @@ from millrace.plans import curate as curate_plan
 from millrace.plans import observe as observe_plan
 from millrace.plans import prompt, traffic_report
 from millrace.session import materialize, scratch_path
-from millrace.sources import readers
+from millrace.sources import readers, sinks
 from millrace.sources.tables import (
     conversation_pairs, document_answers, document_prompts, request_log, table, turn_key,
 )
@@ -74,6 +74,63 @@ def ingest_counts(spark: SparkSession, sf: str) -> DataFrame:
     return readers.category_counts(rows)
 
 
+@query
+def local_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents written as JSON lines and ingested again; the place of each line in its file is kept."""
+    path = scratch_path(spark, "pairs-jsonl")
+    rows = table(spark, sf, "documents").select(
+        F.concat("lang", F.lit("."), F.col("doc_id").cast("string")).alias("id"), F.col("text").alias("question"), F.col("source").alias("response")
+    )
+    rows.select(F.to_json(F.struct("id", "question", "response")).alias("value")).write.text(path)
+    pairs = readers.ingest(spark, "local_kb", path)
+    return pairs.select("id", F.md5("question").alias("question_md5"), "answer", "orig_system_prompt", "category")
+
+
+@query
+def golden_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The golden set written as JSON lines in the order of its cases and read with their line numbers."""
+    path = scratch_path(spark, "golden-jsonl")
+    lines = _golden(spark, sf).orderBy("case_id").select(F.to_json(F.struct("question", "must_contain", "must_not_contain", "category")).alias("value"))
+    lines.coalesce(1).write.text(path)
+    read = readers.read_golden(spark, path)
+    return read.select(
+        "case_id", "question", F.array_join("must_contain", "|").alias("must"), F.array_join("must_not_contain", "|").alias("banned"), "category"
+    )
+
+
+@query
+def kb_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents written as knowledge-base chunks, some without an id, and read."""
+    path = scratch_path(spark, "kb-jsonl")
+    named = F.when(F.col("doc_id") % 10 > 0, F.concat(F.lit("kb-"), F.col("doc_id").cast("string")))
+    table(spark, sf, "documents").select(named.alias("id"), "text").write.json(path)
+    return readers.read_kb(spark, path).groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max(F.md5("text")).alias("last_md5"))
+
+
+@query
+def chat_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The split dataset written as chat JSON lines and read back, split by split."""
+    path = scratch_path(spark, "splits")
+    sinks.write_splits(split.assign(_chat_examples(spark, sf), "id"), path)
+    parts = [readers.read_chat(spark, f"{path}/split={s}").withColumn("split", F.lit(s)) for s in split.SPLITS]
+    whole = functools.reduce(DataFrame.unionByName, parts)
+    return whole.select("split", "category", F.md5(F.to_json("messages")).alias("messages_md5"))
+
+
+@query
+def report_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The curation report of the gate written as one JSON document and read back."""
+    counts = report.reason_counts(quality.gate(document_answers(spark, sf)))
+    entities = pii.entity_totals(pii.redact(document_prompts(spark, sf), ["question"]), ["question"])
+    path = scratch_path(spark, "report")
+    sinks.write_report(report.report_document(counts, entities, "documents"), path)
+    kinds = "source_mode string, input_records long, kept long, survival_rate double, drops map<string,long>, records_with_pii_scrubbed long"
+    read = spark.read.schema(kinds).json(path)
+    return read.select(
+        "source_mode", "input_records", "kept", "survival_rate", F.size("drops").cast("long").alias("reasons"), "records_with_pii_scrubbed"
+    )
+
+
 # ---------------------------------------------------------------- curation
 
 
@@ -933,6 +990,23 @@ def stream_sliding_rates(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(epoch(F.col("window_end")).alias("window_end"), "n")
 
 
+@query
+def stream_late(spark: SparkSession, sf: str) -> DataFrame:
+    """ST2: the earlier half of the log arrives last and falls to the watermark, but for its open windows."""
+    events = spark.read.schema(EVENT_SCHEMA).parquet(f"{sf}/events.parquet")
+    t = F.unix_seconds(F.col("ts").cast("timestamp"))
+    ends = events.agg(F.min(t).alias("a"), F.max(t).alias("b")).first()
+    middle = (ends["a"] + ends["b"]) // 2
+    path = scratch_path(spark, "late-files")
+    new = t >= middle
+    # a batch is held against the watermark of the one before it, so the newer half comes in two
+    for half in (new & (F.col("event_id") % 2 == 0), new & (F.col("event_id") % 2 == 1), ~new):
+        events.where(half).coalesce(1).write.mode("append").parquet(path)
+    stream = runner.stream_files(spark, path, EVENT_SCHEMA).select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    out, _ = runner.drain(windows.windowed_counts(stream, ["event_type"], "5 minutes"), "stream-late")
+    return out.select(epoch(F.col("window_start")).alias("window_start"), "event_type", "n")
+
+
 @query
 def stream_quota(spark: SparkSession, sf: str) -> DataFrame:
     """ST3: quota decisions from keyed state over shuffled files, for minutes the watermark has closed."""
