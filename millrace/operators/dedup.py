@@ -11,8 +11,9 @@ The result is exact; the candidates are reduced in steps that cannot lose a pair
    needs no comparison.
 2. Any two sets at or above the threshold share one of their first
    ``size - ceil(threshold * size) + 1`` shingles in any common order. The order
-   puts frequent shingles last, so buckets of rows sharing such a shingle are small.
-   A bucket of more than ``SPLIT_ROWS`` is split by a second shared shingle.
+   is by frequency within the block, so buckets of rows sharing such a shingle are small.
+   Large buckets lose the rows that cannot have enough in common from this shingle on;
+   a bucket that is still larger than ``SPLIT_ROWS`` is split by a second shared shingle.
 3. Buckets of at most ``PAIR_LIMIT`` rows are compared pairwise, once.
 4. Larger buckets are never paired in full. Each round compares the earliest
    undecided rows of the bucket with each other, and only those of them that are
@@ -31,7 +32,6 @@ from millrace.functions.groups import with_shared_size
 from millrace.session import materialize
 
 PAIR_LIMIT = 64
-HOT_SHINGLES = 20_000
 SPLIT_ROWS = 1000
 SPLIT_KEYS = 64
 SALT_ROWS = 200_000
@@ -85,69 +85,89 @@ def shingle_table(df: DataFrame, pos: str, field: str) -> DataFrame:
     )
 
 
-def _hot_shingles(sets: DataFrame) -> DataFrame:
-    """Per block, its most frequent shingles, rarest first: at most ``HOT_SHINGLES`` in all.
-
-    The bound holds because a listed shingle covers more than 1/HOT_SHINGLES of all entries.
-    """
-    counts = sets.select("block", F.explode("sh").alias("t")).groupBy("block", "t").count()
-    counts = materialize(counts.where("count > 1"), "shingle-counts")
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    floor = max(16, total // HOT_SHINGLES)
-    return (
-        counts.where(F.col("count") > floor)
-        .groupBy("block")
-        .agg(F.sort_array(F.collect_list(F.struct("count", "t"))).alias("hot"))
-        .select("block", F.col("hot.t").alias("hot"))
-    )
-
-
 def _required(size: Column, threshold: float) -> Column:
     """Common elements any partner at the threshold must share with a set of this size."""
     return F.ceil(F.lit(threshold) * size - EPS).cast("int")
 
 
+def _overlap(size_a: Column, size_b: Column, threshold: float) -> Column:
+    """Common elements two sets of these sizes need to reach the threshold."""
+    return F.ceil(F.lit(threshold / (1 + threshold)) * (size_a + size_b) - EPS).cast("int")
+
+
+def _alike_in_size(size_a: Column, size_b: Column, threshold: float) -> Column:
+    return F.least(size_a, size_b) + EPS >= F.lit(threshold) * F.greatest(size_a, size_b)
+
+
 def _prefixes(sets: DataFrame, threshold: float) -> DataFrame:
-    """(pos, block, size, p): the shingles a similar set may start with, and one more."""
-    hot = F.broadcast(_hot_shingles(sets))  # bounded by HOT_SHINGLES entries
-    size = F.size("sh")
-    none = F.array().cast("array<bigint>")
-    ordered = F.concat(
-        F.array_except("sh", F.coalesce("hot", none)),
-        F.array_intersect(F.coalesce("hot", none), F.col("sh")),
-    )
-    return sets.join(hot, "block", "left").select(
-        "pos", "block", size.alias("size"), F.slice(ordered, F.lit(1), size - _required(size, threshold) + 2).alias("p")
-    )
+    """(pos, block, size, first, p): the shared shingles a similar set may start with, and one more.
+
+    The order is by frequency within the block, rarest first, then by hash. Shingles of one row only
+    come before all others and are not listed. ``first`` is how many listed shingles
+    lie in the prefix; ``p`` has each with ``rem``, the number of shingles from it to the end.
+    """
+    rows = materialize(sets.select("pos", "block", F.size("sh").alias("size"), F.explode("sh").alias("t")), "shingle-rows")
+    shared = with_shared_size(rows, ["block", "t"], "shingle-counts")
+    listed = shared.groupBy("pos", "block", "size").agg(F.array_sort(F.collect_list(F.struct("n", "t"))).alias("s"))
+    size, alone = F.col("size"), F.col("size") - F.size("s")
+    first = F.least(size - _required(size, threshold) + 1 - alone, F.size("s"))
+    return listed.select("pos", "block", "size", first.alias("first"), alone.alias("_alone"), "s").where("first > 0").select(
+        "pos", "block", "size", "first",
+        F.transform(
+            F.slice("s", F.lit(1), F.col("first") + 1),
+            lambda x, i: F.struct(x["t"].alias("t"), (F.col("size") - F.col("_alone") - i).alias("rem")),
+        ).alias("p"),
+    )
+
+
+def _able(entries: DataFrame, threshold: float) -> DataFrame:
+    """Entries of large buckets that may have a similar partner whose first common shingle is the bucket's.
+
+    Such a pair has at most ``rem`` of either in common. Per bucket and size the largest ``rem`` is kept, and each
+    (size, rem) of the bucket is held against it: rows with one template and different rests, however
+    many, leave the template's buckets together. Only these small tables are joined.
+    """
+    kinds = materialize(entries.groupBy("block", "t", "size", "rem").agg(F.count(F.lit(1)).alias("_c")), "near-kinds")
+    reach = kinds.groupBy("block", "t", F.col("size").alias("_size")).agg(F.max("rem").alias("_rem"))
+    need = _overlap(F.col("size"), F.col("_size"), threshold)
+    fine = _alike_in_size(F.col("size"), F.col("_size"), threshold) & (F.least("rem", "_rem") >= need)
+    able = kinds.join(reach, ["block", "t"]).where(fine).select("block", "t", "size", "rem").distinct()
+    return entries.drop("n").join(materialize(able, "near-able"), ["block", "t", "size", "rem"], "left_semi")
 
 
 def _entries(prefixes: DataFrame, threshold: float) -> DataFrame:
-    """Bucket entries (pos, block, t, size, n): one per (row, prefix shingle) shared with another row.
+    """Bucket entries (pos, block, t, size, rem, n): one per (row, prefix shingle) shared with another row.
 
     The k-th smallest common shingle of a similar pair lies among the first
     ``size - required + k`` of both. So a large bucket can be split by a second
     shingle, from the prefix extended by one, without losing a pair.
     """
-    size = F.col("size")
-    first = F.slice("p", F.lit(1), size - _required(size, threshold) + 1)
-    single = prefixes.select("pos", "block", "size", F.explode(first).alias("t"))
-    single = materialize(single, "near-single")
+    first = F.slice("p", F.lit(1), F.col("first"))
+    single = materialize(prefixes.select("pos", "block", "size", F.inline(first)), "near-single")
+    sized = materialize(with_shared_size(single, ["block", "t"], "bucket-sizes"), "near-sized")
+    large = sized.where(F.col("n") > PAIR_LIMIT)
+    columns = ["pos", "block", "t", "size", "rem", "n"]
+    small = sized.where(F.col("n") <= PAIR_LIMIT).select(columns)
+    if large.isEmpty():
+        return small
     extra = {"_max": F.max("size"), "_min": F.min("size")}
-    entries = materialize(with_shared_size(single, ["block", "t"], "bucket-sizes", extra=extra), "near-entries")
+    able = materialize(_able(large, threshold), "near-able-rows")
+    entries = materialize(with_shared_size(able, ["block", "t"], "bucket-sizes", extra=extra), "near-entries")
     narrow = F.col("_max") - _required(F.col("_max"), threshold) + 1 <= SPLIT_KEYS
     dense = (F.col("n") > SPLIT_ROWS) & narrow & (_required(F.col("_min"), threshold) >= 2)
     split = entries.where(dense)
-    rest = entries.where(~dense).select("pos", "block", "t", "size", "n")
+    rest = small.unionByName(entries.where(~dense).select(columns))
     if split.isEmpty():
         return rest
-    after = F.slice("p", F.array_position("p", F.col("t")).cast("int") + 1, F.size("p"))
+    at = F.array_position(F.transform("p", lambda x: x["t"]), F.col("t")).cast("int")
+    after = F.transform(F.slice("p", at + 1, F.size("p")), lambda x: x["t"])
     pairs = (
-        split.select("pos", "t").join(prefixes, "pos")
-        .select("pos", "block", "size", "t", F.explode(after).alias("t2"))
-        .select("pos", "block", "size", F.xxhash64("t", "t2").alias("t"))
+        split.select("pos", "t", "rem").join(prefixes, "pos")
+        .select("pos", "block", "size", "rem", "t", F.explode(after).alias("t2"))
+        .select("pos", "block", "size", "rem", F.xxhash64("t", "t2").alias("t"))
     )
     pairs = with_shared_size(materialize(pairs, "near-double"), ["block", "t"], "bucket-sizes")
-    return rest.unionByName(pairs.select("pos", "block", "t", "size", "n"))
+    return rest.unionByName(pairs.select(columns))
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -168,10 +188,11 @@ def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 def _pairs_within(entries: DataFrame, threshold: float) -> DataFrame:
     """All ordered pairs inside buckets whose size the caller has bounded."""
-    left = entries.select("block", "t", F.col("pos").alias("a"), F.col("size").alias("_na"))
-    right = entries.select("block", "t", F.col("pos").alias("b"), F.col("size").alias("_nb"))
-    near_size = F.least("_na", "_nb") + EPS >= F.lit(threshold) * F.greatest("_na", "_nb")
-    return left.join(right, ["block", "t"]).where((F.col("a") < F.col("b")) & near_size).select("a", "b")
+    left = entries.select("block", "t", F.col("pos").alias("a"), F.col("size").alias("_na"), F.col("rem").alias("_ra"))
+    right = entries.select("block", "t", F.col("pos").alias("b"), F.col("size").alias("_nb"), F.col("rem").alias("_rb"))
+    near_size = _alike_in_size(F.col("_na"), F.col("_nb"), threshold)
+    in_reach = F.least("_ra", "_rb") >= _overlap(F.col("_na"), F.col("_nb"), threshold)
+    return left.join(right, ["block", "t"]).where((F.col("a") < F.col("b")) & near_size & in_reach).select("a", "b")
 
 
 def _swept(kept_hot: DataFrame, rest: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -184,13 +205,14 @@ def _swept(kept_hot: DataFrame, rest: DataFrame, sets: DataFrame, threshold: flo
     salt = F.pmod(F.xxhash64("pos"), parts)
     spread = rest.withColumn("_s", salt.cast("int"))
     copies = kept_hot.select(
-        "block", "t", F.col("pos").alias("a"), F.col("size").alias("_na"),
+        "block", "t", F.col("pos").alias("a"), F.col("size").alias("_na"), F.col("rem").alias("_ra"),
         F.explode(F.sequence(F.lit(0), parts - 1)).alias("_s"), parts.alias("_parts"),
     )
-    near_size = F.least("_na", "size") + EPS >= F.lit(threshold) * F.greatest("_na", "size")
+    near_size = _alike_in_size(F.col("_na"), F.col("size"), threshold)
+    in_reach = F.least("_ra", "rem") >= _overlap(F.col("_na"), F.col("size"), threshold)
     pairs = (
         spread.join(copies, ["block", "t", "_s"])
-        .where((F.col("a") < F.col("pos")) & near_size)
+        .where((F.col("a") < F.col("pos")) & near_size & in_reach)
         .groupBy("a", F.col("pos").alias("b"))
         .agg(F.max("_parts").alias("_parts"))
     )

@@ -7,6 +7,7 @@ from millrace.config import CurationRules, QualityRules
 from millrace.functions import groups, text
 from millrace.operators import dedup, pii, quality, report
 from millrace.plans.curate import curate
+from millrace.session import materialize
 from millrace.sources.readers import category_of
 
 GOOD_Q = "Which tools do you need to bind a small book at home?"
@@ -170,13 +171,32 @@ def test_low_limits_change_nothing(spark, monkeypatch):
             w[rng.randint(4, 23)] = f"z{rng.randint(0, 4)}"
         rows.append((pos, " ".join(w)))
     usual = near(spark, rows, 0.6)
-    for name, value in (("HOT_SHINGLES", 3), ("MAX_HEADS", 5), ("PAIR_LIMIT", 4)):
+    for name, value in (("SPLIT_ROWS", 6), ("MAX_HEADS", 5), ("PAIR_LIMIT", 4)):
         monkeypatch.setattr(dedup, name, value)
     monkeypatch.setattr(groups, "LISTED_GROUPS", 2)
     monkeypatch.setattr(groups, "SMALLEST_LARGE", 1)
     assert near(spark, rows, 0.6) == usual
 
 
+def test_template_rows_need_no_rounds(spark, monkeypatch):
+    """Rows with one long template and rests of their own: as many written tables for 400 rows as for 3,000."""
+    template = " ".join(f"t{i}" for i in range(60))
+    written = []
+
+    def counted(df, label):
+        written.append(label)
+        return materialize(df, label)
+
+    monkeypatch.setattr(dedup, "materialize", counted)
+    sizes = []
+    for n in (400, 3000):
+        rows = [(i, template + " " + " ".join(f"r{i}x{j}" for j in range(20 + i % 5))) for i in range(n)]
+        written.clear()
+        assert near(spark, rows, 0.7) == set()
+        sizes.append(len(written))
+    assert sizes[0] == sizes[1] and written.count("near-heads") == 0
+
+
 def test_no_text_is_shuffled(spark):
     df = pairs(spark, [(GOOD_Q, GOOD_A), (GOOD_Q + " Now", GOOD_A)])
     plan = curate(df).judged._jdf.queryExecution().executedPlan().toString()
