@@ -13,6 +13,7 @@ import time
 from checks.queries import QUERIES
 from millrace.session import build_session
 
+WARM_DIR = "/root/testdata/sf0.001"
 HEADLINE = (
     "quality_report", "pii_redacted", "exact_dedup", "near_dedup_kept", "curation_outcomes", "split_rows", "leakage",
     "golden_by_category", "gate", "request_validity", "outcome", "input_screen", "quota_decisions", "cache_hits",
@@ -34,7 +35,8 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    spark.read.parquet(f"{sf_dir}/documents.parquet").write.format("noop").mode("overwrite").save()
+    for name in HEADLINE:  # code is loaded and compiled before the clock starts, whatever comes first
+        QUERIES[name](spark, WARM_DIR).write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
     for name in HEADLINE:

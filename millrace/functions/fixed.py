@@ -100,3 +100,13 @@ CONTEXT_HEADER = (
 # Reason texts of the release gate and the retrain policy.
 GATE_APPROVED = "all gate conditions satisfied"
 SIGNALS_QUIET = "all signals within thresholds"
+
+# Reasons of the release gate and of the retrain policy; %s are figures.
+GATE_FLOOR = "pass_rate %s < floor %s"
+GATE_REGRESSION = "pass_rate %s < baseline %s (regression)"
+GATE_CATEGORY = "category '%s' %s < %s"
+DRIFT_QUALITY = "quality drift: pass rate %s is %s below baseline"
+DRIFT_ERRORS = "error rate %s over ceiling %s"
+DRIFT_LATENCY = "p95 latency %ss over SLO %ss"
+DRIFT_TOPICS = "data drift: %s of prompts hit no KB context (consider updating the knowledge base, not just retraining)"
+DRIFT_ROUTINE = "%s new labelled examples (routine refresh)"

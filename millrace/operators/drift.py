@@ -41,36 +41,23 @@ def decide(signals: DataFrame, policy: DriftPolicy = DriftPolicy()) -> DataFrame
     """Add ``retrain``, ``severity`` and ``reasons``. Any threshold breach is urgent; new data alone is routine."""
     drop = F.col("baseline_pass_rate") - F.col("golden_pass_rate")
     quality = F.when(
-        drop > policy.quality_drop,
-        F.concat(
-            F.lit("quality drift: pass rate "), percent(F.col("golden_pass_rate")), F.lit(" is "), percent(drop),
-            F.lit(" below baseline"),
-        ),
+        drop > policy.quality_drop, F.format_string(fixed.DRIFT_QUALITY, percent(F.col("golden_pass_rate")), percent(drop))
     )
     errors = F.when(
         F.col("error_rate") > policy.error_ceiling,
-        F.concat(
-            F.lit("error rate "), percent(F.col("error_rate")), F.lit(" over ceiling "), percent(F.lit(policy.error_ceiling))
-        ),
-    )
-    latency = F.when(
-        F.col("p95_latency_s") > policy.latency_ceiling_s,
-        F.concat(
-            F.lit("p95 latency "), F.format_string("%.1f", F.bround("p95_latency_s", 1)), F.lit("s over SLO "),
-            F.bround(F.lit(policy.latency_ceiling_s), 0).cast("int").cast("string"), F.lit("s"),
-        ),
+        F.format_string(fixed.DRIFT_ERRORS, percent(F.col("error_rate")), percent(F.lit(policy.error_ceiling))),
     )
+    seconds = F.format_string("%.1f", F.bround("p95_latency_s", 1))
+    limit = F.bround(F.lit(policy.latency_ceiling_s), 0).cast("int").cast("string")
+    latency = F.when(F.col("p95_latency_s") > policy.latency_ceiling_s, F.format_string(fixed.DRIFT_LATENCY, seconds, limit))
     topics = F.when(
         F.col("unknown_topic_rate") > policy.unknown_topic_ceiling,
-        F.concat(
-            F.lit("data drift: "), percent(F.col("unknown_topic_rate")),
-            F.lit(" of prompts hit no KB context (consider updating the knowledge base, not just retraining)"),
-        ),
+        F.format_string(fixed.DRIFT_TOPICS, percent(F.col("unknown_topic_rate"))),
     )
     breaches = F.col("_breaches")
     urgent: Column = F.size(breaches) > 0
     has_new = F.col("new_labelled_examples") >= policy.min_new_examples
-    routine = F.concat(F.col("new_labelled_examples").cast("string"), F.lit(" new labelled examples (routine refresh)"))
+    routine = F.format_string(fixed.DRIFT_ROUTINE, F.col("new_labelled_examples").cast("string"))
     return (
         signals.withColumn("_breaches", F.array_compact(F.array(quality, errors, latency, topics)))
         .withColumns(

@@ -101,17 +101,16 @@ def decide(
     rate, base = F.col("pass_rate"), F.col("baseline_rate")
     below_floor = F.when(
         rate < rules.min_pass_rate,
-        F.concat(F.lit("pass_rate "), percent(rate), F.lit(" < floor "), percent(F.lit(rules.min_pass_rate))),
+        F.format_string(fixed.GATE_FLOOR, percent(rate), percent(F.lit(rules.min_pass_rate))),
     )
     regressed = F.when(
         rate < base + rules.min_vs_baseline,
-        F.concat(F.lit("pass_rate "), percent(rate), F.lit(" < baseline "), percent(base), F.lit(" (regression)")),
+        F.format_string(fixed.GATE_REGRESSION, percent(rate), percent(base)),
     )
     weak = F.transform(
         F.coalesce("_low", F.array().cast("array<struct<category:string,pass_rate:double>>")),
-        lambda c: F.concat(
-            F.lit("category '"), c["category"], F.lit("' "), percent(c["pass_rate"]),
-            F.lit(" < "), percent(F.lit(rules.min_category_pass_rate)),
+        lambda c: F.format_string(
+            fixed.GATE_CATEGORY, c["category"], percent(c["pass_rate"]), percent(F.lit(rules.min_category_pass_rate))
         ),
     )
     return (
