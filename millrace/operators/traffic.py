@@ -185,32 +185,40 @@ def _folded_chain(times: DataFrame, ttl: int) -> DataFrame:
     )
 
 
+FINE = 1024  # slots to a bucket; a bucket is about a TTL wide
+
+
 def _successors(times: DataFrame, ttl: int) -> DataFrame:
     """(_key, t, nxt): the first store time at or after the expiry of ``t``.
 
-    Work is split by (key, TTL-wide bucket): the expiry falls into the next
-    bucket, where one ordered pass finds the successor. If that bucket has none,
-    the successor is the first time of a later bucket, read from a table with
-    one row per key and bucket.
+    Work is split by (key, slot of about a thousandth of a TTL): in the expiry's slot one ordered pass finds the
+    successor. If the slot has none later, it is the first time of a later slot of
+    the bucket, or else of a later bucket, each read from a table with one row per
+    slot or bucket. So no task orders more of a key than one slot's rows.
     """
-    bucket = F.floor(F.col("t") / ttl)
-    real = times.select("_key", bucket.alias("b"), "t", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("src"))
-    expiry = times.select("_key", (bucket + 1).alias("b"), (F.col("t") + ttl).alias("t"), F.lit(0).alias("kind"), F.col("t").alias("src"))
-    down = Window.partitionBy("_key", "b").orderBy(F.col("t").desc(), F.col("kind").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    width = max(1, ttl // FINE)
+    expires = F.col("t") + ttl
+    real = times.select("_key", F.floor(F.col("t") / width).alias("f"), "t", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("src"))
+    expiry = times.select("_key", F.floor(expires / width).alias("f"), expires.alias("t"), F.lit(0).alias("kind"), F.col("t").alias("src"))
+    both = real.unionByName(expiry)
+    down = Window.partitionBy("_key", "f").orderBy(F.col("t").desc(), F.col("kind").desc()).rowsBetween(Window.unboundedPreceding, 0)
     near = (
-        real.unionByName(expiry)
-        .withColumn("nxt", F.last(F.when(F.col("kind") == 1, F.col("t")), ignorenulls=True).over(down))
+        both.withColumn("nxt", F.last(F.when(F.col("kind") == 1, F.col("t")), ignorenulls=True).over(down))
         .where("kind = 0")
-        .select("_key", "b", F.col("src").alias("t"), "nxt")
+        .select("_key", "f", F.col("src").alias("t"), "nxt")
     )
-    firsts = real.groupBy("_key", "b").agg(F.min("t").alias("_first"))
-    wanted = firsts.select("_key", (F.col("b") + 1).alias("b"), F.lit(None).cast("long").alias("_first"))
-    later = Window.partitionBy("_key").orderBy("b").rowsBetween(1, Window.unboundedFollowing)
+    slots = both.groupBy("_key", "f").agg(F.min(F.when(F.col("kind") == 1, F.col("t"))).alias("_first"))
+    slots = slots.withColumn("b", F.floor(F.col("f") / FINE))
+    next_slot = Window.partitionBy("_key", "b").orderBy("f").rowsBetween(1, Window.unboundedFollowing)
+    next_bucket = Window.partitionBy("_key").orderBy("b").rowsBetween(1, Window.unboundedFollowing)
+    buckets = slots.groupBy("_key", "b").agg(F.min("_first").alias("_top"))
+    buckets = buckets.select("_key", "b", F.first("_top", ignorenulls=True).over(next_bucket).alias("_far"))
     fallback = (
-        firsts.unionByName(wanted).groupBy("_key", "b").agg(F.max("_first").alias("_first"))
-        .select("_key", "b", F.first("_first", ignorenulls=True).over(later).alias("_later"))
+        slots.withColumn("_mid", F.first("_first", ignorenulls=True).over(next_slot))
+        .join(buckets, ["_key", "b"])
+        .select("_key", "f", F.coalesce("_mid", "_far").alias("_later"))
     )
-    return near.join(fallback, ["_key", "b"], "left").select("_key", "t", F.coalesce("nxt", "_later").alias("nxt"))
+    return near.join(fallback, ["_key", "f"], "left").select("_key", "t", F.coalesce("nxt", "_later").alias("nxt"))
 
 
 def _doubled_chain(times: DataFrame, ttl: int) -> DataFrame:
