@@ -492,18 +492,16 @@ SELECT source AS run, n AS r, CASE WHEN n >= 15 THEN round_even(loss, 6) END AS
     o["best_run"] = """
 SELECT d.source AS run, round_even(sum(n_chars * (toxic + 1)) / count(*), 6) AS eval_loss
 FROM labels JOIN documents d USING (doc_id) GROUP BY d.source ORDER BY eval_loss LIMIT 1"""
-    o["generations_pivot"] = "SELECT source AS prompt, " + ", ".join(
-        f"min(md5(text)) FILTER (lang = '{g}') AS {g}" for g in ("de", "en", "es", "fr")
-    ) + " FROM documents GROUP BY source"
+    o["generations_pivot"] = "SELECT doc_id // 4 AS prompt, " + ", ".join(
+        f"min(md5(text)) FILTER (doc_id % 4 = {i}) AS r{i}" for i in range(4)
+    ) + " FROM documents GROUP BY 1"
 
     o["golden_cases"] = f"""WITH {GOLDEN}
 SELECT model, case_id, category, passed, md5(answer) AS answer_md5, array_to_string(hits, '|') AS forbidden_hits, array_to_string(must, '|') AS expected_any FROM judged"""
     o["golden_by_category"] = f"WITH {GOLDEN} {RATES.format(src='judged')}"
     o["golden_failures"] = f"""WITH {GOLDEN}
-SELECT model, case_id, why, count(*) AS n, min(patterns) AS patterns FROM (
-  SELECT model, case_id, CASE WHEN len(hits) > 0 THEN 'forbidden' ELSE 'missing' END AS why,
-    array_to_string(CASE WHEN len(hits) > 0 THEN hits ELSE must END, '|') AS patterns FROM judged WHERE NOT passed)
-GROUP BY model, case_id, why"""
+SELECT model, case_id, question, CASE WHEN len(hits) > 0 THEN 'forbidden' ELSE 'missing' END AS why,
+  array_to_string(CASE WHEN len(hits) > 0 THEN hits ELSE must END, '|') AS patterns FROM judged WHERE NOT passed"""
     o["golden_lint"] = f"""WITH {GOLDEN}
 SELECT count(*) AS cases, count(*) FILTER (len(must) < 1) AS without_required, count(*) FILTER (banned IS NULL) AS without_ban_list,
   CAST(sum(len(must) + len(banned)) AS BIGINT) AS patterns,

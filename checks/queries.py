@@ -296,7 +296,8 @@ def validation_errors(spark: SparkSession, sf: str) -> DataFrame:
 def validation_lines(spark: SparkSession, sf: str) -> DataFrame:
     """V1 on raw lines: documents as JSON lines, some broken by what the document is."""
     docs = table(spark, sf, "documents")
-    content = F.when(F.col("lang") == "es", F.lit("5")).otherwise(F.to_json(F.struct(F.col("source").alias("v"))).substr(F.lit(6), F.length("source") + 2))
+    quoted = F.to_json(F.struct(F.col("text").alias("v")))  # {"v":"..."}
+    content = F.when(F.col("lang") == "es", F.lit("5")).otherwise(F.substr(quoted, F.lit(6), F.length(quoted) - 6))
     line = F.concat(
         F.lit('{"messages":[{"role":"system","content":"s"},{"role":"'),
         F.when(F.col("lang") == "de", F.lit("tool")).otherwise(F.lit("user")),
@@ -398,11 +399,12 @@ def best_run(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def generations_pivot(spark: SparkSession, sf: str) -> DataFrame:
-    """T4: one response per source and language, side by side."""
+    """T4: four documents as the responses of four runs to one prompt, side by side."""
     generations = table(spark, sf, "documents").select(
-        F.col("source").alias("prompt"), F.col("lang").alias("run"), F.md5("text").alias("response")
+        F.floor(F.col("doc_id") / 4).alias("prompt"), F.concat(F.lit("r"), (F.col("doc_id") % 4).cast("string")).alias("run"),
+        F.md5("text").alias("response"),
     )
-    return runs.side_by_side(generations, ["de", "en", "es", "fr"])
+    return runs.side_by_side(generations, ["r0", "r1", "r2", "r3"])
 
 
 # ---------------------------------------------------------------- evaluation
@@ -448,9 +450,7 @@ def golden_by_category(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def golden_failures(spark: SparkSession, sf: str) -> DataFrame:
     """Failed cases and why."""
-    return evaluation.failures(_judged(spark, sf)).groupBy("model", "case_id", "why").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.array_join("patterns", "|")).alias("patterns")
-    )
+    return evaluation.failures(_judged(spark, sf)).select("model", "case_id", "question", "why", F.array_join("patterns", "|").alias("patterns"))
 
 
 @query
