@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,21 @@ def slices(lengths: list[int], most: int = SLICE_BYTES) -> Iterator[tuple[int, i
         yield start, len(lengths)
 
 
+def retain(docs: DataFrame, keeps: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
+    """The rows, with all their columns, whose text ``keeps`` accepts."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = texts_of(batch.column(at))
+            for a, b in slices([len(t) for t in texts]):
+                kept = batch.slice(a, b - a).filter(pa.array(keeps(texts[a:b]), pa.bool_()))
+                if kept.num_rows:
+                    yield kept
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The positions start, start + 1, ... of every range, one after the other."""
     ends = np.cumsum(lengths)

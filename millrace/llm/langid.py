@@ -27,8 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import LOWER_BYTES, remainder, slices, texts_of
-from millrace.llm.line_crf import retain
+from millrace.llm.common import LOWER_BYTES, remainder, retain, slices, texts_of
 
 WINDOW, HIDDEN = 128, 8
 SAMPLE_WINDOWS, MOST_LANGUAGES = 1024, 128

@@ -18,7 +18,7 @@ field and the base rules decide alone. Other columns are not read.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import slices, texts_of
+from millrace.llm.common import retain, slices, texts_of
 
 #: Most documents of each label in the fitting sample, and lines of each (a stretch at a hashed place).
 SAMPLE_DOCS, SAMPLE_LINES = 1500, 96
@@ -307,21 +307,6 @@ def judge(docs: DataFrame, field: Field | None) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id long, {COLUMNS}")
 
 
-def retain(docs: DataFrame, keeps: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
-    """The rows, with all their columns, whose text ``keeps`` accepts."""
-    at = docs.columns.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = texts_of(batch.column(at))
-            for a, b in slices([len(t) for t in texts]):
-                kept = batch.slice(a, b - a).filter(pa.array(keeps(texts[a:b]), pa.bool_()))
-                if kept.num_rows:
-                    yield kept
-
-    return docs.mapInArrow(run, docs.schema)
-
-
 def keep_good(docs: DataFrame, field: Field | None) -> DataFrame:
     """The documents the rules accept."""
     return retain(docs, lambda texts: measure(texts, field)["kept"])

@@ -37,6 +37,7 @@ from millrace.session import materialize
 SHARDS, BUCKETS, PARTS = 24, 256, 4096
 #: Rows for which a bucket is made at least, so that a task's heap stays small.
 BUCKET_ROWS = 200_000
+BROADCAST_PARCELS = 200_000
 
 
 def difference(parts: list[tuple[list[int], list[object]]]) -> tuple[list[int], list[object]]:
@@ -131,7 +132,8 @@ def shards(docs: DataFrame, ways: int = SHARDS, buckets: int = BUCKETS, parts: i
     found = [(bucket, place, int(shard)) for (bucket, place, _), shard in zip(parcels, shard_of)]
     schema = "bucket int, place int, shard int"
     chosen = docs.sparkSession.createDataFrame(found, T._parse_datatype_string(schema))
-    of_group = placed.join(F.broadcast(chosen), ["bucket", "place"]).select("digest", "shard")  # buckets x shards rows
+    chosen = F.broadcast(chosen) if len(found) <= BROADCAST_PARCELS else chosen
+    of_group = placed.join(chosen, ["bucket", "place"]).select("digest", "shard")
     known = materialize(rows.join(of_group, "digest").select("doc_id", "size", "text_crc32", "shard", "row"), "sharded")
     part = F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int")
     known = known.withColumn("part", part)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import LOWER_BYTES, slices, texts_of
+from millrace.llm.common import LOWER_BYTES, texts_of
 from millrace.llm.components import components
 from millrace.session import materialize
 
