@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,19 +65,20 @@ def with_upstream(df: DataFrame, upstreams: DataFrame) -> DataFrame:
 
 
 def quota(
-    log: DataFrame, limits: ServingLimits = ServingLimits(), client: str = "client", ts: str = "ts", row_id: str = "request_id"
+    log: DataFrame, limits: ServingLimits = ServingLimits(), client: str = "client", ts: str = "ts", row_id: str = "request_id",
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Fixed-window quota: add ``window_start``, ``request_no``, ``allowed`` and ``remaining``.
 
     Rejected requests count too. Ranks are taken within each second and offset
     by the seconds before it, so a client with a very large share of the log is
-    sorted second by second and not in one task.
+    sorted second by second and not in one task. Rows that differ in a column of ``within`` count apart.
     """
     if not limits.quota_enabled:
         return log.withColumns({"allowed": F.lit(True), "remaining": F.lit(limits.quota_per_minute)})
     second = F.floor(F.unix_micros(F.col(ts)) / MICROS).cast("long")
     keyed = log.withColumn("_second", second).withColumn("_minute", F.floor(F.col("_second") / 60).cast("long"))
-    ranked = bucketed_row_number(keyed, [client, "_minute"], "_second", [F.col(ts), F.col(row_id)], "request_no")
+    ranked = bucketed_row_number(keyed, [client, *within, "_minute"], "_second", [F.col(ts), F.col(row_id)], "request_no")
     return ranked.select(
         *log.columns,
         F.timestamp_seconds(F.col("_minute") * 60).alias("window_start"),

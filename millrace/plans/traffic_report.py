@@ -17,9 +17,8 @@ def outcomes(log: DataFrame, canary_percent: int, limits: ServingLimits = Servin
     far as the quota check use up quota.
     """
     reached = F.col("authorized") & F.col("valid") & ~F.col("too_large")
-    limited = traffic.quota(log.where(reached), limits).select(
-        *log.columns, F.col("allowed").alias("quota_ok")
+    marked = log.withColumn("_reached", F.coalesce(reached, F.lit(False)))
+    limited = traffic.quota(marked, limits, within=["_reached"]).select(
+        *log.columns, (~F.col("_reached") | F.col("allowed")).alias("quota_ok")
     )
-    refused = log.where(~reached).withColumn("quota_ok", F.lit(True))
-    both = limited.unionByName(refused)
-    return requests.classify(both.withColumn("variant", traffic.variant(F.col("client"), canary_percent)))
+    return requests.classify(limited.withColumn("variant", traffic.variant(F.col("client"), canary_percent)))
