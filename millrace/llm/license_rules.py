@@ -7,6 +7,7 @@ isn't, so that every engine reads them alike.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 # label | keyword | name of the licence | its short identifiers
@@ -170,7 +171,10 @@ TAIL = "{} licen[cs]e text"
 
 @dataclass(frozen=True)
 class Rule:
-    """``regex`` runs over text whose words each have a space on both sides."""
+    """``regex`` runs over text whose words each have a space on both sides.
+
+    ``gate`` is a piece of text without which neither keyword nor regex can match.
+    """
 
     number: int
     label: str
@@ -179,6 +183,13 @@ class Rule:
     priority: int
     base: bool
 
+    @property
+    def gate(self) -> str:
+        plain = self.regex
+        while (shorter := re.sub(r"\(\?:[^()]*\)[?*]", "", plain)) != plain:  # what may be absent
+            plain = shorter
+        return "licen" if "licen" in re.sub(r"\(\?:[^()]*\|[^()]*\)", "", plain) else self.keyword.strip()
+
 
 def _cells(line: str, count: int) -> list[str]:
     """Cells between bars that stand alone; bars inside a pattern have no space around them."""

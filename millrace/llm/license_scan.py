@@ -1,8 +1,8 @@
 """Licence scans with ordered signature rules, in DataFrame functions only.
 
-A text becomes lower-cased words with a space on both sides of each. Most texts hold no
-keyword of any rule and are done. For the others each rule whose keyword occurs runs its
-regular expression; every place found is an interval of words. Intervals are sorted and
+Most texts hold no keyword of any rule; their words are counted and that is all. The others
+become lower-cased words with a space on both sides of each, and each rule whose keyword
+occurs runs its regular expression; every place found is an interval of words. Intervals are sorted and
 folded once: one that lies inside an earlier interval of the same or a higher priority
 is suppressed. All of it happens within the row, so nothing is shuffled and a lost task
 repeats its own rows only.
@@ -25,6 +25,8 @@ from millrace.llm.license_rules import RULES, Rule
 
 #: Fixed value: what separates words, after A-Z are lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same words before A-Z are lower-cased.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 MARK = "\u0001"
 #: Confidence of a detection by the rule's priority.
 WEIGHTS = {1: 0.5, 2: 0.8, 3: 1.0}
@@ -94,18 +96,23 @@ def detect(docs: DataFrame, rules: Sequence[Rule] = tuple(RULES), text: str = "t
     fields = ("number", "label", "keyword", "regex", "priority", "base")
     table = F.array(*[F.struct(*[F.lit(getattr(r, f)).alias(f) for f in fields]) for r in rules])
     docs = docs.drop("words", "detections")
-    with_words = computed_once(docs, {"_spaced": spaced_words(F.col(text))})
-    spaced = F.col("_spaced")
+    whole = F.coalesce(F.col(text), F.lit(""))
+    lowered = computed_once(docs, {"_lower": F.lower(whole)})  # lowers more than A-Z, which the gate may
     gate = F.lit(False)
-    for keyword in sorted({r.keyword for r in rules}):
-        gate = gate | F.contains(spaced, F.lit(keyword))
+    for piece in sorted({r.gate for r in rules}):
+        gate = gate | F.contains(F.col("_lower"), F.lit(piece))
+    with_words = computed_once(
+        lowered.withColumn("_gate", gate).drop("_lower"), {"_spaced": F.when(F.col("_gate"), spaced_words(whole)).otherwise(F.lit(""))}
+    )
+    spaced = F.col("_spaced")
     active = F.filter(table, lambda r: F.contains(spaced, r["keyword"]) & F.regexp_like(spaced, r["regex"]))
     found = _fold(F.flatten(F.transform(active, lambda r: _places(spaced, r))))
     none = F.array().cast(f"array<{DETECTION}>")
     made = computed_once(
-        with_words, {"words": word_count(spaced).cast("long"), "detections": F.when(gate, found).otherwise(none)}
+        with_words,
+        {"words": F.regexp_count(whole, F.lit(WORD)).cast("long"), "detections": F.when(spaced != "", found).otherwise(none)},
     )
-    return made.drop("_spaced")
+    return made.drop("_spaced", "_gate")
 
 
 def summary(detected: DataFrame) -> DataFrame:
