@@ -2,7 +2,7 @@
 
 Only vectors with equal labels are compared. Equal vectors are one node from the start,
 with a multiplicity. A codebook of unit centroids is fitted on the driver on a bounded
-sample (``SAMPLE`` nodes by hash; up to ``MOST_CELLS`` cells) and every node goes to its
+sample (``SAMPLE`` nodes by hash; cells for the largest label's nodes, up to ``MOST_CELLS``) and every node goes to its
 nearest centroid, its home cell. A node within the linking distance of the plane between
 its home and a lower-numbered cell is a guest there too: two linked vectors of different
 cells always meet in the lower one, so cells lose no link and the sample decides only
@@ -135,7 +135,7 @@ def _nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.monotonically_increasing_id().alias("row"),
         F.when(fine, digest).alias("digest"),
         F.when(fine, F.col("label").cast("long")).alias("label"),
-        F.when(fine, vec).alias("vector"),
+        F.when(fine, F.col("embedding")).alias("vector"),
     )
     rows = materialize(rows, "vectors")
     nodes = rows.where("digest is not null").groupBy("digest").agg(
@@ -147,12 +147,13 @@ def _nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _link(nodes: DataFrame, width: int, cosine: float) -> DataFrame:
     """(node, other, links): counts in rows without ``other``, forest links in rows with it; for vectors of one width."""
-    count = nodes.count()
+    by_label = nodes.groupBy("label").count().agg(F.sum("count"), F.max("count")).first()
+    count, most = by_label[0], by_label[1]
     share = min(1.0, SAMPLE / max(count, 1))
     picked = nodes.where(F.pmod(F.xxhash64("digest"), F.lit(1_000_003)) / 1_000_003.0 < share).select("digest", "vector")
     sample = sorted((bytes(r[0]), r[1]) for r in picked.collect())
     points = unit(np.array([v for _, v in sample], np.float64).reshape(-1, width))
-    cells = max(1, min(MOST_CELLS, -(-count // NODES_PER_CELL), len(points)))
+    cells = max(1, min(MOST_CELLS, -(-most // NODES_PER_CELL), len(points)))
     centres = spherical_kmeans(points, cells) if len(points) else np.eye(1, width)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +167,8 @@ def _link(nodes: DataFrame, width: int, cosine: float) -> DataFrame:
                     names=["label", "node", "copies", "vector", "cell", "home"],
                 )
 
-    schema = "label long, node long, copies long, vector array<double>, cell int, home boolean"
+    kind = nodes.schema["vector"].dataType.simpleString()
+    schema = f"label long, node long, copies long, vector {kind}, cell int, home boolean"
     placed = materialize(nodes.select("label", "node", "copies", "vector").mapInArrow(assign, schema), "cells")
     sizes = placed.groupBy("label", "cell").agg(
         F.ceil(F.count_if("home") / BLOCK).cast("int").alias("home_blocks"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")
