@@ -8,8 +8,11 @@ the host's template, and parts that are mostly links its menus.
 
 Every page is then matched against its host's wrapper. Text counts if it stands in the
 page's article or main element (in the whole page if there is none), not in a part that
-is marked as menu, header, footer, sidebar, notice, advert, form or comments, and, outside
-an article, not in template or menu parts of the wrapper.
+is marked as menu, header, footer, sidebar, notice, advert, form or comments, and not in
+template or menu parts of the wrapper. A text is template where most pages with the part
+have that very text (``SHARE``, and ``LAYOUT`` of the host's pages). Inside an article only
+whole blocks are template, so that no sentence is torn, its h1 is never (a series may have
+one title), and a page that would lose three quarters of its article keeps all of it.
 
 Pages aren't shuffled for the sample, only the sampled pages are; a host's pages are
 never gathered. The wrappers are broadcast when they are measured to be small
@@ -21,6 +24,7 @@ gives the empty text. Repeated rows give repeated results. Other columns are not
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -36,6 +40,10 @@ from millrace.session import materialize
 PAGES = 12
 #: Template text is told from this many different pages on.
 TOLD = 3
+#: A template text is the text of this share of the pages that have the part, and of this share of all pages.
+SHARE, LAYOUT = 0.8, 0.2
+#: Texts counted for a part; beyond them the rarest are forgotten (Misra and Gries), which can only undercount.
+COUNTED = 256
 LINKS = 0.7
 BROADCAST_BYTES = 32 << 20
 BROADCAST_HOSTS = 200_000
@@ -43,21 +51,26 @@ TEXT = "#"
 
 
 class Part:
-    """A wrapper part: an element, or text that is fixed or a slot."""
+    """A wrapper part: an element, or text with the number of pages for each text seen there."""
 
-    __slots__ = ("key", "kids", "text", "slot", "optional", "repeated", "pages", "size", "linked", "main", "apart")
+    __slots__ = ("key", "kids", "texts", "optional", "repeated", "pages", "size", "linked", "apart")
 
     def __init__(self, key: str, text: str = ""):
-        self.key, self.text = key, text
+        self.key = key
         self.kids: list[Part] = []
-        self.slot = self.optional = self.repeated = self.main = self.apart = False
+        self.texts = {digest(text): 1} if text else {}
+        self.optional = self.repeated = self.apart = False
         self.pages, self.size, self.linked = 1, len(text), 0
 
 
+def digest(text: str) -> str:
+    return hashlib.blake2b(text.encode(errors="replace"), digest_size=8).hexdigest()
+
+
 def part_of(node: Node, linked: bool = False) -> Part:
     """A page as a wrapper of its own, with repeats folded."""
     part = Part(node.key)
-    part.main, part.apart = node.tag in MAIN, node.apart
+    part.apart = node.apart
     linked = linked or node.tag == "a"
     for kid in node.kids:
         if isinstance(kid, Node):
@@ -74,7 +87,11 @@ def part_of(node: Node, linked: bool = False) -> Part:
 def merge(a: Part, b: Part, same_page: bool = False) -> Part:
     """One part that stands for both."""
     if a.key == TEXT:
-        a.slot = a.slot or b.slot or a.text != b.text
+        for text, n in b.texts.items():
+            a.texts[text] = max(a.texts.get(text, 0), n) if same_page else a.texts.get(text, 0) + n
+        if len(a.texts) > COUNTED and not same_page:
+            rare = sorted(a.texts.values(), reverse=True)[COUNTED]
+            a.texts = {text: n - rare for text, n in a.texts.items() if n > rare}
     else:
         a.kids = align(a.kids, b.kids, same_page)
     a.optional, a.repeated = a.optional or b.optional, a.repeated or b.repeated
@@ -116,27 +133,36 @@ def fold(parts: list[Part], longest: int = 3) -> list[Part]:
     return parts
 
 
-def _has_slot(part: Part) -> bool:
-    return part.slot or any(_has_slot(k) for k in part.kids)
+def _fixed(part: Part, pages: int) -> list[str]:
+    """Template texts of a text part."""
+    least = max(TOLD, SHARE * part.pages, LAYOUT * pages)
+    return sorted(text for text, n in part.texts.items() if n >= least)
+
 
+def _has_slot(part: Part, pages: int) -> bool:
+    if part.key != TEXT:
+        return any(_has_slot(k, pages) for k in part.kids)
+    fixed = _fixed(part, pages)
+    return not fixed or sum(part.texts[t] for t in fixed) < SHARE * sum(part.texts.values())
 
-def _told(part: Part, pages: int, inside: bool) -> dict:
-    """What the matcher needs: the key, whether to drop the part, and its kids unless it is dropped."""
-    inside = inside or part.main
-    template = pages >= TOLD and part.pages >= pages and part.size > 0 and not _has_slot(part)
+
+def _told(part: Part, pages: int) -> dict:
+    """What the matcher needs: key, template texts, whether the part is a menu, its kids; and whether it goes as a whole."""
+    template = part.pages >= max(TOLD, LAYOUT * pages) and part.size > 0 and not _has_slot(part, pages)
     menu = part.repeated and part.size > 0 and part.linked > LINKS * part.size
-    drop = part.apart or (not inside and (template or menu))
-    kids = [] if drop else [_told(k, pages, inside) for k in part.kids]
-    return {"k": part.key, "d": drop, "c": kids}
+    told = {"k": part.key, "d": part.apart or template or menu, "m": menu, "c": [_told(k, pages) for k in part.kids]}
+    if part.key == TEXT:
+        told["x"] = [] if _has_slot(part, pages) else _fixed(part, pages)
+    return told
 
 
 def infer(pages: list[str]) -> dict:
-    """The wrapper of a host's sample pages, which are aligned one after the other."""
-    different = list(dict.fromkeys(pages))
+    """The wrapper of a host's pages, which are aligned one after the other; pages of one main text count once."""
+    different = list({main_text(page): page for page in reversed(pages)}.values())[::-1]
     whole = part_of(read(different[0]))
     for page in different[1:]:
         whole = merge(whole, part_of(read(page)))
-    return _told(whole, len(different), False)
+    return _told(whole, len(different))
 
 
 def _matched(node: Node, wrapper: dict | None) -> Iterator[tuple[Node | str, dict | None]]:
@@ -168,16 +194,34 @@ def _matched(node: Node, wrapper: dict | None) -> Iterator[tuple[Node | str, dic
         yield kid, part_for.get(id(kid)) if isinstance(kid, Node) or kid.strip() else None
 
 
+def _is_template(text: str, part: dict | None) -> bool:
+    return bool(part and part["x"]) and digest(" ".join(text.split())) in part["x"]
+
+
+def _all_template(node: Node, wrapper: dict | None) -> bool:
+    """Whether every text of the node is template."""
+    for kid, part in _matched(node, wrapper):
+        if isinstance(kid, str):
+            if kid.strip() and not _is_template(kid, part):
+                return False
+        elif not kid.apart and not _all_template(kid, part):
+            return False
+    return True
+
+
 def _texts(node: Node, wrapper: dict | None, whole: bool, inside: bool) -> Iterator[str | None]:
     """Texts that count, with None where a block begins or ends."""
     for kid, part in _matched(node, wrapper):
         if isinstance(kid, str):
-            if inside and not (part and part["d"] and whole):
+            if inside and not (whole and _is_template(kid, part)):
                 yield kid
             continue
         block = kid.tag in BLOCKS
         header = kid.tag == "header" and (whole or not inside)
-        if kid.apart or header or (part and part["d"] and (whole or not inside)):
+        article = inside and not whole
+        menu = part and part["m"] and (block or not article)
+        template = article and part and block and kid.tag != "h1" and _all_template(kid, part)
+        if kid.apart or header or ((menu or template) and kid.tag not in MAIN):
             if block:
                 yield None
             continue
@@ -191,7 +235,11 @@ def _texts(node: Node, wrapper: dict | None, whole: bool, inside: bool) -> Itera
 def main_text(page: str, wrapper: dict | None = None) -> str:
     root = read(page)
     whole = not articles(root)
-    return blocks(_texts(root, wrapper, whole, whole))
+    text = blocks(_texts(root, wrapper, whole, whole))
+    if wrapper and not whole:
+        bare = blocks(_texts(root, None, whole, whole))
+        return text if 4 * len(text) >= len(bare) else bare
+    return text
 
 
 def host_of(url: str = "url") -> Column:

@@ -254,6 +254,20 @@ def test_wrapper_tells_template_menu_and_slots():
     assert wrapper.main_text(pages[0], wrapper.infer(pages[:1] * 5)).startswith("Name of site text 0 one")
 
 
+def test_wrapper_decides_inside_an_article():
+    page = (
+        "<body><article><h1>A series</h1><p>Text {0} with <b>the same</b> word</p><p>Own words of page {0}</p><div>Follow us <b>daily</b></div>"
+        "<ul>{1}</ul><p>Printed in Bern</p></article></body>"
+    )
+    pages = [page.format(i, "".join(f"<li><a href=/{j}>Other {i} {j}</a></li>" for j in range(3))) for i in range(8)]
+    told = wrapper.infer(pages)
+    assert wrapper.main_text(pages[3], told) == "A series Text 3 with the same word Own words of page 3"
+    assert wrapper.main_text(pages[3]).endswith("Follow us daily Other 3 0 Other 3 1 Other 3 2 Printed in Bern")
+    # other words in a template's place are text, and so is an article that would lose most of itself
+    assert "Printed in Rome" in wrapper.main_text(pages[3].replace("Bern", "Rome"), told)
+    assert wrapper.main_text("<article><h1>x</h1><ul></ul><p>Printed in Bern</p></article>", told) == "x Printed in Bern"
+
+
 def test_pages(spark):
     rows = [(i, f"http://h{i % 2}.example/{i}", PAGE.replace("One", f"One {i} "), "x") for i in range(30)]
     rows += [(100, None, PAGE, "x"), (101, "http://h0.example/x", None, "x"), (102, "nonsense", "", None), (None, "http://h1.example/", PAGE, "x")]
