@@ -40,48 +40,80 @@ APART = {
     "noscript", "object", "script", "select", "style", "svg", "template", "textarea", "title",
 }
 _APART_ROLES = {"alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "navigation", "search"}
-#: Words in a class or id that mark menus, headers, footers, sidebars, notices, adverts, forms and comments.
+#: Whole classes and ids that mark menus, headers, footers, sidebars, notices, adverts, forms and comments.
 _APART_NAMES = {
-    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "alert", "banner", "breadcrumb", "breadcrumbs", "comment",
-    "comments", "consent", "cookie", "cookies", "copyright", "dialog", "disclaimer", "disqus", "discussion", "footer", "form",
-    "gdpr", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notification", "overlay",
-    "pager", "pagination", "popup", "promo", "promotion", "recommended", "related", "replies", "reply", "respond", "search",
-    "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar",
-    "topbar", "widget",
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "breadcrumb", "breadcrumbs", "comment", "comments",
+    "cookie", "cookies", "disqus", "footer", "gdpr", "masthead", "modal", "nav", "navbar", "newsletter", "pager", "pagination",
+    "popup", "promo", "sidebar", "signup", "sponsor", "sponsored", "toolbar", "topbar",
 }
+#: These mark such parts too, but name subjects of articles as well. They are weak marks, as are compounds that a
+#: marking word heads ("cookie-notice") or that pair one with a word for a container ("ad-box"): the host's
+#: wrapper overrules them, and so does the share of the page's text that the part holds.
+_WEAK_NAMES = {
+    "alert", "banner", "consent", "copyright", "dialog", "disclaimer", "discussion", "form", "menu", "navigation", "notice",
+    "notification", "overlay", "promotion", "recommended", "related", "replies", "reply", "respond", "search", "share",
+    "sharing", "skip", "social", "subscribe", "subscription", "widget",
+}
+_CONTAINERS = {
+    "area", "bar", "block", "body", "bottom", "box", "btn", "button", "buttons", "column", "container", "content", "icons", "inner",
+    "item", "items", "label", "left", "link", "links", "list", "main", "outer", "panel", "posts", "right", "section", "slot", "thread",
+    "title", "top", "unit", "wrap", "wrapper",
+}
+#: With one of these a compound says something about its surroundings.
+_NOT_APART = {"has", "is", "layout", "no", "non", "not", "page", "with", "without"}
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+
+
+def _mark(name: str) -> int:
+    """0 for a name that doesn't mark a part as apart, 1 for a weak mark, 2 for a certain one."""
+    if name in _APART_NAMES:
+        return 2
+    if name in _WEAK_NAMES:
+        return 1
+    words = [w for w in re.split(r"[^a-z]+", name) if w]
+    if not words or _NOT_APART.intersection(words):
+        return 0
+    while len(words) > 1 and words[-1] in _CONTAINERS:
+        words.pop()
+    return int(words[-1] in _APART_NAMES or words[-1] in _WEAK_NAMES)
 
 
 class Node:
-    """An element: its key (tag and names), whether it is marked as apart from the article, and what it holds."""
+    """An element: its key (tag and names), whether (weakly) marked as apart from the article, and what it holds."""
 
-    __slots__ = ("tag", "key", "apart", "kids")
+    __slots__ = ("tag", "key", "apart", "weak", "kids")
 
-    def __init__(self, tag: str, key: str = "", apart: bool = False):
-        self.tag, self.key, self.apart = tag, key or tag, apart
+    def __init__(self, tag: str, key: str = "", apart: bool = False, weak: bool = False):
+        self.tag, self.key, self.apart, self.weak = tag, key or tag, apart or weak, weak and not apart
         self.kids: list[Node | str] = []
 
 
 def _element(tag: str, rest: str) -> Node:
-    names, role, hidden = [], "", False
+    names, role, hidden, mark = [], "", False, 0
     if rest and "=" in rest or "hidden" in rest:
         for name, value in _ATTRIBUTE.findall(rest):
             name = name.lower()
             if name in ("class", "id"):
-                names += value.strip("\"'").lower().split()
+                found = value.strip("\"'").lower().split()
+                names += found
+                # ids of headings are anchors, and so are ids of sections that may name a subject
+                if found and not (name == "id" and tag in _HEADINGS):
+                    least = 2 if name == "id" and tag == "section" else 1
+                    mark = max(mark, max(m if (m := _mark(n)) >= least else 0 for n in found))
             elif name == "role":
                 role = value.strip("\"'").lower()
             elif name == "hidden":
                 hidden = True
-    words = {w for n in names for w in re.split(r"[^a-z]+", n)}
-    apart = tag in APART or role in _APART_ROLES or hidden or bool(words & _APART_NAMES)
+    apart = tag in APART or role in _APART_ROLES or hidden or mark == 2
     marks = sorted(n for n in names if not any(c.isdigit() for c in n))
-    return Node("main" if role == "main" else tag, ".".join([tag, *marks]), apart)
+    return Node("main" if role == "main" else tag, ".".join([tag, *marks]), apart, mark == 1)
 
 
 def read(page: str) -> Node:
     """The page as a tree; text is decoded, comments are gone, what is left open ends with its surroundings."""
     root = Node("html")
     stack = [root]
+    weak = False
 
     def close(targets: set[str], stops: set[str]) -> None:
         for i in range(len(stack) - 1, 0, -1):
@@ -124,11 +156,33 @@ def read(page: str) -> Node:
             if first is not None and not node.apart:
                 del stack[first:]
         stack[-1].kids.append(node)
+        weak |= node.weak
         if tag not in _VOID and len(stack) < DEEPEST:
             stack.append(node)
+    if weak:
+        _settle(root)
     return root
 
 
+def _settle(root: Node) -> None:
+    """Takes weak marks from parts that hold more than half of the text of their article or, outside one, of the page."""
+
+    def length(node: Node) -> int:
+        if node.apart and not node.weak:
+            return 0
+        return sum(length(k) if isinstance(k, Node) else len("".join(k.split())) for k in node.kids)
+
+    def clear(node: Node, whole: int) -> None:
+        for kid in node.kids:
+            if isinstance(kid, Node) and not (kid.apart and not kid.weak):
+                if kid.weak and 2 * length(kid) > whole:
+                    kid.apart = kid.weak = False
+                if not kid.weak:
+                    clear(kid, length(kid) if kid.tag in MAIN else whole)
+
+    clear(root, length(root))
+
+
 def articles(root: Node) -> list[Node]:
     """The outermost article or main elements that aren't apart, in page order."""
     found, stack = [], [root]

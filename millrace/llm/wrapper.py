@@ -9,7 +9,8 @@ the host's template, and parts that are mostly links its menus.
 Every page is then matched against its host's wrapper. Text counts if it stands in the
 page's article or main element (in the whole page if there is none), not in a part that
 is marked as menu, header, footer, sidebar, notice, advert, form or comments, and not in
-template or menu parts of the wrapper. A text is template where most pages with the part
+template or menu parts of the wrapper; a weak mark (page_tree) doesn't count where the wrapper
+has slots and few links. A text is template where most pages with the part
 have that very text (``SHARE``, and ``LAYOUT`` of the host's pages). Inside an article only
 whole blocks are template, so that no sentence is torn, its h1 is never (a series may have
 one title), and a page that would lose three quarters of its article keeps all of it.
@@ -53,13 +54,13 @@ TEXT = "#"
 class Part:
     """A wrapper part: an element, or text with the number of pages for each text seen there."""
 
-    __slots__ = ("key", "kids", "texts", "optional", "repeated", "pages", "size", "linked", "apart")
+    __slots__ = ("key", "kids", "texts", "optional", "repeated", "pages", "size", "linked", "apart", "weak")
 
     def __init__(self, key: str, text: str = ""):
         self.key = key
         self.kids: list[Part] = []
         self.texts = {digest(text): 1} if text else {}
-        self.optional = self.repeated = self.apart = False
+        self.optional = self.repeated = self.apart = self.weak = False
         self.pages, self.size, self.linked = 1, len(text), 0
 
 
@@ -70,7 +71,7 @@ def digest(text: str) -> str:
 def part_of(node: Node, linked: bool = False) -> Part:
     """A page as a wrapper of its own, with repeats folded."""
     part = Part(node.key)
-    part.apart = node.apart
+    part.apart, part.weak = node.apart, node.weak
     linked = linked or node.tag == "a"
     for kid in node.kids:
         if isinstance(kid, Node):
@@ -94,6 +95,7 @@ def merge(a: Part, b: Part, same_page: bool = False) -> Part:
             a.texts = {text: n - rare for text, n in a.texts.items() if n > rare}
     else:
         a.kids = align(a.kids, b.kids, same_page)
+        a.apart, a.weak = a.apart and b.apart, (a.weak or b.weak) and a.apart and b.apart
     a.optional, a.repeated = a.optional or b.optional, a.repeated or b.repeated
     a.size, a.linked = a.size + b.size, a.linked + b.linked
     a.pages = max(a.pages, b.pages) if same_page else a.pages + b.pages
@@ -150,7 +152,9 @@ def _told(part: Part, pages: int) -> dict:
     """What the matcher needs: key, template texts, whether the part is a menu, its kids; and whether it goes as a whole."""
     template = part.pages >= max(TOLD, LAYOUT * pages) and part.size > 0 and not _has_slot(part, pages)
     menu = part.repeated and part.size > 0 and part.linked > LINKS * part.size
-    told = {"k": part.key, "d": part.apart or template or menu, "m": menu, "c": [_told(k, pages) for k in part.kids]}
+    # a weak mark doesn't count against a part that the pages fill with texts of their own
+    own = part.weak and part.pages >= TOLD and part.size > 0 and not template and part.linked <= LINKS * part.size
+    told = {"k": part.key, "d": (part.apart and not own) or template or menu, "m": menu, "o": own, "c": [_told(k, pages) for k in part.kids]}
     if part.key == TEXT:
         told["x"] = [] if _has_slot(part, pages) else _fixed(part, pages)
     return told
@@ -194,6 +198,10 @@ def _matched(node: Node, wrapper: dict | None) -> Iterator[tuple[Node | str, dic
         yield kid, part_for.get(id(kid)) if isinstance(kid, Node) or kid.strip() else None
 
 
+def _apart(node: Node, part: dict | None) -> bool:
+    return node.apart and not (node.weak and part is not None and part["o"])
+
+
 def _is_template(text: str, part: dict | None) -> bool:
     return bool(part and part["x"]) and digest(" ".join(text.split())) in part["x"]
 
@@ -204,7 +212,7 @@ def _all_template(node: Node, wrapper: dict | None) -> bool:
         if isinstance(kid, str):
             if kid.strip() and not _is_template(kid, part):
                 return False
-        elif not kid.apart and not _all_template(kid, part):
+        elif not _apart(kid, part) and not _all_template(kid, part):
             return False
     return True
 
@@ -221,7 +229,7 @@ def _texts(node: Node, wrapper: dict | None, whole: bool, inside: bool) -> Itera
         article = inside and not whole
         menu = part and part["m"] and (block or not article)
         template = article and part and block and kid.tag != "h1" and _all_template(kid, part)
-        if kid.apart or header or ((menu or template) and kid.tag not in MAIN):
+        if _apart(kid, part) or header or ((menu or template) and kid.tag not in MAIN):
             if block:
                 yield None
             continue

@@ -268,6 +268,22 @@ def test_wrapper_decides_inside_an_article():
     assert wrapper.main_text("<article><h1>x</h1><ul></ul><p>Printed in Bern</p></article>", told) == "x Printed in Bern"
 
 
+def test_names_that_only_look_like_marks():
+    for name in ("no-sidebar", "has-sidebar", "layout-with-sidebar"):
+        assert wrapper.main_text(f"<div class='{name}'><p>the text</p></div><div class=sidebar>x</div>") == "the text"
+    page = (
+        "<article><section id=discussion>We argue</section><section id=related-work>Others did</section><h2 id=search>Search</h2>"
+        "<div class=social-history>Born poor</div><p>Much more of the article's own text</p><div class='cookie-notice'>ok?</div>"
+        "<div class=ad-box>buy</div><div class=related>see</div></article>"
+    )
+    assert wrapper.main_text(page) == "We argue Others did Search Born poor Much more of the article's own text"
+    # a weak mark doesn't count on most of the text, nor where the host's pages have texts of their own
+    assert wrapper.main_text("<div class=search-box><p>All of the text</p></div><p>end</p>") == "All of the text end"
+    pages = [f"<article><p>Long paragraph number {i} of the page</p><div class=notice>Notice {i}</div></article>" for i in range(5)]
+    assert wrapper.main_text(pages[2]) == "Long paragraph number 2 of the page"
+    assert wrapper.main_text(pages[2], wrapper.infer(pages)) == "Long paragraph number 2 of the page Notice 2"
+
+
 def test_pages(spark):
     rows = [(i, f"http://h{i % 2}.example/{i}", PAGE.replace("One", f"One {i} "), "x") for i in range(30)]
     rows += [(100, None, PAGE, "x"), (101, "http://h0.example/x", None, "x"), (102, "nonsense", "", None), (None, "http://h1.example/", PAGE, "x")]
