@@ -1,7 +1,8 @@
 """Main text of web pages by wrappers: union-free expressions inferred from the pages of a host.
 
-A few pages of each host (``PAGES`` expected, chosen by hash; the fit's bounded sample) are
-aligned one after the other. Where the streams agree they are the wrapper; text that
+All pages of a host with different main texts are aligned, in groups of about ``GROUP`` one
+after the other; their wrappers are aligned in groups again until one is left. Groups and
+orders go by hashes of the texts, so partitioning doesn't change them. Where the streams agree they are the wrapper; text that
 differs becomes a slot, elements that only some pages have become optional, and
 neighbours of one shape become a repeated group. Parts of the wrapper without a slot are
 the host's template, and parts that are mostly links its menus.
@@ -15,8 +16,8 @@ have that very text (``SHARE``, and ``LAYOUT`` of the host's pages). Inside an a
 whole blocks are template, so that no sentence is torn, its h1 is never (a series may have
 one title), and a page that would lose three quarters of its article keeps all of it.
 
-Pages aren't shuffled for the sample, only the sampled pages are; a host's pages are
-never gathered. The wrappers are broadcast when they are measured to be small
+Pages aren't shuffled, only their folded trees, which hold hashes instead of texts; no task
+sees more of a host than a group. The wrappers are broadcast when they are measured to be small
 (``BROADCAST_BYTES``) and joined by host otherwise.
 
 A page without url, or whose host has no wrapper, goes by its own marks. Null or empty html
@@ -27,7 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
 import pyarrow as pa
@@ -38,7 +39,7 @@ from millrace.llm.common import slices, texts_of
 from millrace.llm.page_tree import BLOCKS, MAIN, Node, articles, blocks, read
 from millrace.session import materialize
 
-PAGES = 12
+GROUP = 256
 #: Template text is told from this many different pages on.
 TOLD = 3
 #: A template text is the text of this share of the pages that have the part, and of this share of all pages.
@@ -103,14 +104,24 @@ def merge(a: Part, b: Part, same_page: bool = False) -> Part:
 
 
 def align(left: list[Part], right: list[Part], same_page: bool = False) -> list[Part]:
-    """Parts of both in order; what only one side has is optional."""
+    """Parts of both in order; what only one side has is optional. In a run of optional parts the order doesn't tell:
+    what each side has in another place of the run is one part (layouts of a host meet in any order)."""
     out: list[Part] = []
+    alone: dict[tuple[str, int], list[Part]] = {}
     for kind, a, b, c, d in SequenceMatcher(None, [p.key for p in left], [p.key for p in right], autojunk=False).get_opcodes():
         if kind == "equal":
-            out += [merge(x, y, same_page) for x, y in zip(left[a:b], right[c:d])]
-        else:
-            for part in (*left[a:b], *right[c:d]):
+            for x, y in zip(left[a:b], right[c:d]):
+                out.append(merge(x, y, same_page))
+                if not out[-1].optional:
+                    alone.clear()
+            continue
+        for side, parts in enumerate((left[a:b], right[c:d])):
+            for part in parts:
                 part.optional = True
+                if not same_page and (others := alone.get((part.key, 1 - side))):
+                    merge(others.pop(0), part)
+                    continue
+                alone.setdefault((part.key, side), []).append(part)
                 out.append(part)
     return fold(out)
 
@@ -135,6 +146,19 @@ def fold(parts: list[Part], longest: int = 3) -> list[Part]:
     return parts
 
 
+def packed(part: Part) -> list:
+    flags = part.optional + 2 * part.repeated + 4 * part.apart + 8 * part.weak
+    return [part.key, flags, part.pages, part.size, part.linked, part.texts, [packed(k) for k in part.kids]]
+
+
+def unpacked(given: list) -> Part:
+    part = Part(given[0])
+    part.optional, part.repeated, part.apart, part.weak = (bool(given[1] & bit) for bit in (1, 2, 4, 8))
+    part.pages, part.size, part.linked, part.texts = given[2:6]
+    part.kids = [unpacked(k) for k in given[6]]
+    return part
+
+
 def _fixed(part: Part, pages: int) -> list[str]:
     """Template texts of a text part."""
     least = max(TOLD, SHARE * part.pages, LAYOUT * pages)
@@ -160,13 +184,18 @@ def _told(part: Part, pages: int) -> dict:
     return told
 
 
+def merged(parts: Iterator[Part]) -> Part:
+    whole = next(parts)
+    for part in parts:
+        whole = merge(whole, part)
+    return whole
+
+
 def infer(pages: list[str]) -> dict:
     """The wrapper of a host's pages, which are aligned one after the other; pages of one main text count once."""
-    different = list({main_text(page): page for page in reversed(pages)}.values())[::-1]
-    whole = part_of(read(different[0]))
-    for page in different[1:]:
-        whole = merge(whole, part_of(read(page)))
-    return _told(whole, len(different))
+    different = {main_text(page): page for page in reversed(pages)}
+    whole = merged(part_of(read(page)) for page in reversed(different.values()))
+    return _told(whole, whole.pages)
 
 
 def _matched(node: Node, wrapper: dict | None) -> Iterator[tuple[Node | str, dict | None]]:
@@ -241,7 +270,10 @@ def _texts(node: Node, wrapper: dict | None, whole: bool, inside: bool) -> Itera
 
 
 def main_text(page: str, wrapper: dict | None = None) -> str:
-    root = read(page)
+    return text_of(read(page), wrapper)
+
+
+def text_of(root: Node, wrapper: dict | None = None) -> str:
     whole = not articles(root)
     text = blocks(_texts(root, wrapper, whole, whole))
     if wrapper and not whole:
@@ -254,21 +286,51 @@ def host_of(url: str = "url") -> Column:
     return F.lower(F.coalesce(F.regexp_extract(F.col(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """host and its wrapper (JSON), from a sample of the host's pages."""
-    rows = pages.select(host_of().alias("host"), "page_id", "url", "html").where("host <> '' and html is not null")
-    sizes = materialize(rows.groupBy("host").agg(F.count(F.lit(1)).alias("n")), "hosts")
-    if sizes.count() <= BROADCAST_HOSTS:
-        sizes = F.broadcast(sizes)
-    place = F.xxhash64("page_id", "url")
-    chosen = rows.join(sizes, "host").where(F.pmod(place, F.lit(1_000_003)) / 1_000_003.0 < PAGES / F.col("n"))
+def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """host, place (a hash of the main text) and tree (JSON) of pages given as host and html."""
+    for batch in batches:
+        texts = texts_of(batch.column(1))
+        for a, b in slices([len(t) for t in texts]):
+            places, trees = [], []
+            for text in texts[a:b]:
+                root = read(text.decode())
+                places.append(int(digest(text_of(root)), 16) >> 1)
+                trees.append(json.dumps(packed(part_of(root)), separators=(",", ":")))
+            columns = [batch.column(0).slice(a, b - a), pa.array(places, pa.int64()), pa.array(trees, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["host", "place", "tree"])
+
+
+def _merging(last: bool) -> Callable[[tuple, pa.Table], pa.Table]:
+    """Merges the trees of a group in the order of their places, in the last round to what the matcher needs."""
 
-    def run(key: tuple, batch: pa.Table) -> pa.Table:
-        found = sorted(zip(batch["place"].to_pylist(), texts_of(batch["html"])))
-        made = json.dumps(infer([h.decode() for _, h in found]), separators=(",", ":"))
-        return pa.table({"host": [key[0].as_py()], "wrapper": [made]})
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        found = sorted(zip(group["place"].to_pylist(), group["tree"].to_pylist()))
+        whole = merged(unpacked(json.loads(tree)) for _, tree in found)
+        made = json.dumps(_told(whole, whole.pages) if last else packed(whole), separators=(",", ":"))
+        return pa.table({"host": [key[0].as_py()], "place": [key[1].as_py()], "tree": [made]})
 
-    return chosen.select("host", place.alias("place"), "html").groupBy("host").applyInArrow(run, "host string, wrapper string")
+    return run
+
+
+def wrappers(pages: DataFrame) -> DataFrame:
+    """host and its wrapper (JSON), from all pages of the host."""
+    rows = pages.select(host_of().alias("host"), "html").where("host <> '' and html is not null")
+    kinds = "host string, place long, tree string"
+    trees = rows.mapInArrow(_trees, kinds).groupBy("host", "place").agg(F.min("tree").alias("tree"))
+    trees = materialize(trees, "page-trees")
+    sizes = materialize(trees.groupBy("host").agg(F.count(F.lit(1)).alias("n")), "hosts")
+    most, hosts = sizes.agg(F.coalesce(F.max("n"), F.lit(0)), F.count(F.lit(1))).first()
+    if hosts <= BROADCAST_HOSTS:
+        sizes = F.broadcast(sizes)
+    groups = F.ceil(F.col("n") / GROUP).cast("long")
+    level = trees.join(sizes, "host").select("host", F.pmod("place", groups).alias("part"), "place", "tree")
+    rounds = 1
+    while GROUP**rounds < most:
+        rounds += 1
+    for left in range(rounds - 1, -1, -1):
+        done = level.groupBy("host", "part").applyInArrow(_merging(last=left == 0), kinds)
+        level = done.select("host", F.expr(f"place div {GROUP}").alias("part"), "place", "tree")
+    return level.select("host", F.col("tree").alias("wrapper"))
 
 
 def extract(pages: DataFrame) -> DataFrame:

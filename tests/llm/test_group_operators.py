@@ -284,6 +284,20 @@ def test_names_that_only_look_like_marks():
     assert wrapper.main_text(pages[2], wrapper.infer(pages)) == "Long paragraph number 2 of the page Notice 2"
 
 
+def test_wrappers_of_all_pages(spark):
+    """Half of a large host has another layout, one page is odd, most of another host is copies of one page."""
+    page = "<body><div class=top-{0}>Site {0}</div><div class=x><p>text {1}</p></div><div class=end-{0}>Imprint {0}</div></body>"
+    rows = [("big", page.format("ab"[i % 2], i)) for i in range(700)] + [("big", "<p>odd</p>")]
+    rows += [("copies", page.format("c", 0))] * 300 + [("copies", page.format("c", i)) for i in range(1, 4)]
+    given = [(i, f"http://{host}.example/{i}", html) for i, (host, html) in enumerate(rows)]
+    made = spark.createDataFrame(given, "page_id long, url string, html string")
+    found = {r.host: r.wrapper for r in wrapper.wrappers(made.repartition(5)).collect()}
+    assert found == {r.host: r.wrapper for r in wrapper.wrappers(made.repartition(2)).collect()}
+    assert sorted(found) == ["big.example", "copies.example"]
+    text = {r.page_id: r.text for r in wrapper.extract(made).collect()}
+    assert all(text[i] == re.search("<p>(.*?)</p>", html)[1] for i, _, html in given)
+
+
 def test_pages(spark):
     rows = [(i, f"http://h{i % 2}.example/{i}", PAGE.replace("One", f"One {i} "), "x") for i in range(30)]
     rows += [(100, None, PAGE, "x"), (101, "http://h0.example/x", None, "x"), (102, "nonsense", "", None), (None, "http://h1.example/", PAGE, "x")]
