@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-# label | keyword | name of the licence | its short identifiers
+# label | keyword, which every reading of the name holds | name of the licence | its short identifiers, - for those of another line
 FAMILIES = """
 gpl-1.0 | gnu | gnu general public license (?:version |v ?)?1(?: 0)? | gpl 1 0(?: only| or later)?, gplv1
 gpl-2.0 | gnu | gnu general public license (?:version |v ?)?2(?: 0)? | gpl 2 0(?: only| or later)?, gplv2
@@ -25,13 +25,16 @@ gfdl-1.3 | gnu | gnu free documentation license (?:version |v ?)?1 3 | gfdl 1 3(
 apache-1.0 | apache | apache (?:software )?license (?:version |v ?)?1 0 | apache 1 0
 apache-1.1 | apache | apache (?:software )?license (?:version |v ?)?1 1 | apache 1 1
 apache-2.0 | apache | apache (?:software )?license (?:version |v ?)?2(?: 0)? | apache 2 0
-mit | mit | (?:the )?(?:mit|expat) license | mit
+mit | mit | (?:the )?mit license | mit
+mit | expat | (?:the )?expat license | -
 mit-0 | mit | mit no attribution(?: license)? | mit 0
 x11 | x11 | x11 license | x11
-bsd-2-clause | bsd | (?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)(?: simplified)? license | bsd 2 clause
+bsd-2-clause | bsd | (?:bsd 2 clause|2 clause bsd|simplified bsd)(?: simplified)? license | bsd 2 clause
+bsd-2-clause | freebsd | freebsd(?: simplified)? license | -
 bsd-3-clause | bsd | (?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)(?: new or revised)? license | bsd 3 clause
 bsd-4-clause | bsd | (?:bsd 4 clause|4 clause bsd|original bsd)(?: original or old)? license | bsd 4 clause
-bsd-0-clause | bsd | (?:zero clause bsd|bsd zero clause|0bsd)(?: license)? | 0bsd
+bsd-0-clause | bsd | (?:zero clause bsd|bsd zero clause)(?: license)? | 0bsd
+bsd-0-clause | 0bsd | 0bsd(?: license)? | -
 isc | isc | isc license | isc
 mpl-1.0 | mozilla | mozilla public license (?:version |v ?)?1 0 | mpl 1 0
 mpl-1.1 | mozilla | mozilla public license (?:version |v ?)?1 1 | mpl 1 1
@@ -55,7 +58,7 @@ php-3.01 | php | php license(?: (?:version |v ?)?3 01)? | php 3 01
 ruby | ruby | ruby license | ruby
 postgresql | postgresql | postgresql licen[cs]e | postgresql
 openssl | openssl | openssl license | openssl
-ncsa | ncsa | university of illinois(?: ncsa)? open source license | ncsa
+ncsa | illinois | university of illinois(?: ncsa)? open source license | ncsa
 ofl-1.1 | sil | sil open font license(?: (?:version |v ?)?1 1)? | ofl 1 1
 lppl-1.3 | latex | latex project public license(?: (?:version |v ?)?1 3[abc]?)? | lppl 1 3[abc]?
 ms-pl | microsoft | microsoft public license | ms pl
@@ -69,7 +72,7 @@ elastic-2.0 | elastic | elastic license(?: (?:version |v ?)?2(?: 0)?)? | elastic
 polyform-nc-1.0 | polyform | polyform noncommercial license(?: (?:version |v ?)?1 0 0)? | polyform noncommercial 1 0 0
 mulan-psl-2.0 | mulan | mulan permissive software license(?: (?:version |v ?)?2)? | mulanpsl 2 0
 blueoak-1.0 | blue | blue oak model license(?: (?:version |v ?)?1 0 0)? | blueoak 1 0 0
-openrail | rail | (?:creativeml )?open rail(?: ?m)? license | openrail
+openrail | open | (?:creativeml )?open rail(?: ?m)? license | openrail
 odbl-1.0 | open | open database license(?: (?:version |v ?)?1 0)? | odbl 1 0
 odc-by-1.0 | open | open data commons attribution license(?: (?:version |v ?)?1 0)? | odc by 1 0
 pddl-1.0 | public | public domain dedication and license(?: (?:version |v ?)?1 0)? | pddl 1 0
@@ -212,8 +215,9 @@ def build() -> list[Rule]:
         made.append((label, keyword, name, 2, False))
         made.append((label, keyword, NOTICE.format(f"(?:{name})"), 3, False))
         made.append((label, keyword, TAIL.format(f"(?:{name})"), 3, False))
-        tags = "|".join(f"(?:{t})" for t in short.split(", "))
-        made.append((label, "spdx", TAG.format(f"(?:{tags})"), 3, False))
+        if short != "-":
+            tags = "|".join(f"(?:{t})" for t in short.split(", "))
+            made.append((label, "spdx", TAG.format(f"(?:{tags})"), 3, False))
     for line in PHRASES.strip().splitlines():
         label, priority, keyword, pattern = _cells(line, 4)
         made.append((label, keyword, pattern, int(priority), False))

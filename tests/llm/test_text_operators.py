@@ -144,6 +144,41 @@ def test_licenses_odd_rows(odd_docs, no_docs):
     assert license_scan.summary(license_scan.detect(no_docs)).count() == 0
 
 
+def readings(items):
+    """Texts a parsed pattern matches: every alternative, with and without what is optional."""
+    made = [""]
+    for op, value in items:
+        match str(op):
+            case "LITERAL":
+                here = [chr(value)]
+            case "NOT_LITERAL":
+                here = ["x"]
+            case "IN":
+                here = [chr(code) for _, code in value]
+            case "BRANCH":
+                here = [t for branch in value[1] for t in readings(branch)]
+            case "SUBPATTERN":
+                here = readings(value[3])
+            case "MAX_REPEAT":
+                once = readings(value[2])
+                here = [*([""] if value[0] == 0 else []), *(t * max(value[0], 1) for t in once)]
+        made = [a + b for a in made for b in here]
+    return made
+
+
+def test_every_reading_of_a_rule_is_found_alone(spark):
+    import re._parser
+
+    texts = [(r.number, t) for r in RULES for t in readings(re._parser.parse(r.regex))]
+    assert all(RULES[n].keyword in t and RULES[n].gate in t and re.search(RULES[n].regex, t) for n, t in texts)
+    names = ["Released under the Expat License", "FreeBSD License", "0BSD License", "University of Illinois Open Source License", "open railm license"]
+    docs = spark.createDataFrame([*texts[::37], *((-i - 1, t) for i, t in enumerate(names))], "doc_id long, text string")
+    for r in license_scan.detect(docs).collect():
+        found = {d.rule for d in r.detections}
+        assert found == {x.number for x in RULES if re.search(x.regex, "".join(f" {w} " for w in lowered(r.text).split()))}
+        assert found and (r.doc_id < 0 or r.doc_id in found)
+
+
 def test_license_places_and_suppression(spark):
     rules = [Rule(0, "ab", " a ", " a  b ", 1, True), Rule(1, "abc", " a ", " a  b  c ", 2, False), Rule(2, "bc", " b ", " b  c ", 3, False)]
     docs = spark.createDataFrame([(1, "x a b a b c, A-B b c")], "doc_id long, text string")
