@@ -6,9 +6,9 @@ probabilities are the means over all its positions. Whole texts are read, cut in
 windows of ``WINDOW`` bytes that the network reads side by side.
 
 The network is trained in numpy by backpropagation through time, on the driver, on a
-bounded sample of labelled texts (``SAMPLE_WINDOWS`` windows for each of at most
-``MOST_LANGUAGES`` languages, one window at a hashed place of each sampled text). It has a
-few thousand weights, which travel with the tasks. Prediction reads each text once,
+bounded sample of labelled texts (``SAMPLE_WINDOWS`` windows for each language, fewer from
+``FULL_LANGUAGES`` languages on, one window at a hashed place of each sampled text). All
+languages that occur are learned. It has a few thousand weights, which travel with the tasks. Prediction reads each text once,
 row by row, without a shuffle.
 
 A text that is null, empty or without a letter is ``und`` with score 0. So is every text
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import LOWER_BYTES, remainder, retain, slices, texts_of
 
 WINDOW, HIDDEN = 128, 8
-SAMPLE_WINDOWS, MOST_LANGUAGES = 1024, 128
+SAMPLE_WINDOWS, FULL_LANGUAGES = 1024, 128
 STEPS, BATCH, RATE = 200, 128, 0.02
 UNKNOWN = "und"
 #: Windows that run side by side; their states stay in a core's cache.
@@ -108,8 +108,9 @@ class Network:
         last = np.cumsum(pieces) - 1
         sizes[last[pieces > 0]] = (lengths - (pieces - 1) * WINDOW)[pieces > 0]
         sums = np.zeros((len(texts), len(self.names)))
-        for a in range(0, len(windows), SIDE_BY_SIDE):
-            part = slice(a, a + SIDE_BY_SIDE)
+        together = max(1, SIDE_BY_SIDE * FULL_LANGUAGES // max(FULL_LANGUAGES, len(self.names)))
+        for a in range(0, len(windows), together):
+            part = slice(a, a + together)
             np.add.at(sums, owner[part], self.probabilities(windows[part], sizes[part]))
         means = sums / np.maximum(lengths, 1)[:, None]
         return means.argmax(1), np.clip(means.max(1), 0, 1)
@@ -130,15 +131,18 @@ def train(samples: list[tuple[str, bytes]], seed: int = 7) -> Network | None:
     params += [rng.normal(0, 0.3, (L, H)), rng.normal(0, 0.3, (L, H)), np.zeros(L)]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     each = max(1, BATCH // L)
-    for step in range(1, STEPS + 1):
-        x = np.concatenate([o[rng.integers(0, len(o), each)] for o in own])
-        y = np.repeat(np.arange(L), each)
+    steps = STEPS * max(1, -(-L // BATCH))
+    for step in range(1, steps + 1):
+        # a batch has all languages as long as they fit
+        shown = np.arange(L) if L <= BATCH else rng.choice(L, BATCH, replace=False)
+        x = np.concatenate([own[i][rng.integers(0, len(own[i]), each)] for i in shown])
+        y = np.repeat(shown, each)
         for p, (m, v), g in zip(params, moments, _slopes(params, x, y)):
             size = np.sqrt((g**2).sum())
             g = g / max(1.0, size / 5)
             m[:] = 0.9 * m + 0.1 * g
             v[:] = 0.999 * v + 0.001 * g**2
-            rate = RATE * (1 - step / (STEPS + 20))
+            rate = RATE * (1 - step / (steps + 20))
             p -= rate * m / (1 - 0.9**step) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     layers = tuple(Layer(*params[3 * i : 3 * i + 3]) for i in range(2))
     return Network(names, layers, (params[6], params[7]), params[8])
@@ -202,10 +206,11 @@ def _slopes(params: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> list[np.n
 def train_on(docs: DataFrame) -> Network | None:
     """A network from the documents whose crc32(doc_id) leaves a remainder other than 0 by 5."""
     known = docs.where(remainder(F.col("doc_id"), 5) != 0).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     if not sizes:
         return None
-    share = F.create_map(*[F.lit(v) for r in sizes for v in (r["lang"], min(1.0, 1.3 * SAMPLE_WINDOWS / r["count"]))])
+    most = max(1, SAMPLE_WINDOWS * FULL_LANGUAGES // max(FULL_LANGUAGES, len(sizes)))
+    share = F.create_map(*[F.lit(v) for r in sizes for v in (r["lang"], min(1.0, max(1.3 * most, most + 20) / r["count"]))])
     place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_003))
     chosen = known.where(place / 1_000_003.0 < F.coalesce(share[F.col("lang")], F.lit(0.0)))
     start = F.pmod(place, F.greatest(F.length("text") - WINDOW, F.lit(1))) + 1
@@ -213,7 +218,7 @@ def train_on(docs: DataFrame) -> Network | None:
     found = sorted((r["place"], r["doc_id"] or 0, r["lang"], r["part"].encode()) for r in rows.collect())
     taken: dict[str, list[bytes]] = {}
     for _, _, lang, part in found:
-        if LETTER.search(part.decode()) and len(taken.setdefault(lang, [])) < SAMPLE_WINDOWS:
+        if LETTER.search(part.decode()) and len(taken.setdefault(lang, [])) < most:
             taken[lang].append(part)
     return train([(lang, part) for lang, parts in taken.items() for part in parts])
 
@@ -244,11 +249,10 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def keep_known(docs: DataFrame, network: Network | None, least: float = 0.4) -> DataFrame:
-    """The documents, with all their columns, whose language is told with at least that score."""
+def keep_known(docs: DataFrame, network: Network | None) -> DataFrame:
+    """The documents, with all their columns, to which :func:`predict` gives a language."""
 
     def keeps(texts: list[bytes]) -> np.ndarray:
-        langs, score = identify(texts, network)
-        return (np.array(langs) != UNKNOWN) & (score >= least)
+        return np.array(identify(texts, network)[0]) != UNKNOWN
 
     return retain(docs, keeps)

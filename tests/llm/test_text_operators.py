@@ -301,6 +301,20 @@ def test_language_on_held_out(spark, sf_dir, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns and kept.where("doc_id in (2, 3, 4, 8)").count() == 0
 
 
+def test_filter_keeps_mixed_texts_and_all_languages(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet")
+    network = langid.train_on(docs)
+    part = {r.lang: r.text for r in docs.where("length(text) > 400").collect()}
+    mixed = " ".join(t[:400] for t in part.values())
+    assert len(part) == 4 and max(network.predict([mixed.encode()])[1]) < 0.4
+    kept = langid.keep_known(spark.createDataFrame([(1, mixed), (2, "12 34")], "doc_id long, text string"), network)
+    assert [r.doc_id for r in kept.collect()] == [1]
+    monkeypatch.setattr(langid, "STEPS", 1)
+    many = spark.range(600).selectExpr("id doc_id", "concat('l', id div 4) lang", "concat('some words ', id) text")
+    assert len(langid.train_on(many).names) == 150
+    assert len(langid.train_on(many).predict([b"some words"])[0]) == 1
+
+
 def test_exact_likelihoods(monkeypatch):
     monkeypatch.setattr(hmm, "SEGMENT", 3)
     rng = np.random.default_rng(1)
