@@ -91,7 +91,7 @@ def golden_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """The golden set written as JSON lines in the order of its cases and read with their line numbers."""
     path = scratch_path(spark, "golden-jsonl")
     lines = _golden(spark, sf).orderBy("case_id").select(F.to_json(F.struct("question", "must_contain", "must_not_contain", "category")).alias("value"))
-    lines.coalesce(1).write.text(path)
+    lines.write.text(path)  # sorted ranges, which are read in path order
     read = readers.read_golden(spark, path)
     return read.select(
         "case_id", "question", F.array_join("must_contain", "|").alias("must"), F.array_join("must_not_contain", "|").alias("banned"), "category"
@@ -1001,8 +1001,10 @@ def stream_late(spark: SparkSession, sf: str) -> DataFrame:
     new = t >= middle
     # a batch is held against the watermark of the one before it, so the newer half comes in two
     for half in (new & (F.col("event_id") % 2 == 0), new & (F.col("event_id") % 2 == 1), ~new):
-        events.where(half).coalesce(1).write.mode("append").parquet(path)
-    stream = runner.stream_files(spark, path, EVENT_SCHEMA).select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+        part = events.where(half).repartition(FILES_PER_SLICE, F.xxhash64("event_id"))
+        part.write.mode("append").parquet(path)
+    files = runner.stream_files(spark, path, EVENT_SCHEMA, files_per_batch=FILES_PER_SLICE)
+    stream = files.select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
     out, _ = runner.drain(windows.windowed_counts(stream, ["event_type"], "5 minutes"), "stream-late")
     return out.select(epoch(F.col("window_start")).alias("window_start"), "event_type", "n")
 
