@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import embedding_dedup, encode, langid, license_scan, line_crf, lm_score, packing, sharding, simhash, wrapper
+from millrace.llm import (
+    embedding_dedup, encode, importance, langid, license_scan, line_crf, lm_score, packing, pretokens, sharding, simhash, turn_repair, wrapper,
+)
 from millrace.llm.common import table
 
-WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
+WORD_FILE, BYTE_FILE, RANK_FILE = "word_bpe_49k.json", "byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken"
 
 
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +61,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_FILE))
 
 
+def op11_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(turn_repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op12_pretokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path, pattern = public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN
+    return pretokens.digests(pretokens.encode(docs, path, pattern, decoded=True))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_hmm": op2_hmm,
@@ -70,8 +87,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_crf": op8_line_crf,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
+    "op11_turns": op11_turns,
+    "op12_pretokens": op12_pretokens,
+    "op13_resampling": op13_resampling,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_licenses": license_scan.oracle(),
+    "op13_resampling": importance.oracle(),
 }
