@@ -17,8 +17,8 @@ tokens are ordinary text. An empty table gives an empty table. Other columns are
 from __future__ import annotations
 
 import base64
-import heapq
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain, islice
 
 import numpy as np
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import ranges, slices, texts_of
 
 #: Most pre-tokens a task remembers; beyond that the table starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 #: Pre-tokens of a text that are handled at a time.
 CHUNK_WORDS = 1 << 18
 #: Keys in a bucket of the perfect hash, on average.
@@ -138,20 +138,28 @@ class Encoder:
         self.pieces[self.ids] = keys
         # White space by its Unicode property; the module's own class holds four separators more.
         self.split = regex.compile(pattern.replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}"))
+        #: Rank of two bytes, by their number; -1 if they are no entry.
+        self.first = [-1] * (1 << 16)
+        for key in keys:
+            if len(key) == 2:
+                self.first[key[0] << 8 | key[1]] = self.ranks[key]
         self.known: dict[str, tuple[int, ...]] = {}
 
     def merge(self, raw: bytes) -> tuple[int, ...]:
         """Ids of bytes that aren't an entry as a whole."""
-        rank_of, longest, n = self.ranks.get, self.hash.longest, len(raw)
+        rank_of, longest, n, first = self.ranks.get, self.hash.longest, len(raw), self.first
         after = list(range(1, n + 1))  # where the part that starts here ends
         before = list(range(-1, n))  # where the part before the one that starts here starts
-        wanted = [rank_of(raw[i : i + 2], -1) for i in range(n - 1)]  # rank of the pair that starts here
+        wanted = [first[a << 8 | b] for a, b in zip(raw, raw[1:])]  # rank of the pair that starts here
         wanted.append(-1)
-        heap = [r * n + i for i, r in enumerate(wanted) if r >= 0]  # rank first, then place
-        heapq.heapify(heap)
+        bits = n.bit_length()
+        places = (1 << bits) - 1
+        heap = [r << bits | i for i, r in enumerate(wanted) if r >= 0]  # rank first, then place
+        heapify(heap)
         while heap:
-            rank, start = divmod(heapq.heappop(heap), n)
-            if wanted[start] != rank:
+            least = heappop(heap)
+            start = least & places
+            if wanted[start] != least >> bits:
                 continue
             middle = after[start]
             end = after[start] = after[middle]
@@ -161,12 +169,12 @@ class Encoder:
                 if (stop := after[end]) - start <= longest:
                     new = wanted[start] = rank_of(raw[start:stop], -1)
                     if new >= 0:
-                        heapq.heappush(heap, new * n + start)
+                        heappush(heap, new << bits | start)
             if start:
                 left = before[start]
                 new = wanted[left] = rank_of(raw[left:end], -1) if end - left <= longest else -1
                 if new >= 0:
-                    heapq.heappush(heap, new * n + left)
+                    heappush(heap, new << bits | left)
         out, at = [], 0
         while at < n:
             out.append(self.ranks[raw[at : after[at]]])
@@ -180,16 +188,33 @@ class Encoder:
         ids = np.where(found >= 0, self.ids[found], -1).tolist()
         self.known.update((w, (i,) if i >= 0 else self.merge(b)) for w, b, i in zip(words, raw, ids))
 
-    def encode(self, text: str) -> np.ndarray:
-        parts, matches = [], self.split.finditer(text)
-        while words := [m[0] for m in islice(matches, CHUNK_WORDS)]:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            fresh = [w for w in set(words) if w not in self.known]
-            if fresh:
-                self.learn(fresh)
-            parts.append(np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.int32))
-        return np.concatenate(parts) if parts else np.empty(0, np.int32)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of every text; the pre-tokens of many short texts, or a part of those of a long one, are handled together."""
+        parts: list[list[np.ndarray]] = [[] for _ in texts]
+        words: list[str] = []
+        counts: list[tuple[int, int]] = []  # text and how many of the words are its own
+        for number, text in enumerate(texts):
+            matches = self.split.finditer(text)
+            while found := [m[0] for m in islice(matches, CHUNK_WORDS - len(words))]:
+                words += found
+                counts.append((number, len(found)))
+                if len(words) == CHUNK_WORDS:
+                    self._flush(words, counts, parts)
+        self._flush(words, counts, parts)
+        return [np.concatenate([np.empty(0, np.int32), *p]) if len(p) != 1 else p[0] for p in parts]
+
+    def _flush(self, words: list[str], counts: list[tuple[int, int]], parts: list[list[np.ndarray]]) -> None:
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        fresh = [w for w in set(words) if w not in self.known]
+        if fresh:
+            self.learn(fresh)
+        given = iter(words)
+        for number, n in counts:
+            ids = chain.from_iterable(map(self.known.__getitem__, islice(given, n)))
+            parts[number].append(np.fromiter(ids, np.int32))
+        words.clear()
+        counts.clear()
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(self.pieces[ids].tolist())
@@ -222,7 +247,7 @@ def encode(
         for batch in batches:
             raw = texts_of(batch.column(1))
             for a, b in slices([len(x) for x in raw]):
-                parts = [coder.encode(x.decode()) for x in raw[a:b]]
+                parts = coder.encode([x.decode() for x in raw[a:b]])
                 out = [batch.column(0).slice(a, b - a), _lists(parts)]
                 if decoded:
                     out.append(pa.array([coder.decode(p) for p in parts], pa.binary()))
