@@ -475,6 +475,31 @@ SELECT count(*) AS examples, CAST(count(*) FILTER (trim(answer) = '') + count(*)
     o["leakage"] = f"""WITH {DOC_PROMPTS}, {split_ctes('pairs', 'pos')}
 SELECT md5(key) AS key_md5, CAST(count(DISTINCT split) - 1 AS BIGINT) AS leaks FROM (SELECT {leak_norm('question')} AS key, split FROM splits)
 GROUP BY key HAVING count(DISTINCT split) > 1"""
+    spans = f"""
+told AS (SELECT item_id AS item, list_filter(string_split({norm('text')}, ' '), lambda x: x <> '') AS t FROM benchmark),
+sized AS (SELECT item, t, CAST(least(len(t), 5) AS BIGINT) AS w FROM told WHERE len(t) > 0),
+runs AS MATERIALIZED (
+  SELECT DISTINCT item, w, r FROM (SELECT item, w, unnest(list_transform(range(1, len(t) - w + 2), lambda i: array_to_string(t[i:i + w - 1], ' '))) AS r FROM sized)),
+totals AS (SELECT item, count(*) AS size FROM runs GROUP BY item),
+said AS (SELECT doc_id, list_filter(string_split({norm('text')}, ' '), lambda x: x <> '') AS t FROM documents),
+ws AS (SELECT DISTINCT w FROM runs),
+places AS (SELECT doc_id, w, t, unnest(range(1, len(t) - w + 2)) AS i FROM said CROSS JOIN ws WHERE len(t) >= w),
+met AS (
+  SELECT p.doc_id, item, r, min(i) - 1 AS a, max(i) + p.w - 2 AS b FROM places p JOIN runs ON runs.w = p.w AND runs.r = array_to_string(t[i:i + p.w - 1], ' ')
+  GROUP BY p.doc_id, item, r, p.w),
+spans AS MATERIALIZED (
+  SELECT doc_id, item AS item_id, count(*) AS shared, any_value(size) AS size, round_even(count(*) / any_value(size), 9) AS share,
+    CAST(min(a) AS BIGINT) AS first_word, CAST(max(b) AS BIGINT) AS last_word
+  FROM met JOIN totals USING (item) GROUP BY doc_id, item HAVING count(*) >= 0.8::DOUBLE * any_value(size))"""
+    o["contamination_spans"] = f"WITH {spans} SELECT * FROM spans"
+    o["contamination_clean"] = f"""WITH {spans}
+SELECT lang, count(*) AS n, count(*) FILTER (doc_id NOT IN (SELECT doc_id FROM spans)) AS clean FROM documents GROUP BY lang"""
+    o["contamination_keys"] = f"""WITH {CONV_PAIRS},
+whole AS (SELECT id, question, category FROM pairs UNION ALL SELECT 'honesty.' || item_id, text, 'honesty' FROM benchmark),
+{split_ctes('whole', 'id')},
+golden AS (SELECT DISTINCT {leak_norm('text')} AS key FROM benchmark),
+keyed AS (SELECT s.split, g.key FROM splits s LEFT JOIN golden g ON g.key = {leak_norm('s.question')})
+SELECT split, count(*) AS examples, count(key) AS hits, count(DISTINCT key) AS golden FROM keyed GROUP BY split"""
     o["dataset_stats"] = f"""WITH {DOC_PROMPTS}, {split_ctes('pairs', 'pos')}
 SELECT CASE WHEN grouping(split) = 0 THEN 'split' WHEN grouping(category) = 0 THEN 'category' ELSE 'all' END AS level,
   coalesce(split, category, 'all') AS name, count(*) AS n, {places('sum(length(question)) / count(*)', 1)} AS avg_answer_chars
@@ -594,6 +619,12 @@ SELECT route, CAST(http_status AS BIGINT) AS status, label_variant AS variant, c
     o["latency_hist"] = f"WITH {COUNTED} {histogram('observed', ['route', 'variant'])}"
     o["latency_quantile"] = f"""WITH {COUNTED}, h AS ({histogram('observed', ['variant'])})
 SELECT variant, q, round_even(value, 6) AS value FROM ({quantiles('SELECT * FROM h', ['variant'], [0.5, 0.95, 0.99])})"""
+    o["latency_exact"] = f"""WITH {COUNTED}
+SELECT variant, q, n, round_even(d[i], 9) AS disc, round_even(c[i], 9) AS cont FROM (
+  SELECT variant, count(*) AS n, quantile_disc(latency_s, [0.5, 0.95, 0.99]) AS d, quantile_cont(latency_s, [0.5, 0.95, 0.99]) AS c FROM observed GROUP BY variant)
+CROSS JOIN (SELECT unnest([0.5::DOUBLE, 0.95, 0.99]) AS q, unnest([1, 2, 3]) AS i)"""
+    o["latency_sketch"] = f"""WITH {COUNTED}, w AS ({sliding('observed', ['variant'], 15)})
+SELECT variant, window_end, q, n, true AS as_stated FROM w CROSS JOIN (SELECT unnest([0.5::DOUBLE, 0.95, 0.99]) AS q)"""
     o["cache_ratio"] = f"""WITH RECURSIVE {cache_sql('status = 200')}
 SELECT count(*) FILTER (cache_result = 'hit') AS hits, count(*) FILTER (cache_result = 'miss') AS misses,
   round_even(count(*) FILTER (cache_result = 'hit') / count(*), 6) AS hit_ratio FROM cached"""

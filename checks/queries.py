@@ -12,8 +12,8 @@ from millrace.config import AlertRules, CurationRules, IngestRules, ServingLimit
 from millrace.functions import text
 from millrace.functions.hashing import seeded_order
 from millrace.operators import (
-    chat, dedup, drift, evaluation, guardrails, metrics, pii, quality, report, requests, retrieval, runs, split, traffic,
-    validate,
+    chat, contamination, dedup, drift, evaluation, guardrails, metrics, pii, quality, quantiles, report, requests, retrieval, runs,
+    split, traffic, validate,
 )
 from millrace.plans import curate as curate_plan
 from millrace.plans import observe as observe_plan
@@ -338,6 +338,39 @@ def leakage(spark: SparkSession, sf: str) -> DataFrame:
     return split.leaks(keys).select(F.md5("key").alias("key_md5"), F.col("leaks").cast("long").alias("leaks"))
 
 
+def _benchmark_spans(spark: SparkSession, sf: str) -> DataFrame:
+    return contamination.contamination_spans(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def contamination_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """Benchmark items of which four fifths of the five-word runs stand in a document."""
+    return _benchmark_spans(spark, sf).withColumn("share", F.bround("share", 9))
+
+
+@query
+def contamination_clean(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents per language, and how many hold no benchmark item."""
+    docs = table(spark, sf, "documents")
+    kept = contamination.decontaminated(docs, _benchmark_spans(spark, sf)).groupBy("lang").agg(F.count(F.lit(1)).alias("clean"))
+    every = docs.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("n"))
+    joined = every.join(kept, F.col("_lang").eqNullSafe(F.col("lang")), "left")
+    return joined.select(F.col("_lang").alias("lang"), "n", F.coalesce("clean", F.lit(0)).cast("long").alias("clean"))
+
+
+@query
+def contamination_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Benchmark questions among the training examples, which took them in as honesty rows, split by split."""
+    items = table(spark, sf, "benchmark")
+    extra = items.select(
+        F.concat(F.lit("honesty."), F.col("item_id").cast("string")).alias("id"), F.col("text").alias("question"),
+        F.lit("I do not know.").alias("answer"),
+    )
+    examples = split.assign(chat.add_honesty(_chat_examples(spark, sf), extra, SYSTEM_PROMPT), "id")
+    golden = items.select(text.leakage_text(F.col("text")).alias("key"))
+    return contamination.key_report(contamination.marked_keys(split.leakage_keys(examples), golden))
+
+
 @query
 def dataset_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Rows and mean length per split and category."""
@@ -787,6 +820,33 @@ def latency_quantile(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.quantiles(hist, ["variant"], [0.5, 0.95, 0.99]).withColumn("value", F.bround("value", 6))
 
 
+@query
+def latency_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """M3: exact p50, p95, p99 of the observed latencies, by counting."""
+    log = _classified(spark, sf).where("latency_observed").select("variant", "latency_s")
+    found = quantiles.exact_quantiles(log, ["variant"], [0.5, 0.95, 0.99])
+    return found.withColumns({c: F.bround(c, 9) for c in ("disc", "cont")})
+
+
+@query
+def latency_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """M3: quantiles of fifteen-minute windows from minute sketches; whether their true rank is as near as stated."""
+    log = materialize(_classified(spark, sf).where("latency_observed").select("ts", "variant", "latency_s"), "observed")
+    windows_of = quantiles.sliding_sketches(quantiles.minute_sketches(log, ["variant"]), ["variant"], 15)
+    told = materialize(quantiles.sketch_quantiles(windows_of, [0.5, 0.95, 0.99]), "estimates")
+    values = log.select(
+        "variant", F.date_trunc("minute", "ts").alias("minute"), "latency_s"
+    ).groupBy("variant", "minute", "latency_s").agg(F.count(F.lit(1)).alias("c"))
+    ends = F.explode(F.sequence(F.col("minute") + F.expr("INTERVAL 1 MINUTE"), F.col("minute") + F.expr("INTERVAL 15 MINUTE"), F.expr("INTERVAL 1 MINUTE")))
+    met = values.select("variant", ends.alias("window_end"), "latency_s", "c").join(told, ["variant", "window_end"])
+    ranked = met.groupBy("variant", "window_end", "q", "n").agg(
+        F.sum(F.when(F.col("latency_s") < F.col("value"), F.col("c")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("latency_s") <= F.col("value"), F.col("c")).otherwise(0)).alias("upto"),
+    )
+    off = F.greatest(F.col("below") / F.col("n") - F.col("q"), F.col("q") - F.col("upto") / F.col("n"), F.lit(0.0))
+    return ranked.select("variant", epoch(F.col("window_end")).alias("window_end"), "q", "n", (off <= quantiles.RANK_ERROR).alias("as_stated"))
+
+
 @query
 def cache_ratio(spark: SparkSession, sf: str) -> DataFrame:
     """M4: hit ratio of the hourly cache."""
