@@ -23,7 +23,9 @@ from millrace.sources import readers, sinks
 from millrace.sources.tables import (
     conversation_pairs, document_answers, document_prompts, request_log, table, turn_key,
 )
+from millrace.streaming import alerts as alert_streams
 from millrace.streaming import runner, state, windows
+from millrace.streaming import sinks as stream_sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -1111,4 +1113,31 @@ def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("alert", epoch(F.col("started")).alias("started"), epoch(F.col("fired_at")).alias("fired_at"))
 
 
+@query
+def stream_alerts_all(spark: SparkSession, sf: str) -> DataFrame:
+    """ST4: all four alerts in one stream of the classified log, minutes out of order, for minutes the watermark has passed."""
+    reading = F.when(F.col("event_type").isin("click", "error"), (F.col("event_type") != "error").cast("long"))
+    log = _classified(spark, sf).select(
+        "ts", "request_id", "counted", "http_status", "label_variant", "latency_observed", "latency_s", reading.alias("up")
+    )
+    path = _sliced_files(materialize(log, "classified-log"), "ts", "request_id", "classified-files")
+    rows = runner.stream_files(spark, path, log.schema, files_per_batch=FILES_PER_SLICE).withColumn("series", F.lit("main"))
+    out, _ = runner.drain(alert_streams.alerts_of_log(rows, ALERTS), "stream-alerts-all")
+    return out.select("alert", epoch(F.col("started")).alias("started"), epoch(F.col("fired_at")).alias("fired_at"))
+
+
+@query
+def stream_block_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """ST5: documents as messages a minute apart; flagged ones to quarantine and their counts per hour, from one stream."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", F.timestamp_seconds(F.col("doc_id") * 60).alias("ts"))
+    path = _sliced_files(docs, "ts", "doc_id", "message-files")
+    stream = runner.stream_files(spark, path, docs.schema, files_per_batch=FILES_PER_SLICE)
+    root = scratch_path(spark, "blocks")
+    stream_sinks.quarantine(stream, root, scratch_path(spark, "blocks-progress"), "1 hour", message="text")
+    held = stream_sinks.quarantined(spark, root).groupBy(F.window("ts", "1 hour").alias("w"), "stage", "reason").agg(F.count(F.lit(1)).alias("quarantined"))
+    held = held.select(F.col("w.start").alias("window_start"), "stage", "reason", "quarantined")
+    joined = stream_sinks.block_counts(spark, root).join(held, ["window_start", "stage", "reason"], "full")
+    return joined.select(epoch(F.col("window_start")).alias("window_start"), "stage", "reason", "n", "quarantined")
+
+
 __all__ = ["QUERIES"]
