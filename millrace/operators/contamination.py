@@ -75,7 +75,7 @@ def contamination_spans(
         met = runs.join(F.broadcast(index), "h")
     else:
         part = F.pmod(F.xxhash64("doc", "first"), F.lit(SALTS))
-        spread = index.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+        spread = index.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
         met = runs.withColumn("_part", part).join(spread, ["h", "_part"])
     once = met.groupBy("doc", "item", "h").agg(
         F.min("first").alias("first"), F.max(F.col("first") + F.col("words") - 1).alias("last"), F.max("size").alias("size")

@@ -74,19 +74,17 @@ def exact_quantiles(rows: DataFrame, labels: Sequence[str], qs: Sequence[float],
     ranks = asked.select(*keys, F.explode(F.array("disc", "lo", "hi")).alias("rank")).distinct()
     # a rank's bucket is the digits above ``shift``; ``at`` is the rank within the bucket
     ranks = materialize(ranks.select(*keys, "rank", F.lit(0).cast("long").alias("bucket"), F.col("rank").alias("at")), "quantile-ranks")
-    shift = 63
+    shift, left = 63, totals.agg(F.sum("_n")).first()[0] or 0
     for low in DIGITS:
         inside = _inside(narrow, ranks, keys, shift)
-        left = totals.agg(F.sum("_n")).first()[0] if shift == 63 else ranks_left
-        if low == 0 or (left or 0) <= settled:
+        if low == 0 or left <= settled:
             break
         digit = F.shiftright("_b", low).alias("_d")
         counts = inside.groupBy(*keys, "bucket", digit).agg(F.count(F.lit(1)).alias("_n"))
         found = _descended(ranks, counts, keys)
         ranks = materialize(found.select(*keys, "rank", F.col("_d").alias("bucket"), "at", "_n"), "quantile-ranks")
-        ranks_left = ranks.select(*keys, "bucket", "_n").distinct().agg(F.sum("_n")).first()[0]
+        left = ranks.select(*keys, "bucket", "_n").distinct().agg(F.sum("_n")).first()[0]
         ranks, shift = ranks.drop("_n"), low
-    inside = _inside(narrow, ranks, keys, shift)
     counts = inside.groupBy(*keys, "bucket", F.col("_b").alias("_d")).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_v"))
     values = materialize(_descended(ranks, counts, keys, "_v").select(*keys, "rank", "_v"), "quantile-found")
 
