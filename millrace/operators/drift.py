@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +40,36 @@ def assemble(
     )
 
 
+def category_shift(
+    before: DataFrame, after: DataFrame, by: Sequence[str] = ("model",), category: str = "category", smoothing: float = 0.5
+) -> DataFrame:
+    """(by, n_before, n_after, shift): how far the categories of the prompts moved between two windows of rows.
+
+    ``shift`` is the Jensen-Shannon divergence in bits of the two category distributions: 0 for equal windows,
+    1 at most. Every category seen in either window gets ``smoothing`` more rows in both, so that a rare new
+    category moves it little. A null category is one of its own. Where one window has no rows the shift is null.
+    """
+    keys = list(by)
+    counts = functools.reduce(
+        DataFrame.unionByName,
+        [
+            window.groupBy(*keys, category).agg(*[F.count(F.lit(1) if i == j else F.lit(None)).alias(f"_n{j}") for j in (0, 1)])
+            for i, window in enumerate((before, after))
+        ],
+    )
+    cells = counts.groupBy(*keys, category).agg(F.sum("_n0").alias("_n0"), F.sum("_n1").alias("_n1"))
+    totals = cells.groupBy(*keys).agg(
+        F.sum("_n0").alias("n_before"), F.sum("_n1").alias("n_after"), F.count(F.lit(1)).alias("_c")
+    ).select(*[F.col(k).alias(f"_t{k}") for k in keys], "n_before", "n_after", "_c")
+    joined = cells.join(totals, [F.col(k).eqNullSafe(F.col(f"_t{k}")) for k in keys])
+    p, q = ((F.col(c) + smoothing) / (F.col(t) + F.col("_c") * smoothing) for c, t in (("_n0", "n_before"), ("_n1", "n_after")))
+    middle = (p + q) / 2
+    terms = (p * F.log2(p / middle) + q * F.log2(q / middle)) / 2
+    return joined.groupBy(*keys, "n_before", "n_after").agg(F.sum(terms).alias("_s")).select(
+        *keys, "n_before", "n_after", F.when((F.col("n_before") > 0) & (F.col("n_after") > 0), F.greatest("_s", F.lit(0.0))).alias("shift")
+    )
+
+
 def decide(signals: DataFrame, policy: DriftPolicy = DriftPolicy()) -> DataFrame:
     """Add ``retrain``, ``severity`` and ``reasons``. Any threshold breach is urgent; new data alone is routine."""
     drop = F.col("baseline_pass_rate") - F.col("golden_pass_rate")
