@@ -705,6 +705,7 @@ WHERE (w + 300) * 1000000 <= {closed} AND (t >= middle) GROUP BY ALL"""
 SELECT request_id, request_no, request_no <= 1 AS allowed, CAST(greatest(0, 1 - request_no) AS BIGINT) AS remaining FROM q WHERE (m + 1) * 60000 < {passed}"""
     o["stream_cache"] = f"""WITH RECURSIVE {cache_sql('status = 200')}
 SELECT request_id, cache_result FROM cached JOIN log USING (request_id) WHERE epoch_us(ts) // 1000 < {passed}"""
+    o["stream_quota_timers"], o["stream_cache_timers"] = o["stream_quota"], o["stream_cache"]
     o["stream_block_rates"] = f"""
 SELECT doc_id * 60 // 3600 * 3600 AS window_start, 'input' AS stage, i AS reason, count(*) AS n, count(*) AS quarantined
 FROM (SELECT doc_id, {screen_sql('text')} AS i FROM documents) WHERE i <> '' GROUP BY ALL"""

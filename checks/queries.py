@@ -24,7 +24,7 @@ from millrace.sources.tables import (
     conversation_pairs, document_answers, document_prompts, request_log, table, turn_key,
 )
 from millrace.streaming import alerts as alert_streams
-from millrace.streaming import runner, sample, state, windows
+from millrace.streaming import runner, sample, state, timers, windows
 from millrace.streaming import sinks as stream_sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1124,6 +1124,23 @@ def stream_cache(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("request_id", "cache_result")
 
 
+@query
+def stream_quota_timers(spark: SparkSession, sf: str) -> DataFrame:
+    """ST3 from slots and timers: the decisions of ``stream_quota``."""
+    out, _ = runner.drain(timers.quota_timers(_event_stream(spark, sf, shuffled=True), limit=1), "stream-quota-timers")
+    return out.select("request_id", "request_no", "allowed", "remaining")
+
+
+@query
+def stream_cache_timers(spark: SparkSession, sf: str) -> DataFrame:
+    """ST6 from slots and timers: the decisions of ``stream_cache``."""
+    log = _event_stream(spark, sf, shuffled=True).select(
+        "ts", "request_id", F.col("k").cast("string").alias("cache_key"), (F.col("event_type") != "error").alias("stores")
+    )
+    out, _ = runner.drain(timers.cache_timers(log), "stream-cache-timers")
+    return out.select("request_id", "cache_result")
+
+
 @query
 def stream_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """ST5: screening of a document stream, flagged rows to a quarantine table, counted by stage and reason."""

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from millrace.config import ServingLimits
 from millrace.operators import guardrails, metrics, traffic
-from millrace.streaming import runner, state, windows
+from millrace.streaming import runner, state, timers, windows
 
 SCHEMA = "request_id long, client string, ts timestamp, cache_key string, stores boolean, text string"
 
@@ -34,22 +34,25 @@ def passed(batch, ms):
     return batch.where(ms < last)
 
 
-def test_quota_stream_equals_batch(spark, log, tmp_path):
-    got, _ = runner.drain(state.quota_stream(log, 2), "t")
+@pytest.mark.parametrize("form", [state.quota_stream, timers.quota_timers])
+def test_quota_stream_equals_batch(spark, log, tmp_path, form):
+    got, _ = runner.drain(form(log, 2), "t")
     want = traffic.quota(as_batch(spark, tmp_path), ServingLimits(quota_per_minute=2))
     want = passed(want, F.unix_millis(F.col("window_start")) + 60_000)
     cols = ["request_id", "request_no", "allowed", "remaining"]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect())) != []
 
 
-def test_cache_stream_equals_batch(spark, log, tmp_path):
-    got, _ = runner.drain(state.cache_stream(log, 600), "t")
+@pytest.mark.parametrize("form", [state.cache_stream, timers.cache_timers])
+def test_cache_stream_equals_batch(spark, log, tmp_path, form):
+    got, _ = runner.drain(form(log, 600), "t")
     want = passed(traffic.cache_outcomes(as_batch(spark, tmp_path), stores="stores", ttl_s=600), F.floor(F.unix_micros("ts") / 1000))
     cols = ["request_id", "cache_result"]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect())) != []
 
 
-def test_order_of_files_and_chunks_does_not_matter(spark, tmp_path):
+@pytest.mark.parametrize(("quota", "cache"), [(state.quota_stream, state.cache_stream), (timers.quota_timers, timers.cache_timers)])
+def test_order_of_files_and_chunks_does_not_matter(spark, tmp_path, quota, cache):
     """One busy key in eight shuffled files of one batch, more rows than an Arrow chunk holds."""
     rows = spark.range(24_000).select(
         F.col("id").alias("request_id"), F.lit("one").alias("client"),
@@ -62,12 +65,12 @@ def test_order_of_files_and_chunks_does_not_matter(spark, tmp_path):
         for size in ("500", old):
             spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
             stream = runner.stream_files(spark, str(tmp_path / "in/*"), SCHEMA, files_per_batch=8)
-            got, _ = runner.drain(state.cache_stream(stream, 1), "t")
+            got, _ = runner.drain(cache(stream, 1), "t")
             want = passed(traffic.cache_outcomes(as_batch(spark, tmp_path), stores="stores", ttl_s=1), F.floor(F.unix_micros("ts") / 1000))
             cols = ["request_id", "cache_result"]
             assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect())) != []
             stream = runner.stream_files(spark, str(tmp_path / "in/*"), SCHEMA, files_per_batch=8)
-            got, _ = runner.drain(state.quota_stream(stream, 60), "t")
+            got, _ = runner.drain(quota(stream, 60), "t")
             want = passed(traffic.quota(as_batch(spark, tmp_path)), F.unix_millis(F.col("window_start")) + 60_000)
             cols = ["request_id", "request_no", "allowed"]
             assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect())) != []
@@ -114,3 +117,13 @@ def test_alert_hold_across_batches(spark, tmp_path):
     signals = runner.stream_files(spark, str(tmp_path / "s/*"), "alert string, minute timestamp, breached boolean, hold_min int")
     out, _ = runner.drain(state.alert_stream(signals), "t")
     assert [(r[0], r[1] / 60, r[2] / 60) for r in out.select("alert", F.unix_seconds("started"), F.unix_seconds("fired_at")).collect()] == [("x", 4, 7)]
+
+
+@pytest.mark.parametrize("form", [lambda s: timers.quota_timers(s, 2), lambda s: timers.cache_timers(s, 600)])
+def test_idle_keys_leave_no_state(spark, tmp_path, form):
+    """Three clients and four keys, then one later row of another: nothing of theirs is left when the watermark has passed them."""
+    early = [(i, f"u{i % 3}", i * 7.0, f"k{i % 4}", True, "x") for i in range(60)]
+    stream = batches(spark, str(tmp_path / "in"), [early, [(90, "later", 9_000.0, "other", True, "x")], [(91, "later", 20_000.0, "other", True, "x")]])
+    _, query = runner.drain(form(stream), "t")
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(held) > 6 and held[-1] <= 3  # the last row alone: its slot, its timer, its entry
