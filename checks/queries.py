@@ -1046,6 +1046,8 @@ EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string
 
 
 FILES_PER_SLICE = 8
+#: A given table is one file or a folder of files in no order of time: all of them make one batch.
+TABLE_FILES = 1_000_000
 
 
 def _sliced_files(rows: DataFrame, ts: str, key: str, label: str) -> str:
@@ -1066,7 +1068,7 @@ def _event_stream(spark: SparkSession, sf: str, shuffled: bool = False) -> DataF
         path = _sliced_files(rows, "ts", "event_id", "event-files")
         events = runner.stream_files(spark, path, EVENT_SCHEMA, files_per_batch=FILES_PER_SLICE)
     else:
-        events = runner.stream_files(spark, sf, EVENT_SCHEMA, "events.parquet")
+        events = runner.stream_files(spark, f"{sf}/events.parquet*", EVENT_SCHEMA, files_per_batch=TABLE_FILES)
     return events.select(
         F.col("event_id").alias("request_id"), F.col("ts").cast("timestamp").alias("ts"),
         F.concat(F.lit("user:"), F.col("user_id").cast("string")).alias("client"), "event_type",
@@ -1145,7 +1147,7 @@ def stream_cache_timers(spark: SparkSession, sf: str) -> DataFrame:
 def stream_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """ST5: screening of a document stream, flagged rows to a quarantine table, counted by stage and reason."""
     schema = "doc_id long, text string, lang string, source string, n_chars long"
-    docs = runner.stream_files(spark, sf, schema, "documents.parquet")
+    docs = runner.stream_files(spark, f"{sf}/documents.parquet*", schema, files_per_batch=TABLE_FILES)
     out, _ = runner.drain(windows.screened(docs, message="text").select("doc_id", "stage", "reason"), "stream-blocks")
     return out
 
