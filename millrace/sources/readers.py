@@ -130,15 +130,30 @@ def seeded_cap(df: DataFrame, rows: int, seed: int, row_id: str = "id") -> DataF
     The hash at that rank is found exactly and compared with each row's, so a
     large sample is not gathered in one task the way a sorted limit is. Ids may be
     blank or repeat: rows then go by their content, and of rows that are equal
-    throughout as many are taken as still fit.
+    throughout as many are taken as still fit. Only rows without an id and those
+    that tie at the cut are digested.
     """
-    keyed = df.withColumn("_k", _sampling_key(df, seed, row_id)).withColumn("_g", F.lit(0))
-    wanted = df.sparkSession.createDataFrame([(0, "cap", rows)], "_g int, name string, rank long")
-    cut = keys_at_ranks(keyed.select("_g", "_k"), ["_g"], "_k", wanted).first()
-    if cut is None:
+    blank = F.coalesce(F.col(row_id).cast("string"), F.lit("")) == ""
+    content = F.sha2(F.to_json(F.struct(*df.columns)), 256)
+    own = F.when(blank, F.sha2(F.concat(F.lit(f"{seed}|"), content), 256)).otherwise(seeded_order(seed, F.col(row_id)))
+    first = _cut(df.withColumn("_k", own), rows)
+    if first is None:
         return df
-    equal = keyed.where(F.col("_k") == cut["cut"]).limit(cut["at_cut"])
-    return keyed.where(F.col("_k") < cut["cut"]).unionByName(equal).drop("_k", "_g")
+    below, tied, left = first
+    second = _cut(tied.drop("_k").withColumn("_k", content), left)
+    if second is None:
+        return below.unionByName(tied).drop("_k")
+    inside, equal, left = second
+    return below.unionByName(inside).unionByName(equal.limit(left)).drop("_k")
+
+
+def _cut(keyed: DataFrame, rows: int) -> tuple[DataFrame, DataFrame, int] | None:
+    """The rows with keys below that at the rank, the rows with that very key, and how many of those still fit; None if all fit."""
+    wanted = keyed.sparkSession.createDataFrame([(0, "cap", rows)], "_g int, name string, rank long")
+    cut = keys_at_ranks(keyed.select(F.lit(0).alias("_g"), "_k"), ["_g"], "_k", wanted).first()
+    if cut is None:
+        return None
+    return keyed.where(F.col("_k") < cut["cut"]), keyed.where(F.col("_k") == cut["cut"]), cut["at_cut"]
 
 
 def with_pos(df: DataFrame, order: Sequence[Column]) -> DataFrame:
