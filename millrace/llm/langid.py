@@ -33,6 +33,8 @@ WINDOW, HIDDEN = 128, 8
 SAMPLE_WINDOWS, FULL_LANGUAGES = 1024, 128
 STEPS, BATCH, RATE = 200, 128, 0.02
 UNKNOWN = "und"
+#: Bytes of which noise is made that looks like an encoded file.
+ENCODED = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 #: Windows that run side by side; their states stay in a core's cache.
 SIDE_BY_SIDE = 4096
 LETTER = regex.compile(r"\p{L}")
@@ -203,8 +205,27 @@ def _slopes(params: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> list[np.n
     return slopes
 
 
-def train_on(docs: DataFrame) -> Network | None:
-    """A network from the documents whose crc32(doc_id) leaves a remainder other than 0 by 5."""
+def noise(parts: list[bytes], most: int) -> list[bytes]:
+    """Windows that no language wrote: the bytes of sampled windows in random order, random words, encoded bytes."""
+    rng = np.random.default_rng(0)
+    made = []
+    for i, k in enumerate(rng.permutation(len(parts))[:most].tolist()):
+        n = len(parts[k])
+        if i % 3 == 0:
+            made.append(rng.permutation(np.frombuffer(parts[k], np.uint8)).tobytes())
+        elif i % 3 == 1:
+            made.append(np.where(rng.random(n) < 0.17, 0x20, rng.integers(0x61, 0x7B, n)).astype(np.uint8).tobytes())
+        else:
+            made.append(rng.choice(np.frombuffer(ENCODED, np.uint8), n).tobytes())
+    return made
+
+
+def train_on(docs: DataFrame, with_noise: bool = False) -> Network | None:
+    """A network from the documents whose crc32(doc_id) leaves a remainder other than 0 by 5.
+
+    ``with_noise`` adds ``und`` as a label of its own, learned from noise made of as many windows as a language
+    has: a network for filtering, which can tell that a text is in none of the languages.
+    """
     known = docs.where(remainder(F.col("doc_id"), 5) != 0).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     if not sizes:
@@ -220,6 +241,9 @@ def train_on(docs: DataFrame) -> Network | None:
     for _, _, lang, part in found:
         if LETTER.search(part.decode()) and len(taken.setdefault(lang, [])) < most:
             taken[lang].append(part)
+    if with_noise and taken:
+        whole = [p for parts in taken.values() for p in parts if len(p) >= WINDOW // 2]
+        taken[UNKNOWN] = noise(whole, max(map(len, taken.values())))
     return train([(lang, part) for lang, parts in taken.items() for part in parts])
 
 
@@ -250,9 +274,20 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, network: Network | None) -> DataFrame:
-    """The documents, with all their columns, to which :func:`predict` gives a language."""
+    """The documents, with all their columns, that are in a learned language.
+
+    A text without a letter goes. With a network that has learned noise, a text of a whole window or more goes if
+    noise is likelier than all languages together over all its positions; a shorter one says too little and stays.
+    So a text in several learned languages stays, although none has most of it. Without a network nothing is known
+    and nothing stays.
+    """
 
     def keeps(texts: list[bytes]) -> np.ndarray:
-        return np.array(identify(texts, network)[0]) != UNKNOWN
+        if network is None:
+            return np.zeros(len(texts), bool)
+        worded = np.array([bool(LETTER.search(t.decode())) for t in texts], bool)
+        best, share = network.predict(texts)
+        noisy = np.array([network.names[i] == UNKNOWN for i in best], bool) & (share > 0.5)
+        return worded & ~(noisy & (np.array([len(t) for t in texts]) >= WINDOW))
 
     return retain(docs, keeps)

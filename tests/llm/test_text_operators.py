@@ -301,6 +301,42 @@ def test_language_on_held_out(spark, sf_dir, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns and kept.where("doc_id in (2, 3, 4, 8)").count() == 0
 
 
+def noise(chance):
+    """Texts of letters that no language wrote: encoded bytes and random words."""
+    import base64
+
+    for _ in range(20):
+        yield base64.b64encode(chance.randbytes(600)).decode()
+        yield " ".join("".join(chance.choices("abcdefghijklmnopqrstuvwxyz", k=chance.randint(2, 9))) for _ in range(120))
+
+
+def test_filter_decides_by_the_network(spark, monkeypatch):
+    """On held-out texts: clean ones and mixtures of languages stay, noise goes, which a test for letters would keep."""
+    import random
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    network = langid.train_on(docs, with_noise=True)
+    assert network.names == ["de", "en", "es", "fr", "und"]
+    held = docs.where("crc32(cast(cast(doc_id AS string) AS binary)) % 5 = 0 AND length(text) > 400 AND lang IS NOT NULL")
+    clean = [(r.doc_id, r.text, r.lang) for r in held.select("doc_id", "text", "lang").collect()]
+    by_lang = {}
+    for _, text, lang in clean:
+        by_lang.setdefault(lang, []).append(text)
+    groups = list(zip(*by_lang.values()))[:12]
+    mixed = [" ".join(x[:200] for x in g) for g in groups]  # about a window and a half of each
+    mixed += [" ".join(s for row in zip(*(x.split(".")[:6] for x in g)) for s in row) for g in groups]  # sentence by sentence
+    noisy = list(noise(random.Random(7)))
+    rows = [("clean", t) for _, t, _ in clean] + [("mixed", t) for t in mixed] + [("noise", t) for t in noisy]
+    made = spark.createDataFrame([(i, t, k) for i, (k, t) in enumerate(rows)], "doc_id long, text string, kind string")
+    kept = {r["kind"]: r["count"] for r in langid.keep_known(made, network).groupBy("kind").count().collect()}
+    assert kept["clean"] == len(clean) and kept["mixed"] == len(mixed)
+    assert kept.get("noise", 0) <= 0.05 * len(noisy)
+    plain = langid.train_on(docs)  # tells languages only, and so keeps whatever has a letter
+    assert langid.keep_known(made, plain).count() == made.count()
+    short = spark.createDataFrame([(1, "A."), (2, "qzx"), (3, ""), (4, None), (5, "12 !")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in langid.keep_known(short, network).collect()) == [1, 2]
+
+
 def test_filter_keeps_mixed_texts_and_all_languages(spark, sf_dir, monkeypatch):
     docs = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet")
     network = langid.train_on(docs)
