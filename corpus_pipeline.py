@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told."""
-    return langid.keep_known(docs, langid.train_on(docs))
+    """Documents in a language that occurs in them; those that read like noise go."""
+    return langid.keep_known(docs, langid.train_on(docs, with_noise=True))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
