@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -405,3 +406,29 @@ def test_scores(spark, sf_dir, odd_docs, no_docs, monkeypatch):
         if many:
             assert sum(r.score for r in held) > sum(r.base_score for r in held)
     assert lm_score.score(no_docs).count() == 0
+
+
+def test_long_texts_are_labelled_by_blocks():
+    rng = np.random.default_rng(11)
+    weights, moves = rng.normal(size=(line_crf.FEATURES, 2)), rng.normal(size=(2, 2))
+    for field in (line_crf.Field(weights, moves), line_crf.Field(np.round(weights), np.round(moves))):  # the second has ties
+        for n in (1, 2, 3, 5, 17, 100, 1001):
+            owner, bits = np.zeros(n, int), rng.integers(0, 1 << line_crf.FEATURES, n)
+            assert field.viterbi(owner, bits).tolist() == field.viterbi(owner, bits, block=1).tolist()
+        owner, bits = np.repeat(range(4), [3, 40, 1, 60]), rng.integers(0, 1 << line_crf.FEATURES, 104)
+        assert field.viterbi(owner, bits).tolist() == field.viterbi(owner, bits, block=30).tolist()
+    lines = [f"{i * 7919 % 100_003} a b" for i in range(200_000)]
+    field = line_crf.Field(weights, moves)
+    began = time.time()
+    found = line_crf.measure(["\n".join(lines).encode()], field)
+    assert time.time() - began < 30
+    assert found["n_words"][0] == 600_000 and found["n_dup_lines"][0] == 99_997
+    assert found["n_repeat_words"][0] == 600_000 - 3 * (100_003 - 99_997)
+
+
+def test_field_of_one_id_on_all_rows(spark):
+    rows = [(1, f"Line {i}.\nAnother line of text {i}.") for i in range(300)] + [(2, "# # |\n$ $ |")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    field = line_crf.train(docs, labels)
+    assert field is not None and field.viterbi(np.array([0]), np.array([0])).shape == (1,)
