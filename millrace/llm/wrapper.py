@@ -4,7 +4,8 @@ All pages of a host with different main texts are aligned, in groups of about ``
 after the other; their wrappers are aligned in groups again until one is left. Groups and
 orders go by hashes of the texts, so partitioning doesn't change them. Where the streams agree they are the wrapper; text that
 differs becomes a slot, elements that only some pages have become optional, and
-neighbours of one shape become a repeated group. Parts of the wrapper without a slot are
+groups of up to three neighbours that repeat become a repeated group, which takes all repeats of a page.
+The work of an alignment is bounded for pages of any length (``matches``); beyond it parts become optional, no text is lost. Parts of the wrapper without a slot are
 the host's template, and parts that are mostly links its menus.
 
 Every page is then matched against its host's wrapper. Text counts if it stands in the
@@ -28,7 +29,9 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable, Iterator
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 from difflib import SequenceMatcher
 
 import pyarrow as pa
@@ -47,6 +50,8 @@ SHARE, LAYOUT = 0.8, 0.2
 #: Texts counted for a part; beyond them the rarest are forgotten (Misra and Gries), which can only undercount.
 COUNTED = 256
 LINKS = 0.7
+#: Lists of parts are compared part by part up to this product of their lengths.
+WORK = 40_000
 BROADCAST_BYTES = 32 << 20
 BROADCAST_HOSTS = 200_000
 TEXT = "#"
@@ -103,18 +108,67 @@ def merge(a: Part, b: Part, same_page: bool = False) -> Part:
     return a
 
 
+def _greedy(left: Sequence[str], right: Sequence[str], ahead: int = 64) -> Iterator[tuple[int, int, int]]:
+    """Every left key with its next place on the right, if that is not far ahead."""
+    at = 0
+    for i, key in enumerate(left):
+        if key in (near := right[at : at + ahead]):
+            at += near.index(key) + 1
+            yield i, at - 1, 1
+
+
+def matches(left: Sequence[str], right: Sequence[str], work: int = WORK) -> list[tuple[int, int, int]]:
+    """Blocks (place left, place right, length) of keys that stand for each other, in order.
+
+    The longest common runs come first where the product of both lengths is small. Longer lists are cut at what
+    begins and ends both and at the keys that each has once, in the longest order they share; what lies between
+    two cuts and is still too long is matched key by key. So the work is bounded, and what isn't matched is only optional.
+    """
+    if left == right:
+        return [(0, 0, len(left))] if left else []
+    if len(left) * len(right) <= work:
+        return [m for m in SequenceMatcher(None, left, right, autojunk=False).get_matching_blocks() if m[2]]
+    n, m = len(left), len(right)
+    head = next(i for i in range(min(n, m) + 1) if i == min(n, m) or left[i] != right[i])
+    most = min(n, m) - head
+    tail = next(i for i in range(most + 1) if i == most or left[n - 1 - i] != right[m - 1 - i])
+    sides = [Counter(left[head : n - tail]), Counter(right[head : m - tail])]
+    place = {k: i for i, k in enumerate(right[head : m - tail], head) if sides[1][k] == 1}
+    once = [(i, place[k]) for i, k in enumerate(left[head : n - tail], head) if sides[0][k] == 1 and k in place]
+    # the longest chain of unique keys that rises on both sides
+    ends: list[int] = []
+    last: list[int] = []
+    before: list[int] = []
+    for number, (_, j) in enumerate(once):
+        at = bisect_left(ends, j)
+        before.append(last[at - 1] if at else -1)
+        ends[at : at + 1], last[at : at + 1] = [j], [number]
+    chain: list[tuple[int, int]] = []
+    number = last[-1] if last else -1
+    while number >= 0:
+        chain.append(once[number])
+        number = before[number]
+    found = [(0, 0, head)]
+    i, j = head, head
+    for a, b in [*reversed(chain), (n - tail, m - tail)]:
+        x, y = left[i:a], right[j:b]
+        if x and y:
+            inner = matches(x, y, work) if len(x) * len(y) <= work else _greedy(x, y)
+            found += [(i + p, j + q, size) for p, q, size in inner]
+        if a < n - tail:
+            found.append((a, b, 1))
+        i, j = a + 1, b + 1
+    found.append((n - tail, m - tail, tail))
+    return [f for f in found if f[2]]
+
+
 def align(left: list[Part], right: list[Part], same_page: bool = False) -> list[Part]:
     """Parts of both in order; what only one side has is optional. In a run of optional parts the order doesn't tell:
     what each side has in another place of the run is one part (layouts of a host meet in any order)."""
     out: list[Part] = []
     alone: dict[tuple[str, int], list[Part]] = {}
-    for kind, a, b, c, d in SequenceMatcher(None, [p.key for p in left], [p.key for p in right], autojunk=False).get_opcodes():
-        if kind == "equal":
-            for x, y in zip(left[a:b], right[c:d]):
-                out.append(merge(x, y, same_page))
-                if not out[-1].optional:
-                    alone.clear()
-            continue
+    a = c = 0
+    for b, d, n in [*matches([p.key for p in left], [p.key for p in right]), (len(left), len(right), 0)]:
         for side, parts in enumerate((left[a:b], right[c:d])):
             for part in parts:
                 part.optional = True
@@ -123,6 +177,11 @@ def align(left: list[Part], right: list[Part], same_page: bool = False) -> list[
                     continue
                 alone.setdefault((part.key, side), []).append(part)
                 out.append(part)
+        for x, y in zip(left[b : b + n], right[d : d + n]):
+            out.append(merge(x, y, same_page))
+            if not out[-1].optional:
+                alone.clear()
+        a, c = b + n, d + n
     return fold(out)
 
 
@@ -198,31 +257,42 @@ def infer(pages: list[str]) -> dict:
     return _told(whole, whole.pages)
 
 
+def _folded(slots: list[tuple[str, list]], longest: int = 3) -> list[tuple[str, list]]:
+    """:func:`fold` for the kids of a page, which stay apart: a slot holds all kids that repeat it."""
+    for width in range(1, longest + 1):
+        out: list[tuple[str, list]] = []
+        at = 0
+        while at < len(slots):
+            group = slots[at : at + width]
+            keys = [key for key, _ in group]
+            if len(group) == width and any(k != TEXT for k in keys) and [key for key, _ in out[-width:]] == keys:
+                for (_, held), (_, more) in zip(out[-width:], group):
+                    held.extend(more)
+                at += width
+            else:
+                out.append(slots[at])
+                at += 1
+        slots = out
+    return slots
+
+
 def _matched(node: Node, wrapper: dict | None) -> Iterator[tuple[Node | str, dict | None]]:
     """The node's kids, each with the wrapper part it matches."""
     kids = [k for k in node.kids if isinstance(k, Node) or k.strip()]
     if not wrapper or not wrapper["c"]:
         yield from ((k, None) for k in node.kids)
         return
-    # neighbours of one key are matched together, as the repeated group they may be
-    groups: list[list[Node | str]] = []
-    keys: list[str] = []
-    for kid in kids:
-        key = kid.key if isinstance(kid, Node) else TEXT
-        if keys and keys[-1] == key:
-            groups[-1].append(kid)
-        else:
-            keys.append(key)
-            groups.append([kid])
+    # the page is folded like the pages the wrapper is made of, so all repeats of a group meet the group's parts
+    keys = [kid.key if isinstance(kid, Node) else TEXT for kid in kids]
+    slots = [(key, [kid]) for key, kid in zip(keys, kids)]
     expected = [k["k"] for k in wrapper["c"]]
+    if keys != expected:
+        slots = _folded(slots)
+        keys = [key for key, _ in slots]
     part_for: dict[int, dict] = {}
-    if keys == expected:
-        for group, part in zip(groups, wrapper["c"]):
+    for a, b, n in matches(keys, expected):
+        for (_, group), part in zip(slots[a : a + n], wrapper["c"][b : b + n]):
             part_for.update((id(kid), part) for kid in group)
-    else:
-        for a, b, n in SequenceMatcher(None, keys, expected, autojunk=False).get_matching_blocks():
-            for group, part in zip(groups[a : a + n], wrapper["c"][b : b + n]):
-                part_for.update((id(kid), part) for kid in group)
     for kid in node.kids:
         yield kid, part_for.get(id(kid)) if isinstance(kid, Node) or kid.strip() else None
 

@@ -1,6 +1,8 @@
 """Sharding, vectors, pages, fingerprints and the pipeline against brute force."""
 
+import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -337,3 +339,33 @@ def test_pipeline(spark, sf_dir, odd_docs, no_docs):
         assert stage(spark, no_docs, sf_dir).count() == 0
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, odd_docs, sf_dir).columns == odd_docs.columns
+
+
+def test_wrapper_matches_every_repeat_of_a_group():
+    menu = "".join(f"<h4>Menu {i}</h4><ul><li><a href=x>Link {i}</a></li></ul>" for i in range(5))
+    pages = [f"<body>{menu}" + "".join(f"<p>Own words {p} {i} of it</p>" for i in range(3)) + "</body>" for p in range(12)]
+    told = wrapper.infer(pages)
+    for p, page in enumerate(pages):
+        assert wrapper.main_text(page, told) == " ".join(f"Own words {p} {i} of it" for i in range(3))
+    triple = "".join(f"<h4>Head {i}</h4><p>Note {i}</p><b>Mark {i}</b>" for i in range(4))
+    pages = [f"<body>{triple}<div>Text of page {p}</div></body>" for p in range(8)]
+    assert wrapper.main_text(pages[5], wrapper.infer(pages)) == "Text of page 5"
+
+
+def test_alignment_has_bounded_work():
+    rng = random.Random(7)
+    for n, m, kinds in [(0, 4, 2), (30, 40, 3), (40, 30, 60), (200, 180, 500), (25, 25, 1)]:
+        left, right = ([str(rng.randrange(kinds)) for _ in range(x)] for x in (n, m))
+        for a, b in ((left, right), (left, left), (left, left[: n // 2] + ["x"] + left[n // 2 :])):
+            for work in (0, 30, 10**6):
+                found = wrapper.matches(a, b, work)
+                assert all(a[i : i + k] == b[j : j + k] and k for i, j, k in found)
+                assert all(i + k <= p and j + k <= q for (i, j, k), (p, q, _) in zip(found, found[1:]))
+            if a is b or len(b) == len(a) + 1 and b is not right:
+                assert sum(k for _, _, k in wrapper.matches(a, b, 0)) == len(a)
+    page = lambda: "<body><p>" + "".join(f"<{x}>{rng.random():.4f}</{x}>" for x in rng.choices("biu", k=70_000)) + "</p></body>"
+    pages = [page() for _ in range(2)]
+    began = time.time()
+    told = wrapper.infer(pages)
+    text = wrapper.main_text(pages[0], told)
+    assert time.time() - began < 40 and text == wrapper.main_text(pages[0]) and len(text) == 420_000
