@@ -145,11 +145,23 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
+def node(rep: str, fp: str) -> Column:
+    """A fingerprint as a node: the one with the smallest document comes first, so that a component's root holds its id."""
+    return F.struct(F.col(rep).isNull().alias("none"), F.col(rep).alias("rep"), F.col(fp).alias("fp"))
+
+
 def links(prints: DataFrame, radius: int = RADIUS, shard: int = SHARD, masks: list[int] | None = None) -> DataFrame:
-    """Links ``a``, ``b`` that join all fingerprints within the radius; ``prints`` is a written table of distinct ``fp``."""
+    """Links ``a``, ``b`` that join all fingerprints within the radius; ``prints`` is a written table of distinct ``fp``.
+
+    Where it has the smallest doc_id of each, ``rep``, the links have those of both as ``a_rep`` and ``b_rep``.
+    """
+    carried = "rep" in prints.columns
+    names = ["a", "b", "a_rep", "b_rep"]
+    reps = F.col("rep") if carried else F.lit(None)
+    prints = prints.select("fp", reps.cast("long").alias("rep"))
     masks = masks or band_plan(prints.count(), radius)
     keys = F.array(*[F.struct(F.lit(i).alias("m"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("v")) for i, m in enumerate(masks)])
-    rows = prints.select("fp", F.inline(keys))
+    rows = prints.select("fp", "rep", F.inline(keys))
     sizes = rows.groupBy("m", "v").count().where(F.col("count") > 1)
     sizes = materialize(sizes.select("m", "v", F.ceil(F.col("count") / shard).cast("int").alias("parts")), "shard-sizes")
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
@@ -157,7 +169,7 @@ def links(prints: DataFrame, radius: int = RADIUS, shard: int = SHARD, masks: li
         F.sequence(F.lit(0), F.col("parts") - 1),
         lambda t: F.struct(F.least(t, own).alias("i"), F.greatest(t, own).alias("j"), (own > t).alias("second")),
     )
-    dealt = rows.join(sizes, ["m", "v"]).select("m", "v", "fp", F.inline(cells))
+    dealt = rows.join(sizes, ["m", "v"]).select("m", "v", "fp", "rep", F.inline(cells))
     cell = ["m", "v", "i", "j"]
     dealt = dealt.repartition(*[F.col(c) for c in cell]).sortWithinPartitions(*cell, "second", "fp")
 
@@ -165,40 +177,51 @@ def links(prints: DataFrame, radius: int = RADIUS, shard: int = SHARD, masks: li
         held: tuple = ()
         left: list[int] = []
         right: list[int] = []
+        known: dict[int, int | None] = {}
         out: list[tuple[int, int]] = []
+        ids: list[tuple[int | None, int | None]] = []
 
         def close() -> None:
             if held:
-                out.extend(_forest(left, None if held[2] == held[3] else right, radius))
+                found = list(_forest(left, None if held[2] == held[3] else right, radius))
+                out.extend(found)
+                ids.extend((known[a], known[b]) for a, b in found)
 
         def packed() -> pa.RecordBatch:
             made = np.array(out, np.uint64).reshape(-1, 2).view(np.int64)
+            sides = [pa.array([pair[i] for pair in ids], pa.int64()) for i in (0, 1)]
             out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(made[:, 0]), pa.array(made[:, 1])], names=["a", "b"])
+            ids.clear()
+            return pa.RecordBatch.from_arrays([pa.array(made[:, 0]), pa.array(made[:, 1]), *sides], names=names)
 
         for batch in batches:
             columns = {c: batch.column(c).to_pylist() for c in (*cell, "second")}
             values = batch.column("fp").to_numpy().view(np.uint64).tolist()
-            for *key, second, value in zip(*(columns[c] for c in cell), columns["second"], values):
+            reps = batch.column("rep").to_pylist()
+            for *key, second, value, rep in zip(*(columns[c] for c in cell), columns["second"], values, reps):
                 if tuple(key) != held:
                     close()
                     held, left, right = tuple(key), [], []
+                    known.clear()
+                known[value] = rep
                 (right if second else left).append(value)
             if len(out) > 10_000:
                 yield packed()
         close()
         yield packed()
 
-    return dealt.mapInArrow(run, "a long, b long")
+    made = dealt.mapInArrow(run, "a long, b long, a_rep long, b_rep long")
+    return made if carried else made.select("a", "b")
 
 
 def groups(prints: DataFrame) -> DataFrame:
     """Every document's ``fp`` and ``component_id``; ``prints`` is a written table of :func:`fingerprints`."""
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprints")
-    rooted = components(links(nodes.select("fp"))).withColumnRenamed("node", "fp")
-    joined = nodes.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = joined.groupBy("root").agg(F.min("rep").alias("component_id"))
-    known = materialize(joined.join(smallest, "root").select("fp", "component_id"), "components")
+    found = links(nodes).select(node("a_rep", "a").alias("a"), node("b_rep", "b").alias("b"))
+    rooted = components(found).select(F.col("node.fp").alias("fp"), F.col("root"))
+    joined = nodes.join(rooted, "fp", "left")
+    own = F.when(F.col("root").isNull(), F.col("rep")).otherwise(F.col("root.rep"))
+    known = materialize(joined.select("fp", own.alias("component_id")), "components")
     return prints.join(known, "fp")
 
 
