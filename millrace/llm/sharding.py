@@ -5,8 +5,9 @@ combined by adding the largest total of one to the smallest of the other, and so
 two with the largest spread go first, until one is left. This runs on two levels: the
 groups of a bucket (dealt by hash) are differenced in a task into as many parcels as
 there are shards, and the parcels of all buckets are differenced on the driver into the
-shards. The driver sees buckets x shards numbers; a bucket stands for up to
-``BUCKET_ROWS`` rows.
+shards. A bucket stands for up to ``BUCKET_ROWS`` rows. With more than ``LEVEL`` buckets their
+parcels are buckets' rows again, differenced in tasks level by level, until at most ``LEVEL``
+are left; the driver sees at most ``LEVEL`` x shards numbers whatever the table's size.
 
 A group that is larger than a shard's share is a parcel, and then a shard, of its own;
 no law on bytes can cut it.
@@ -38,6 +39,8 @@ SHARDS, BUCKETS, PARTS = 24, 256, 4096
 #: Rows for which a bucket is made at least, so that a task's heap stays small.
 BUCKET_ROWS = 200_000
 BROADCAST_PARCELS = 200_000
+#: Most buckets whose parcels are differenced together in a task, and in the end on the driver.
+LEVEL = 256
 
 
 def difference(parts: list[tuple[list[int], list[object]]]) -> tuple[list[int], list[object]]:
@@ -86,7 +89,8 @@ def split(sizes: list[int], ways: int) -> tuple[list[int], np.ndarray]:
 
 
 def _bucket_places(groups: DataFrame, ways: int) -> DataFrame:
-    """(bucket, digest, place, bytes); a task holds whole buckets, one after the other."""
+    """bucket, the second column (an item), bytes and place; a task holds whole buckets, one after the other."""
+    item = groups.schema[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -107,11 +111,33 @@ def _bucket_places(groups: DataFrame, ways: int) -> DataFrame:
         if held:
             yield close()
 
-    sorted_groups = groups.repartition("bucket").sortWithinPartitions("bucket", F.desc("bytes"), "digest")
-    return sorted_groups.mapInArrow(run, "bucket int, digest binary, bytes long, place int")
+    sorted_groups = groups.repartition("bucket").sortWithinPartitions("bucket", F.desc("bytes"), item.name)
+    return sorted_groups.mapInArrow(run, f"bucket int, {item.name} {item.dataType.simpleString()}, bytes long, place int")
+
+
+def _shard_of_places(placed: DataFrame, ways: int, buckets: int, level: int) -> DataFrame:
+    """bucket, place and shard, by differencing the parcels of ``level`` buckets at a time until the driver can do the rest."""
+    totals = placed.groupBy("bucket", "place").agg(F.sum("bytes").alias("bytes"))
+    below: list[DataFrame] = []
+    while buckets > level:
+        item = (F.col("bucket").cast("long") * ways + F.col("place")).alias("item")
+        parcels = totals.select(F.expr(f"bucket div {level}").cast("int").alias("bucket"), item, "bytes")
+        below.append(materialize(_bucket_places(parcels, ways), "parcels"))
+        totals = below[-1].groupBy("bucket", "place").agg(F.sum("bytes").alias("bytes"))
+        buckets = -(-buckets // level)
+    parcels = sorted((r["bucket"], r["place"], r["bytes"]) for r in totals.collect())
+    _, shard_of = split([n for _, _, n in parcels], ways)
+    found = [(bucket, place, int(shard)) for (bucket, place, _), shard in zip(parcels, shard_of)]
+    schema = T._parse_datatype_string("bucket int, place int, shard int")
+    chosen = placed.sparkSession.createDataFrame(found, schema)
+    for parcels in reversed(below):
+        chosen = parcels.join(chosen, ["bucket", "place"]).select(
+            F.expr(f"item div {ways}").cast("int").alias("bucket"), (F.col("item") % ways).cast("int").alias("place"), "shard"
+        )
+    return chosen
 
 
-def shards(docs: DataFrame, ways: int = SHARDS, buckets: int = BUCKETS, parts: int = PARTS) -> DataFrame:
+def shards(docs: DataFrame, ways: int = SHARDS, buckets: int = BUCKETS, parts: int = PARTS, level: int = LEVEL) -> DataFrame:
     """Every row's doc_id, size, text_crc32, shard and slot."""
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = docs.select(
@@ -126,13 +152,8 @@ def shards(docs: DataFrame, ways: int = SHARDS, buckets: int = BUCKETS, parts: i
     groups = rows.groupBy("digest").agg(F.sum("size").alias("bytes"))
     bucket = F.pmod(F.xxhash64("digest"), F.lit(buckets)).cast("int").alias("bucket")
     placed = materialize(_bucket_places(groups.select(bucket, "digest", "bytes"), ways), "places")
-    totals = placed.groupBy("bucket", "place").agg(F.sum("bytes").alias("bytes")).collect()
-    parcels = sorted((r["bucket"], r["place"], r["bytes"]) for r in totals)
-    _, shard_of = split([n for _, _, n in parcels], ways)
-    found = [(bucket, place, int(shard)) for (bucket, place, _), shard in zip(parcels, shard_of)]
-    schema = "bucket int, place int, shard int"
-    chosen = docs.sparkSession.createDataFrame(found, T._parse_datatype_string(schema))
-    chosen = F.broadcast(chosen) if len(found) <= BROADCAST_PARCELS else chosen
+    chosen = _shard_of_places(placed, ways, buckets, level)
+    chosen = F.broadcast(chosen) if buckets * ways <= BROADCAST_PARCELS else chosen
     of_group = placed.join(chosen, ["bucket", "place"]).select("digest", "shard")
     known = materialize(rows.join(of_group, "digest").select("doc_id", "size", "text_crc32", "shard", "row"), "sharded")
     part = F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int")

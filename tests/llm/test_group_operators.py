@@ -369,3 +369,34 @@ def test_alignment_has_bounded_work():
     told = wrapper.infer(pages)
     text = wrapper.main_text(pages[0], told)
     assert time.time() - began < 40 and text == wrapper.main_text(pages[0]) and len(text) == 420_000
+
+
+def test_shards_by_levels(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text")
+    groups = Counter()
+    for r in rows.collect():
+        groups[r.text] += len((r.text or "").encode()) + 8
+    for level in (2, 5):  # eleven buckets of some thirty rows: no better than the largest group is promised
+        got = sharding.shards(rows, ways=24, buckets=11, level=level).selectExpr("*", "'bytes' law", "null grown_shard").collect()
+        check_shards(rows.collect(), got)
+        totals = Counter()
+        for r in got:
+            totals[r.shard] += r["size"]
+        assert len(totals) == 24 and max(totals.values()) - min(totals.values()) <= max(groups.values())
+
+
+def test_fingerprints_whose_documents_repeat_an_id(spark):
+    texts = [" ".join(f"w{(k * n) % 97}" for n in range(40)) for k in (3, 5, 7, 11)]
+    near = texts[0] + " one"
+    rows = [(5, texts[0]), (5, texts[1]), (3, texts[0]), (None, texts[2]), (None, texts[2]), (9, texts[3]), (2, near)]
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    prints = [simhash.fingerprint(t.encode()) for _, t in rows]
+    group = list(range(len(rows)))
+    for _ in rows:
+        for i, a in enumerate(prints):
+            for j, b in enumerate(prints):
+                if (a ^ b).bit_count() <= 4:
+                    group[i] = group[j] = min(group[i], group[j])
+    least = {g: min((d for (d, _), h in zip(rows, group) if h == g and d is not None), default=None) for g in group}
+    want = Counter((d, f"{p:016x}", least[g]) for (d, _), p, g in zip(rows, prints, group))
+    assert Counter((r.doc_id, r.fingerprint, r.component_id) for r in got) == want
