@@ -97,14 +97,17 @@ def detect(docs: DataFrame, rules: Sequence[Rule] = tuple(RULES), text: str = "t
     table = F.array(*[F.struct(*[F.lit(getattr(r, f)).alias(f) for f in fields]) for r in rules])
     docs = docs.drop("words", "detections")
     whole = F.coalesce(F.col(text), F.lit(""))
-    lowered = computed_once(docs, {"_lower": F.lower(whole)})  # lowers more than A-Z, which the gate may
+    # working columns get names that the caller's columns don't have
+    used = {c.lower() for c in docs.columns}
+    lower, gated, space = (name + "_" * max((len(c) for c in used), default=0) for name in ("_lower", "_gate", "_spaced"))
+    lowered = computed_once(docs, {lower: F.lower(whole)})  # lowers more than A-Z, which the gate may
     gate = F.lit(False)
     for piece in sorted({r.gate for r in rules}):
-        gate = gate | F.contains(F.col("_lower"), F.lit(piece))
+        gate = gate | F.contains(F.col(lower), F.lit(piece))
     with_words = computed_once(
-        lowered.withColumn("_gate", gate).drop("_lower"), {"_spaced": F.when(F.col("_gate"), spaced_words(whole)).otherwise(F.lit(""))}
+        lowered.withColumn(gated, gate).drop(lower), {space: F.when(F.col(gated), spaced_words(whole)).otherwise(F.lit(""))}
     )
-    spaced = F.col("_spaced")
+    spaced = F.col(space)
     active = F.filter(table, lambda r: F.contains(spaced, r["keyword"]) & F.regexp_like(spaced, r["regex"]))
     found = _fold(F.flatten(F.transform(active, lambda r: _places(spaced, r))))
     none = F.array().cast(f"array<{DETECTION}>")
@@ -112,7 +115,7 @@ def detect(docs: DataFrame, rules: Sequence[Rule] = tuple(RULES), text: str = "t
         with_words,
         {"words": F.regexp_count(whole, F.lit(WORD)).cast("long"), "detections": F.when(spaced != "", found).otherwise(none)},
     )
-    return made.drop("_spaced", "_gate")
+    return made.drop(space, gated)
 
 
 def summary(detected: DataFrame) -> DataFrame:

@@ -432,3 +432,9 @@ def test_field_of_one_id_on_all_rows(spark):
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
     field = line_crf.train(docs, labels)
     assert field is not None and field.viterbi(np.array([0]), np.array([0])).shape == (1,)
+
+
+def test_license_scan_keeps_columns_of_its_own_names(spark):
+    docs = spark.createDataFrame([(1, "Under the MIT License", "a", "b", "c")], "doc_id long, text string, _lower string, _gate string, _spaced string")
+    [row] = license_scan.detect(docs).collect()
+    assert (row["_lower"], row["_gate"], row["_spaced"], row["words"]) == ("a", "b", "c", 4) and row["detections"]
