@@ -1,10 +1,10 @@
 """Licence scans with ordered signature rules, in DataFrame functions only.
 
 Most texts hold no keyword of any rule; their words are counted and that is all. The others
-become lower-cased words with a space on both sides of each, and each rule whose keyword
-occurs runs its regular expression; every place found is an interval of words. Intervals are sorted and
+become lower-cased words with a space on both sides of each; each keyword is looked for once, and the rules of
+those that occur run their regular expressions; every place found is an interval of words. Intervals are sorted and
 folded once: one that lies inside an earlier interval of the same or a higher priority
-is suppressed. All of it happens within the row, so nothing is shuffled and a lost task
+is suppressed. A text of very many mentions takes time in n ** 1.5 of them (:func:`running`). All of it happens within the row, so nothing is shuffled and a lost task
 repeats its own rows only.
 
 Null and empty texts have no words and no detections. Repeated rows give repeated
@@ -14,7 +14,8 @@ results. Other columns are passed through untouched by :func:`detect`, which rep
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 MARK = "\u0001"
 #: Confidence of a detection by the rule's priority.
 WEIGHTS = {1: 0.5, 2: 0.8, 3: 1.0}
+RULE_TABLE = "array<struct<keyword:string,rules:array<struct<number:int,label:string,regex:string,priority:int,base:boolean>>>>"
 DETECTION = "struct<start:int,end:int,label:string,priority:int,base:boolean,rule:int,kept:boolean>"
 
 
@@ -44,57 +46,101 @@ def word_count(spaced: Column) -> Column:
     return ((F.octet_length(spaced) - F.octet_length(F.replace(spaced, F.lit(" "), F.lit("")))) / 2).cast("int")
 
 
+def bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often and wherever it is used."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def running(items: Column, state: Column, add: Callable[[Column, Column], Column], join: Callable[[Column, Column], Column],
+            row: Callable[[Column, Column], Column], empty: str) -> Column:
+    """``row(state before x, x)`` of every item, in order: a scan in two levels.
+
+    A state grows by ``add(state, x)``, and ``join`` adds the states of two stretches. A list can only grow by
+    being copied, so items go in blocks of about the square root of their number: first the state ahead of every
+    block, then every block from its own state. ``n`` items take n ** 1.5 copies instead of n * n.
+    """
+    none = F.array().cast(f"array<{empty}>")
+
+    def scan(xs: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(xs))).cast("int")
+        blocks = F.when(F.size(xs) > 0, F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / width).cast("int")), lambda i: F.slice(xs, i * width + 1, width)
+        )).otherwise(F.slice(F.array(xs), 1, 0))
+        return bound(blocks, chained)
+
+    def chained(blocks: Column) -> Column:
+        sums = F.transform(blocks, lambda b: F.aggregate(b, state, add))
+        ahead = F.aggregate(
+            sums,
+            F.struct(state.alias("at"), F.slice(F.array(state), 1, 0).alias("out")),
+            lambda acc, s: F.struct(join(acc["at"], s).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+            lambda acc: acc["out"],
+        )
+        return F.flatten(F.zip_with(blocks, ahead, lambda block, at: F.aggregate(
+            block,
+            F.struct(at.alias("at"), none.alias("out")),
+            lambda acc, x: F.struct(add(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(row(acc["at"], x))).alias("out")),
+            lambda acc: acc["out"],
+        )))
+
+    return bound(items, scan)
+
+
 def _places(spaced: Column, rule: Column) -> Column:
     """Where a rule matches: (start, end) in words, end exclusive."""
     regex = rule["regex"]
-    found = F.regexp_extract_all(spaced, regex, F.lit(0))
-    before = F.transform(F.split(F.regexp_replace(spaced, regex, F.lit(MARK + "$0")), MARK), word_count)
-    none = F.array().cast("array<int>")
-    starts = F.aggregate(
-        F.slice(before, F.lit(1), F.size(found)),
-        F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"] + n)).alias("out")),
-        lambda acc: acc["out"],
-    )
-    return F.zip_with(
-        starts,
-        F.transform(found, word_count),
+    found = F.transform(F.regexp_extract_all(spaced, regex, F.lit(0)), word_count)
+    pieces = F.transform(F.split(F.regexp_replace(spaced, regex, F.lit(MARK + "$0")), MARK), word_count)
+    # a piece before a match starts at the match before it, so starts are sums of pieces
+    starts = running(pieces, F.lit(0), lambda at, n: at + n, lambda at, n: at + n, lambda at, n: at + n, "int")
+    return bound(found, lambda lengths: F.zip_with(
+        F.slice(starts, F.lit(1), F.size(lengths)),
+        lengths,
         # the order of the fields is the order of the fold: from the left, longer first, stronger first
         lambda start, n: F.struct(
             start.alias("start"), (-(start + n)).alias("reach"), (-rule["priority"]).alias("rank"), rule["number"].alias("rule"),
             rule["label"].alias("label"), rule["base"].alias("base"),
         ),
-    )
+    ))
 
 
 def _fold(places: Column) -> Column:
     """Detections in order, each with whether it is kept."""
     levels = sorted(WEIGHTS)
+    # e1 is the farthest end of any detection so far, e2 of those of priority 2 or more, ...
     ends = F.struct(*[F.lit(-1).alias(f"e{p}") for p in levels])
-    none = F.array().cast(f"array<{DETECTION}>")
 
-    def step(acc: Column, x: Column) -> Column:
+    def farther(ahead: Column, x: Column) -> Column:
+        end, priority = -x["reach"], -x["rank"]
+        return F.struct(*[F.when(priority >= p, F.greatest(ahead[f"e{p}"], end)).otherwise(ahead[f"e{p}"]).alias(f"e{p}") for p in levels])
+
+    def both(one: Column, other: Column) -> Column:
+        return F.struct(*[F.greatest(one[f"e{p}"], other[f"e{p}"]).alias(f"e{p}") for p in levels])
+
+    def detection(ahead: Column, x: Column) -> Column:
         end, priority = -x["reach"], -x["rank"]
         far = F.lit(-1)
         for p in levels:
-            far = F.when(priority == p, acc["ends"][f"e{p}"]).otherwise(far)
-        row = F.struct(
+            far = F.when(priority == p, ahead[f"e{p}"]).otherwise(far)
+        return F.struct(
             x["start"].alias("start"), end.alias("end"), x["label"].alias("label"), priority.alias("priority"),
             x["base"].alias("base"), x["rule"].alias("rule"), (far < end).alias("kept"),
         )
-        # e1 is the farthest end of any detection so far, e2 of those of priority 2 or more, ...
-        ahead = F.struct(
-            *[F.when(priority >= p, F.greatest(acc["ends"][f"e{p}"], end)).otherwise(acc["ends"][f"e{p}"]).alias(f"e{p}") for p in levels]
-        )
-        return F.struct(ahead.alias("ends"), F.concat(acc["out"], F.array(row)).alias("out"))
 
-    return F.aggregate(F.array_sort(places), F.struct(ends.alias("ends"), none.alias("out")), step, lambda acc: acc["out"])
+    return running(F.array_sort(places), ends, farther, both, detection, DETECTION)
+
+
+def rule_table(rules: Sequence[Rule]) -> Column:
+    """The rules by keyword, as one constant: an array of (keyword, rules)."""
+    by_keyword: dict[str, list[dict]] = {}
+    for r in rules:
+        by_keyword.setdefault(r.keyword, []).append({f: getattr(r, f) for f in ("number", "label", "regex", "priority", "base")})
+    table = json.dumps([{"keyword": k, "rules": group} for k, group in by_keyword.items()])
+    return F.from_json(F.lit(table), RULE_TABLE)
 
 
 def detect(docs: DataFrame, rules: Sequence[Rule] = tuple(RULES), text: str = "text") -> DataFrame:
     """``docs`` with ``words`` (their number) and ``detections``: intervals of words with label, priority, rule, kept."""
-    fields = ("number", "label", "keyword", "regex", "priority", "base")
-    table = F.array(*[F.struct(*[F.lit(getattr(r, f)).alias(f) for f in fields]) for r in rules])
     docs = docs.drop("words", "detections")
     whole = F.coalesce(F.col(text), F.lit(""))
     # working columns get names that the caller's columns don't have
@@ -108,7 +154,8 @@ def detect(docs: DataFrame, rules: Sequence[Rule] = tuple(RULES), text: str = "t
         lowered.withColumn(gated, gate).drop(lower), {space: F.when(F.col(gated), spaced_words(whole)).otherwise(F.lit(""))}
     )
     spaced = F.col(space)
-    active = F.filter(table, lambda r: F.contains(spaced, r["keyword"]) & F.regexp_like(spaced, r["regex"]))
+    groups = F.filter(rule_table(rules), lambda g: F.contains(spaced, g["keyword"]))
+    active = F.flatten(F.transform(groups, lambda g: F.filter(g["rules"], lambda r: F.regexp_like(spaced, r["regex"]))))
     found = _fold(F.flatten(F.transform(active, lambda r: _places(spaced, r))))
     none = F.array().cast(f"array<{DETECTION}>")
     made = computed_once(
