@@ -13,7 +13,8 @@ page's article or main element (in the whole page if there is none), not in a pa
 is marked as menu, header, footer, sidebar, notice, advert, form or comments, and not in
 template or menu parts of the wrapper; a weak mark (page_tree) doesn't count where the wrapper
 has slots and few links. A text is template where most pages with the part
-have that very text (``SHARE``, and ``LAYOUT`` of the host's pages). Inside an article only
+have that very text (``SHARE``, and ``LAYOUT`` of the host's pages); rare texts are dropped from the count as
+pages come, never one that more than ``LACK`` of the part's pages have, so the count's width follows a page and not the host. Inside an article only
 whole blocks are template, so that no sentence is torn, its h1 is never (a series may have
 one title), and a page that would lose three quarters of its article keeps all of it.
 
@@ -47,8 +48,8 @@ GROUP = 256
 TOLD = 3
 #: A template text is the text of this share of the pages that have the part, and of this share of all pages.
 SHARE, LAYOUT = 0.8, 0.2
-#: Texts counted for a part; beyond them the rarest are forgotten (Misra and Gries), which can only undercount.
-COUNTED = 256
+#: A part's count of a text lacks at most this share of the part's pages, however many texts it has (lossy counting).
+LACK = 1 / 256
 LINKS = 0.7
 #: Lists of parts are compared part by part up to this product of their lengths.
 WORK = 40_000
@@ -60,7 +61,7 @@ TEXT = "#"
 class Part:
     """A wrapper part: an element, or text with the number of pages for each text seen there."""
 
-    __slots__ = ("key", "kids", "texts", "optional", "repeated", "pages", "size", "linked", "apart", "weak")
+    __slots__ = ("key", "kids", "texts", "optional", "repeated", "pages", "size", "linked", "apart", "weak", "lost", "total")
 
     def __init__(self, key: str, text: str = ""):
         self.key = key
@@ -68,6 +69,7 @@ class Part:
         self.texts = {digest(text): 1} if text else {}
         self.optional = self.repeated = self.apart = self.weak = False
         self.pages, self.size, self.linked = 1, len(text), 0
+        self.lost, self.total = 0, len(self.texts)  # the most that a count lacks; all texts counted
 
 
 def digest(text: str) -> str:
@@ -94,17 +96,19 @@ def part_of(node: Node, linked: bool = False) -> Part:
 def merge(a: Part, b: Part, same_page: bool = False) -> Part:
     """One part that stands for both."""
     if a.key == TEXT:
+        a.total += b.total - sum(min(n, a.texts.get(text, 0)) for text, n in b.texts.items()) * same_page
         for text, n in b.texts.items():
             a.texts[text] = max(a.texts.get(text, 0), n) if same_page else a.texts.get(text, 0) + n
-        if len(a.texts) > COUNTED and not same_page:
-            rare = sorted(a.texts.values(), reverse=True)[COUNTED]
-            a.texts = {text: n - rare for text, n in a.texts.items() if n > rare}
+        a.lost = max(a.lost, b.lost) if same_page else a.lost + b.lost
     else:
         a.kids = align(a.kids, b.kids, same_page)
         a.apart, a.weak = a.apart and b.apart, (a.weak or b.weak) and a.apart and b.apart
     a.optional, a.repeated = a.optional or b.optional, a.repeated or b.repeated
     a.size, a.linked = a.size + b.size, a.linked + b.linked
     a.pages = max(a.pages, b.pages) if same_page else a.pages + b.pages
+    if (spare := int(LACK * a.pages) - a.lost) > 0:
+        a.texts = {text: n for text, n in a.texts.items() if n > spare}
+        a.lost += spare
     return a
 
 
@@ -207,14 +211,14 @@ def fold(parts: list[Part], longest: int = 3) -> list[Part]:
 
 def packed(part: Part) -> list:
     flags = part.optional + 2 * part.repeated + 4 * part.apart + 8 * part.weak
-    return [part.key, flags, part.pages, part.size, part.linked, part.texts, [packed(k) for k in part.kids]]
+    return [part.key, flags, part.pages, part.size, part.linked, part.lost, part.total, part.texts, [packed(k) for k in part.kids]]
 
 
 def unpacked(given: list) -> Part:
     part = Part(given[0])
     part.optional, part.repeated, part.apart, part.weak = (bool(given[1] & bit) for bit in (1, 2, 4, 8))
-    part.pages, part.size, part.linked, part.texts = given[2:6]
-    part.kids = [unpacked(k) for k in given[6]]
+    part.pages, part.size, part.linked, part.lost, part.total, part.texts = given[2:8]
+    part.kids = [unpacked(k) for k in given[8]]
     return part
 
 
@@ -228,7 +232,7 @@ def _has_slot(part: Part, pages: int) -> bool:
     if part.key != TEXT:
         return any(_has_slot(k, pages) for k in part.kids)
     fixed = _fixed(part, pages)
-    return not fixed or sum(part.texts[t] for t in fixed) < SHARE * sum(part.texts.values())
+    return not fixed or sum(part.texts[t] for t in fixed) < SHARE * part.total
 
 
 def _told(part: Part, pages: int) -> dict:

@@ -1,5 +1,6 @@
 """Sharding, vectors, pages, fingerprints and the pipeline against brute force."""
 
+import json
 import random
 import re
 import time
@@ -270,6 +271,21 @@ def test_wrapper_decides_inside_an_article():
     assert wrapper.main_text("<article><h1>x</h1><ul></ul><p>Printed in Bern</p></article>", told) == "x Printed in Bern"
 
 
+def test_counts_of_texts_hold_for_any_number_of_texts():
+    """A page with more fixed texts in one part than any page has rows to spare, and own texts that are forgotten."""
+    fixed = "".join(f"<p>Clause {j}</p>" for j in range(300))
+    pages = [f"<body><div class=law>{fixed}</div><div class=x><p>Text {i}</p></div></body>" for i in range(530)]
+    whole = wrapper.merged(wrapper.part_of(wrapper.read(page)) for page in pages)
+    law, own = (part.kids[0].kids[0] for part in whole.kids)
+    assert whole.pages == 530 and len(law.texts) == 300 and set(law.texts.values()) == {530}
+    assert law.lost == own.lost == 2 and law.total == 300 * 530 and own.total == 530 and len(own.texts) < 260
+    told = wrapper._told(wrapper.unpacked(json.loads(json.dumps(wrapper.packed(whole)))), 530)
+    assert wrapper.main_text(pages[7], told) == "Text 7"
+    # a part that half of its pages fill with texts of their own keeps its slot when those are forgotten
+    mixed = [f"<body><p>Text {i}</p><p>Always</p></body>" for i in range(520)]
+    assert wrapper.main_text(mixed[3], wrapper.infer(mixed)).startswith("Text 3")
+
+
 def test_names_that_only_look_like_marks():
     for name in ("no-sidebar", "has-sidebar", "layout-with-sidebar"):
         assert wrapper.main_text(f"<div class='{name}'><p>the text</p></div><div class=sidebar>x</div>") == "the text"

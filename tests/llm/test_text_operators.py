@@ -190,6 +190,20 @@ def test_license_places_and_suppression(spark):
     ]
 
 
+def test_many_mentions_in_one_text(spark):
+    """Places are exact over many blocks of the scan, and time grows little faster than the text."""
+    texts = {n: "x " + "mit license y gnu general public license " * n for n in (1, 7, 300, 12_000)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    begun = time.time()
+    found = {r.doc_id: r.detections for r in license_scan.detect(docs).collect()}
+    assert time.time() - begun < 60
+    for n in (1, 7, 300):
+        base = [(d.start, d.end) for d in found[n] if d.base]
+        assert base == [p for i in range(n) for p in ((1 + 7 * i, 3 + 7 * i), (4 + 7 * i, 8 + 7 * i))]
+    assert brute_licenses(texts[300])[5] == ",".join(sorted({d.label for d in found[300] if d.base or d.kept}))
+    assert [d.start for d in found[12_000] if d.base and d.label == "gpl"] == [4 + 7 * i for i in range(12_000)]
+
+
 def test_licenses_equal_sql(spark, sf_dir):
     want = connect(sf_dir).execute(queries.ORACLE_SQL["op1_licenses"]).df()
     assert differences(queries.op1_licenses(spark, sf_dir).toPandas(), want) == ""
