@@ -3,9 +3,10 @@
 Rows wait in the state until the watermark has passed them and are then handled
 in time order (ties by id). So results depend neither on the order of files nor on how
 rows are cut into chunks, and equal those of the batch operators for every row
-the watermark has passed. A key holds the rows of the watermark's span, or of one
-minute for the quota; rows later than the watermark are dropped and counted by
-``runner.late_rows``.
+the watermark has passed. A key holds the rows of the watermark's span. For the quota a key
+is one of ``QUOTA_SHARES`` shares of all clients' minutes, decided for all of them at once, because a
+call of Python for every minute of every client costs far more than the decisions. Rows later than the
+watermark are dropped and counted by ``runner.late_rows``.
 """
 
 from __future__ import annotations
@@ -14,13 +15,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.streaming.runner import use_rocksdb
 
 MICROS = 1_000_000
+MINUTE_MS = 60_000
+#: Quota keys; part of the state's layout, so a stream keeps it for life.
+QUOTA_SHARES = 128
 
 
 def _gathered(chunks: Iterator[pd.DataFrame], columns: list[str], held: list[list]) -> list[np.ndarray]:
@@ -34,43 +38,61 @@ def _gathered(chunks: Iterator[pd.DataFrame], columns: list[str], held: list[lis
     return [a[order] for a in arrays]
 
 
+def quota_share() -> Column:
+    """The state key of a request: clients' minutes are independent, so a busy client is spread over time."""
+    return F.pmod(F.xxhash64("client", F.floor(F.col("t") / (60 * MICROS)).cast("long")), F.lit(QUOTA_SHARES)).cast("int")
+
+
+def quota_decisions(t: np.ndarray, ids: np.ndarray, clients: np.ndarray, limit: int) -> pd.DataFrame:
+    """Decisions for whole minutes of any number of clients; requests of a minute count in order of time, then id."""
+    who, names = pd.factorize(clients, use_na_sentinel=False)
+    order = np.lexsort((ids, t, who))
+    who, minute, at = who[order], t[order] // (60 * MICROS), np.arange(len(t), dtype=np.int64)
+    begins = np.ones(len(t), bool)
+    begins[1:] = (who[1:] != who[:-1]) | (minute[1:] != minute[:-1])
+    number = at - np.maximum.accumulate(np.where(begins, at, 0)) + 1
+    return pd.DataFrame(
+        {
+            "request_id": ids[order],
+            "client": names[who],
+            "minute": minute,
+            "request_no": number,
+            "allowed": number <= limit,
+            "remaining": np.maximum(0, limit - number),
+        }
+    )
+
+
 def quota_stream(log: DataFrame, limit: int = 60, watermark: str = "5 minutes") -> DataFrame:
-    """Quota decisions on a stream of (request_id, client, ts), one batch of them when a client's minute is over.
+    """Quota decisions on a stream of (request_id, client, ts), those of a client's minute together when it is over.
 
-    The key includes the minute, so a busy client is spread over time. State: the minute's requests.
+    State: a share's requests of the minutes that aren't over.
     """
     use_rocksdb(log.sparkSession)
-    t = F.unix_micros("ts")
-    keyed = log.withWatermark("ts", watermark).select(
-        "ts", "request_id", "client", t.alias("t"), F.floor(t / (60 * MICROS)).cast("long").alias("minute")
-    )
+    keyed = log.withWatermark("ts", watermark).select("ts", "request_id", "client", F.unix_micros("ts").alias("t"))
 
     def count(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        client, minute = key
-        held = list(state.get) if state.exists else [[], []]
-        if not state.hasTimedOut:
-            times, ids = _gathered(chunks, ["t", "request_id"], held)
-            state.update((times.tolist(), ids.tolist()))
-            state.setTimeoutTimestamp((int(minute) + 1) * 60_000)
+        t, ids, clients = (list(h) for h in state.get) if state.exists else ([], [], [])
+        for chunk in chunks if not state.hasTimedOut else ():
+            t += chunk["t"].tolist()
+            ids += chunk["request_id"].tolist()
+            clients += chunk["client"].tolist()
+        rows = np.array(t, np.int64), np.array(ids, np.int64), np.array(clients, object)
+        ends = (rows[0] // (60 * MICROS) + 1) * MINUTE_MS
+        over = ends < state.getCurrentWatermarkMs()
+        if over.any():
+            yield quota_decisions(*(r[over] for r in rows), limit)
+        if over.all():
+            if state.exists:
+                state.remove()
             return
-        _, ids = _gathered(iter(()), [], held)
-        state.remove()
-        number = np.arange(1, len(ids) + 1, dtype=np.int64)
-        yield pd.DataFrame(
-            {
-                "request_id": ids,
-                "client": client,
-                "minute": int(minute),
-                "request_no": number,
-                "allowed": number <= limit,
-                "remaining": np.maximum(0, limit - number),
-            }
-        )
-
-    return keyed.groupBy("client", "minute").applyInPandasWithState(
+        state.update(tuple(r[~over].tolist() for r in rows))
+        state.setTimeoutTimestamp(int(ends[~over].min()))
+
+    return keyed.withColumn("share", quota_share()).groupBy("share").applyInPandasWithState(
         count,
         outputStructType="request_id long, client string, minute long, request_no long, allowed boolean, remaining long",
-        stateStructType="t array<long>, request_id array<long>",
+        stateStructType="t array<long>, request_id array<long>, client array<string>",
         outputMode="append",
         timeoutConf=GroupStateTimeout.EventTimeTimeout,
     )
