@@ -1,9 +1,13 @@
 """Quota and cache decisions from map and value state with event-time timers.
 
 The same results as ``state.quota_stream`` and ``state.cache_stream``. There a key's state is one value that is
-read and written as a whole whenever the key has rows; here rows wait in slots of a minute, so a batch reads and
+read and written as a whole whenever the key has rows; here rows wait in slots of time, so a batch reads and
 writes only the slots it touches, a timer wakes a key when the watermark has passed something of it, and a
 key whose last slot and last entry are over leaves no state.
+
+Each access to the state is a message to the JVM, so a slot is an hour and not a minute: in a stream that keeps up, the
+watermark's span alone waits in it, and a backlog of months needs few messages. Timers follow the earliest
+row that waits, not the slot. Quota keys are shares of all clients' minutes, as in ``state.quota_stream``.
 """
 
 from __future__ import annotations
@@ -16,22 +20,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from millrace.streaming import state
 from millrace.streaming.runner import use_rocksdb
 
-MINUTE_MS = 60_000
+SLOT_MS = 3_600_000
 MICROS = 1_000_000
+#: Decisions that make one output frame at least, if so many are due.
+FRAME_ROWS = 10_000
 
 
-def _slots(rows: Iterator[pd.DataFrame], columns: list[str]) -> dict[int, list[list[int]]]:
-    """Rows by minute, one list per column; the first column is the time in microseconds."""
-    found: dict[int, list[list[int]]] = {}
-    for chunk in rows:
-        minute = chunk[columns[0]].to_numpy() // (MINUTE_MS * 1000)
-        for m in np.unique(minute).tolist():
-            part = chunk[minute == m]
-            for held, name in zip(found.setdefault(m, [[] for _ in columns]), columns):
-                held += part[name].astype("int64").tolist()
-    return found
+def _slots(rows: Iterator[pd.DataFrame], columns: dict[str, type]) -> dict[int, list[list]]:
+    """Rows by slot, one list per column; the first column is the time in microseconds."""
+    chunks = [[chunk[name].to_numpy().astype(kind) for name, kind in columns.items()] for chunk in rows]
+    arrays = [np.concatenate(parts) for parts in zip(*chunks)]
+    slot = arrays[0] // (SLOT_MS * 1000)
+    order = np.argsort(slot, kind="stable")
+    found, at = np.unique(slot[order], return_index=True)
+    parts = zip(*(np.split(a[order], at[1:]) for a in arrays))
+    return {m: [p.tolist() for p in part] for m, part in zip(found.tolist(), parts)}
 
 
 def _sorted(columns: list[list[int]]) -> list[np.ndarray]:
@@ -42,35 +48,60 @@ def _sorted(columns: list[list[int]]) -> list[np.ndarray]:
 
 
 class QuotaMinutes(StatefulProcessor):
-    """Requests of a client wait in their minute until the watermark closes it."""
+    """Requests of a share of the clients' minutes wait until the watermark closes their minute."""
 
     def __init__(self, limit: int):
         self.limit = limit
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "minute long", "t array<long>, request_id array<long>")
+        self.waiting = handle.getMapState("waiting", "slot long", "t array<long>, request_id array<long>, client array<string>")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for minute, columns in _slots(rows, ["t", "request_id"]).items():
-            if self.waiting.containsKey((minute,)):
-                columns = [[*old, *new] for old, new in zip(self.waiting.getValue((minute,)), columns)]
-            else:
-                self.handle.registerTimer((minute + 1) * MINUTE_MS)
-            self.waiting.updateValue((minute,), tuple(columns))
+        wake = None
+        for slot, columns in _slots(rows, {"t": np.int64, "request_id": np.int64, "client": object}).items():
+            wake = self._end(min(columns[0])) if wake is None else wake
+            if (old := self.waiting.getValue((slot,))) is not None:
+                columns = [[*held, *new] for held, new in zip(old, columns)]
+            self.waiting.updateValue((slot,), tuple(columns))
+        if wake < min(self.handle.listTimers(), default=wake + 1):
+            self.handle.registerTimer(wake)
         return iter(())
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        minute = expiredTimerInfo.getExpiryTimeInMs() // MINUTE_MS - 1
-        _, ids = _sorted([list(c) for c in self.waiting.getValue((minute,))])
-        self.waiting.removeKey((minute,))
-        number = np.arange(1, len(ids) + 1, dtype=np.int64)
-        yield pd.DataFrame(
-            {
-                "request_id": ids, "client": key[0], "minute": minute, "request_no": number, "allowed": number <= self.limit,
-                "remaining": np.maximum(0, self.limit - number),
-            }
-        )
+        passed = timerValues.getCurrentWatermarkInMs()
+        wake, due, n = None, [], 0
+        for slot in sorted(m for (m,) in self.waiting.keys()):
+            columns = self.waiting.getValue((slot,))
+            rows = [np.array(c, kind) for c, kind in zip(columns, (np.int64, np.int64, object))]
+            ends = self._end(rows[0])
+            over = ends < passed
+            if over.any():
+                due.append([r[over] for r in rows])
+                n += int(over.sum())
+            if not over.all():
+                wake = int(ends[~over].min())
+                if over.any():
+                    self.waiting.updateValue((slot,), tuple(r[~over].tolist() for r in rows))
+            else:
+                self.waiting.removeKey((slot,))
+            if n and (n >= FRAME_ROWS or wake is not None):
+                yield state.quota_decisions(*(np.concatenate(c) for c in zip(*due)), self.limit)
+                due, n = [], 0
+            if wake is not None:  # no minute of a later slot is over
+                break
+        if n:
+            yield state.quota_decisions(*(np.concatenate(c) for c in zip(*due)), self.limit)
+        for timer in list(self.handle.listTimers()):
+            if timer > passed:
+                self.handle.deleteTimer(timer)
+        if wake is not None:
+            self.handle.registerTimer(wake)
+
+    @staticmethod
+    def _end(t):
+        """End of the minute, in milliseconds."""
+        return (t // (60 * MICROS) + 1) * state.MINUTE_MS
 
     def close(self) -> None:
         pass
@@ -84,14 +115,14 @@ class CacheEntry(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "minute long", "t array<long>, request_id array<long>, stores array<long>")
+        self.waiting = handle.getMapState("waiting", "slot long", "t array<long>, request_id array<long>, stores array<long>")
         self.entry = handle.getValueState("entry", "until long")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        fresh = _slots(rows, ["t", "request_id", "stores"])
-        for minute in fresh:
-            if self.waiting.containsKey((minute,)):
-                fresh[minute] = [[*old, *new] for old, new in zip(self.waiting.getValue((minute,)), fresh[minute])]
+        fresh = _slots(rows, {"t": np.int64, "request_id": np.int64, "stores": np.int64})
+        for slot, columns in fresh.items():
+            if (old := self.waiting.getValue((slot,))) is not None:
+                fresh[slot] = [[*held, *new] for held, new in zip(old, columns)]
         yield from self._pass(key, fresh, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -101,26 +132,26 @@ class CacheEntry(StatefulProcessor):
         """Looks up what lies before the watermark, slot by slot; ``fresh`` slots are whole, the others are in the state."""
         known = self.entry.get()
         until = known[0] if known else None
-        minutes = sorted({*fresh, *(m for (m,) in self.waiting.keys())})
+        stored = {m for (m,) in self.waiting.keys()}
+        slots = sorted({*fresh, *stored})
         first = None  # the earliest request that still waits
-        for minute in minutes:
-            if minute * MINUTE_MS >= passed:
-                if minute in fresh:
-                    self.waiting.updateValue((minute,), tuple(fresh[minute]))
+        for slot in slots:
+            if slot * SLOT_MS >= passed:
+                if slot in fresh:
+                    self.waiting.updateValue((slot,), tuple(fresh[slot]))
                 if first is None:
-                    first = min(fresh[minute][0] if minute in fresh else self.waiting.getValue((minute,))[0])
+                    first = min(fresh[slot][0] if slot in fresh else self.waiting.getValue((slot,))[0])
                 continue
-            stored = self.waiting.containsKey((minute,))
-            columns = _sorted(fresh[minute] if minute in fresh else [list(c) for c in self.waiting.getValue((minute,))])
+            columns = _sorted(fresh[slot] if slot in fresh else [list(c) for c in self.waiting.getValue((slot,))])
             ready = int(np.searchsorted(columns[0], passed * 1000, side="left"))
             hit, until = self._look_up(columns[0][:ready], columns[2][:ready], until)
             if ready:
                 yield pd.DataFrame({"request_id": columns[1][:ready], "cache_key": key[0], "cache_result": np.where(hit, "hit", "miss")})
             if ready < len(columns[0]):
-                self.waiting.updateValue((minute,), tuple(c[ready:].tolist() for c in columns))
+                self.waiting.updateValue((slot,), tuple(c[ready:].tolist() for c in columns))
                 first = int(columns[0][ready]) if first is None else first
-            elif stored:
-                self.waiting.removeKey((minute,))
+            elif slot in stored:
+                self.waiting.removeKey((slot,))
         for timer in list(self.handle.listTimers()):
             if timer > passed:
                 self.handle.deleteTimer(timer)
@@ -157,7 +188,7 @@ def quota_timers(log: DataFrame, limit: int = 60, watermark: str = "5 minutes")
     use_rocksdb(log.sparkSession)
     keyed = log.withWatermark("ts", watermark).select("ts", "request_id", "client", F.unix_micros("ts").alias("t"))
     shape = "request_id long, client string, minute long, request_no long, allowed boolean, remaining long"
-    return keyed.groupBy("client").transformWithStateInPandas(QuotaMinutes(limit), shape, "Append", "EventTime")
+    return keyed.withColumn("share", state.quota_share()).groupBy("share").transformWithStateInPandas(QuotaMinutes(limit), shape, "Append", "EventTime")
 
 
 def cache_timers(log: DataFrame, ttl_s: int = 3600, watermark: str = "5 minutes") -> DataFrame:

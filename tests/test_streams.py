@@ -127,3 +127,28 @@ def test_idle_keys_leave_no_state(spark, tmp_path, form):
     _, query = runner.drain(form(stream), "t")
     held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
     assert max(held) > 6 and held[-1] <= 3  # the last row alone: its slot, its timer, its entry
+
+
+@pytest.mark.parametrize(
+    ("form", "most"),
+    [(lambda s: state.quota_stream(s, 2), state.QUOTA_SHARES), (lambda s: timers.quota_timers(s, 2), 5 * state.QUOTA_SHARES), (lambda s: timers.cache_timers(s, 600), 60)],
+)
+def test_a_backlog_is_few_state_entries(spark, tmp_path, form, most):
+    """Four hours in one batch: 2,000 minutes of clients (some unknown, some minutes with several rows) and four keys; the result equals a plain loop."""
+    early = [(i, f"u{i % 700}" if i % 9 else None, i // 3 * 19.0 + i % 3, f"k{i % 4}", i % 5 > 0, "x") for i in range(2200)]
+    stream = batches(spark, str(tmp_path / "in"), [early, [(9000, "later", 90_000.0, "k0", False, "x")]])
+    got, query = runner.drain(form(stream), "t")
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert 0 < max(held) <= most
+    want, seen, until = [], {}, {}
+    for i, client, s, key, stores, _ in sorted(early, key=lambda r: (r[2], r[0])):
+        if "request_no" in got.columns:
+            at = (client, (s + 6000) // 60)
+            seen[at] = seen.get(at, 0) + 1
+            want.append((i, client, int(at[1]), seen[at], seen[at] <= 2, max(0, 2 - seen[at])))
+        else:
+            hit = s < until.get(key, s)
+            want.append((i, key, "hit" if hit else "miss"))
+            if stores and not hit:
+                until[key] = s + 600
+    assert sorted(map(tuple, got.collect())) == sorted(want)
