@@ -14,6 +14,8 @@ from millrace.functions import fixed
 BROADCAST_BYTES = 64 * 1024 * 1024
 QUERY_BLOCK = 2048
 CHUNK_BLOCK = 8192
+#: Rough distances held at a time (16 MiB), whatever the blocks' sizes; a few arrays of this size live at once.
+ROUGH_CELLS = 1 << 21
 #: Queries whose candidates are measured again at a time; each may have a whole block of ties.
 TIE_ROWS = 16
 
@@ -21,27 +23,33 @@ TIE_ROWS = 16
 def _top(queries: np.ndarray, query_ids: np.ndarray, chunks: np.ndarray, chunk_ids: np.ndarray, k: int) -> pd.DataFrame:
     """The k nearest chunks of each query by (squared L2 distance, id).
 
-    One matrix product gives distances up to rounding; everything within the
+    A matrix product gives distances up to rounding; everything within the
     rounding margin of the k-th is then measured again by differences, so equal
-    vectors tie exactly and the order is that of the exact distances. That is done
-    for a few queries at a time, which bounds the memory however many chunks tie.
+    vectors tie exactly and the order is that of the exact distances. Both are done
+    for some queries at a time, which bounds the memory however large the blocks are and however many chunks tie.
     """
     k = min(k, len(chunk_ids))
-    q2 = np.einsum("ij,ij->i", queries, queries)
     c2 = np.einsum("ij,ij->i", chunks, chunks)
-    rough = q2[:, None] + c2[None, :] - 2.0 * (queries @ chunks.T)
-    kth = np.partition(rough, k - 1, axis=1)[:, k - 1]
-    near = rough <= (kth + 1e-9 * (1.0 + q2 + c2.max()))[:, None]
     _, place_of_id = np.unique(chunk_ids, return_inverse=True)  # ids of any kind, by their order
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for start in range(0, len(queries), TIE_ROWS):
-        rows, cols = np.nonzero(near[start : start + TIE_ROWS])
-        rows += start
-        exact = np.square(queries[rows] - chunks[cols]).sum(axis=1)
-        order = np.lexsort((place_of_id[cols], exact, rows))
-        rows, cols, exact = rows[order], cols[order], exact[order]
-        best = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
-        found.append((rows[best], cols[best], exact[best]))
+    step = max(1, ROUGH_CELLS // len(chunks))
+    for begin in range(0, len(queries), step):
+        some = queries[begin : begin + step]
+        q2 = np.einsum("ij,ij->i", some, some)
+        rough = some @ chunks.T
+        rough *= -2.0
+        rough += q2[:, None]
+        rough += c2
+        kth = np.partition(rough, k - 1, axis=1)[:, k - 1]
+        near = rough <= (kth + 1e-9 * (1.0 + q2 + c2.max()))[:, None]
+        for start in range(0, len(some), TIE_ROWS):
+            rows, cols = np.nonzero(near[start : start + TIE_ROWS])
+            rows += begin + start
+            exact = np.square(queries[rows] - chunks[cols]).sum(axis=1)
+            order = np.lexsort((place_of_id[cols], exact, rows))
+            rows, cols, exact = rows[order], cols[order], exact[order]
+            best = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+            found.append((rows[best], cols[best], exact[best]))
     rows, cols, exact = (np.concatenate(x) for x in zip(*found))
     return pd.DataFrame({"query_id": query_ids[rows], "id": chunk_ids[cols], "distance": exact})
 

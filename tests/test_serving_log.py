@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -224,6 +225,21 @@ def test_equal_vectors_need_little_memory():
     assert len(got) == 2100 and set(got["id"]) == {0, 1, 2}
 
 
+def test_block_product_holds_few_rough_distances():
+    """A whole query block against a whole chunk block: its 16.8 million distances (134 MB an array) never exist at once."""
+    g = np.random.default_rng(3)
+    queries, chunks = g.normal(size=(retrieval.QUERY_BLOCK, 8)), g.normal(size=(retrieval.CHUNK_BLOCK, 8))
+    tracemalloc.start()
+    try:
+        got = retrieval._top(queries, np.arange(len(queries)), chunks, np.arange(len(chunks)), 2)
+        assert tracemalloc.get_traced_memory()[1] < 100e6
+    finally:
+        tracemalloc.stop()
+    for i in (0, 255, 256, 2047):
+        exact = np.square(queries[i] - chunks).sum(axis=1)
+        assert got[got["query_id"] == i]["id"].tolist() == np.lexsort((np.arange(len(chunks)), exact))[:2].tolist()
+
+
 def test_context(spark):
     hits = spark.createDataFrame([(1, 2, 8), (1, 1, 9)], "query_id long, rank int, id long")
     chunks = spark.createDataFrame([(8, "eight"), (9, "nine")], "id long, text string")
