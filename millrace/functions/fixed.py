@@ -49,6 +49,9 @@ PII_PATTERNS = (
     ("PHONE", r"(?:\+?\d{1,3}[\s-]?)?(?:\(?\d{3,5}\)?[\s-]?)?\d{3}[\s-]?\d{4}\b"),
 )
 
+# What every match of PHONE ends with.
+PHONE_CORE = r"\d{3}[\s-]?\d{4}\b"
+
 # Entity names used by the "entity" placeholder style.
 PII_ENTITY_NAMES = {
     "EMAIL": "EMAIL_ADDRESS",

@@ -40,6 +40,8 @@ def redact(df: DataFrame, fields: Sequence[str], style: str = "bracket", enabled
             plain = F.regexp_replace(current[f], "(?U)" + pattern, placeholder(label, style).replace("$", "\\$"))
             if label == "EMAIL":
                 plain = F.when(F.contains(current[f], F.lit("@")), plain).otherwise(current[f])
+            if label == "PHONE":  # its optional beginnings are tried at every place, so the part that every match has goes first
+                plain = F.when(F.regexp_like(current[f], F.lit("(?U)" + fixed.PHONE_CORE)), plain).otherwise(current[f])
             replaced[name] = plain
         df = df.withColumns(replaced)
         steps += list(replaced)

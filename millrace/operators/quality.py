@@ -12,14 +12,27 @@ from millrace.functions.barrier import computed_once
 NGRAM = 3
 
 
+def _echo_tokens(words: Column) -> Column:
+    """Token set; a token made only of punctuation strips to the empty string and counts."""
+    return F.array_distinct(F.transform(words, lambda w: text.trimmed_lower(w, fixed.ECHO_STRIP)))
+
+
 def echo_ratio(question_words: Column, answer_words: Column) -> Column:
-    """Share of the answer's token set that also occurs in the question's.
+    """Share of the answer's token set that also occurs in the question's."""
+    q, a = _echo_tokens(question_words), _echo_tokens(answer_words)
+    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, q)) / F.size(a))
+
 
-    A token made only of punctuation strips to the empty string and counts.
+def is_echo(question_words: Column, answer_words: Column, max_ratio: float) -> Column:
+    """Whether ``echo_ratio`` is above ``max_ratio``.
+
+    The common tokens are at most the question's words. So if the answer's first words, twice as many as the question
+    would need and 16, already hold enough different tokens, the ratio can't be above, and the rest of the answer needn't be looked at.
     """
-    q = F.array_distinct(F.transform(question_words, lambda w: text.trimmed_lower(w, fixed.ECHO_STRIP)))
-    a = F.array_distinct(F.transform(answer_words, lambda w: text.trimmed_lower(w, fixed.ECHO_STRIP)))
-    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, q)) / F.size(a))
+    n_q = F.size(question_words)
+    begin = F.slice(answer_words, F.lit(1), (F.ceil(n_q / max(max_ratio, 0.05)) * 2 + 16).cast("int"))
+    below = n_q / F.size(_echo_tokens(begin)) <= max_ratio
+    return F.when(F.size(answer_words) > 0, ~below).otherwise(True) & (echo_ratio(question_words, answer_words) > max_ratio)
 
 
 def is_repetitive(answer_words: Column, max_ratio: float) -> Column:
@@ -83,6 +96,12 @@ def stopword_hits(answer_words: Column) -> Column:
     )
 
 
+def has_few_stopwords(answer_words: Column, least: int) -> Column:
+    """Whether ``stopword_hits`` is below ``least``; all words are looked at only if the first 64 don't have enough."""
+    begin = F.slice(answer_words, F.lit(1), F.lit(64))
+    return (stopword_hits(begin) < least) & (stopword_hits(answer_words) < least)
+
+
 def is_truncated(answer_words: Column) -> Column:
     """The answer, without trailing space, ends in neither final punctuation, a digit nor a code fence."""
     last_word = F.element_at(answer_words, -1)
@@ -95,8 +114,8 @@ def is_truncated(answer_words: Column) -> Column:
     return ~finished
 
 
-def is_refusal(answer: Column) -> Column:
-    lowered = F.lower(answer)
+def is_refusal(lowered: Column) -> Column:
+    """Whether a lower-cased answer has a phrase of refusal."""
     hit = F.lit(False)
     for phrase in fixed.REFUSAL_PHRASES:
         hit = hit | F.contains(lowered, F.lit(phrase))
@@ -117,13 +136,13 @@ def gate(pairs: DataFrame, rules: QualityRules = QualityRules(), language: str |
 
     ``language`` may name a column with a language code from an outside detector;
     then a pair is English iff the code is ``en``. Otherwise the function-word
-    rule decides. Word arrays are built once per row; the branches of the CASE
+    rule decides. Word arrays and the lower-cased answer are built once per row; the branches of the CASE
     are evaluated in order, so costly rules only see rows that passed the cheap ones.
     """
     q, a = F.col("question"), F.col("answer")
     qw, aw = F.col("_qw"), F.col("_aw")
     n_q, n_a = F.size(qw), F.size(aw)
-    not_english = F.col(language) != "en" if language else stopword_hits(aw) < rules.min_stopwords
+    not_english = F.col(language) != "en" if language else has_few_stopwords(aw, rules.min_stopwords)
     if language:
         not_english = F.coalesce(not_english, F.lit(True))
 
@@ -134,9 +153,9 @@ def gate(pairs: DataFrame, rules: QualityRules = QualityRules(), language: str |
         ("answer_length", ~n_a.between(rules.min_answer_words, rules.max_answer_words)),
     ]
     if rules.reject_refusals:
-        steps.append(("refusal", is_refusal(a)))
+        steps.append(("refusal", is_refusal(F.col("_low"))))
     steps += [
-        ("question_echo", echo_ratio(qw, aw) > rules.max_question_echo_ratio),
+        ("question_echo", is_echo(qw, aw, rules.max_question_echo_ratio)),
         ("repetition", is_repetitive(aw, rules.max_top_ngram_ratio)),
         ("all_caps", caps_ratio(aw) > rules.max_caps_ratio),
         ("symbol_ratio", symbol_ratio(a, aw) > rules.max_symbol_word_ratio),
@@ -150,8 +169,8 @@ def gate(pairs: DataFrame, rules: QualityRules = QualityRules(), language: str |
     reason = F.when(steps[0][1], F.lit(steps[0][0]))
     for name, failed in steps[1:]:
         reason = reason.when(failed, F.lit(name))
-    worded = pairs.withColumns({"_qw": text.words(q), "_aw": text.words(a)})
-    return computed_once(worded, {"reason": reason.otherwise(F.lit("ok"))}).drop("_qw", "_aw")
+    worded = pairs.withColumns({"_qw": text.words(q), "_aw": text.words(a), "_low": F.lower(a)})
+    return computed_once(worded, {"reason": reason.otherwise(F.lit("ok"))}).drop("_qw", "_aw", "_low")
 
 
 def accepted(gated: DataFrame) -> DataFrame:

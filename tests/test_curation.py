@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.config import CurationRules, QualityRules
-from millrace.functions import groups, text
+from millrace.functions import fixed, groups, text
 from millrace.operators import dedup, pii, quality, report
 from millrace.plans.curate import curate
 from millrace.session import materialize
@@ -230,3 +230,39 @@ def test_job_accounts_for_every_row(spark):
 def test_published_arithmetic(spark):
     counts = spark.createDataFrame([("a", "ok", 3499), ("a", "refusal", 1501)], "category string, reason string, n long")
     assert report.summary(counts).first()["survival_rate"] == 0.7
+
+
+def test_echo_is_decided_from_the_first_words_or_all(spark):
+    """The early decision equals the ratio on short, long and repeating answers, echoes late in the answer among them."""
+    rnd = random.Random(5)
+    pool = ["Fold,", "the", "sheets", "press", "flat!", "...", "(Then", "Été", "II", "x"]
+    rows = []
+    for i in range(400):
+        q = [rnd.choice(pool) for _ in range(rnd.randint(1, 9))]
+        other = [f"w{rnd.randint(0, 60)}" for _ in range(rnd.choice((0, 1, 2, 80)))]
+        a = [rnd.choice(q) for _ in range(rnd.choice((1, 5, 300)))]
+        rows.append((i, q, [a + other, other + a, other or a][i % 3]))
+    df = spark.createDataFrame(rows, "i int, q array<string>, a array<string>")
+    for most in (0.0, 0.3, 0.9):
+        got = df.select(quality.is_echo(F.col("q"), F.col("a"), most).alias("x"), (quality.echo_ratio(F.col("q"), F.col("a")) > most).alias("y"))
+        assert got.where("x is distinct from y").count() == 0 and got.where("x").count() > 0 < got.where("not x").count()
+
+
+def test_phones_are_found_by_their_core(spark):
+    texts = ["call +91 (987) 654-4321 now", "0123-4567", "no 123 456", "(555) 123-4567.", "12345678", "a1234567", "x 123 4567y", None, "١٢٣٤٥٦٧"]
+    df = pii.redact(spark.createDataFrame([(t,) for t in texts], "t string"), ["t"])
+    plain = spark.createDataFrame([(t,) for t in texts], "t string")
+    for _, pattern in fixed.PII_PATTERNS[:3]:
+        assert plain.where(F.regexp_like("t", F.lit("(?U)" + pattern))).count() == 0
+    want = plain.select(F.regexp_replace("t", "(?U)" + dict(fixed.PII_PATTERNS)["PHONE"], "[PHONE]").alias("t"))
+    assert [r["t"] for r in df.select("t").collect()] == [r["t"] for r in want.collect()]
+    assert df.where(F.array_contains("t_found", "PHONE")).count() == 6
+    assert df.where("t_found is null").count() == 0
+
+
+def test_stopwords_are_counted_until_there_are_enough(spark):
+    rnd = random.Random(7)
+    rows = [([rnd.choice(["the", "And,", "zug", "x"]) if rnd.random() < p else "haus" for _ in range(n)],) for n in (0, 1, 63, 64, 65, 300) for p in (0, 0.01, 0.05, 0.5) for _ in range(5)]
+    df = spark.createDataFrame([*rows, (["haus"] * 64 + ["the"] * 3,)], "a array<string>")
+    got = df.select(quality.has_few_stopwords(F.col("a"), 3).alias("x"), (quality.stopword_hits(F.col("a")) < 3).alias("y"))
+    assert got.where("x is distinct from y").count() == 0 and got.where("x").count() > 0 < got.where("not x").count()
