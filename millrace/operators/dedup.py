@@ -36,6 +36,8 @@ SPLIT_ROWS = 1000
 SPLIT_KEYS = 64
 SALT_ROWS = 200_000
 MAX_HEADS = 1000  # up to this width the rank filter is applied before the shuffle
+LISTED_ROWS = 2_000_000  # up to so many positions or pairs are broadcast to shingle sets, which then stay where they lie
+WIDE_BLOCK = 1_000_000  # up to so many rows in a block, rows of one shingle may meet in one partition
 EPS = 1e-9
 
 
@@ -99,6 +101,45 @@ def _alike_in_size(size_a: Column, size_b: Column, threshold: float) -> Column:
     return F.least(size_a, size_b) + EPS >= F.lit(threshold) * F.greatest(size_a, size_b)
 
 
+def _at(rows: DataFrame, positions: DataFrame, label: str) -> DataFrame:
+    """The rows at some positions. Up to ``LISTED_ROWS`` positions are broadcast, so that the rows themselves needn't shuffle."""
+    return rows.join(_listed(positions.select("pos").distinct(), label), "pos", "left_semi")
+
+
+def _listed(narrow: DataFrame, label: str) -> DataFrame:
+    """A narrow table, written, and marked for broadcast if it has at most ``LISTED_ROWS`` rows."""
+    narrow = materialize(narrow, label)
+    return F.broadcast(narrow) if narrow.count() <= LISTED_ROWS else narrow
+
+
+def _shared_shingles(sets: DataFrame) -> DataFrame:
+    """(pos, block, size, t, n): the shingles that ``n`` >= 2 rows of a block have.
+
+    Every shingle shuffles once: the counts are taken where the rows of a shingle meet, and the rows join them there.
+    A row has a shingle once, so no more rows meet than the block has; blocks of more than
+    ``WIDE_BLOCK`` rows count with partial sums first, and only they are written as rows.
+    """
+    wide = materialize(sets.groupBy("block").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > WIDE_BLOCK), "wide-blocks")
+    columns = ["pos", "block", "size", F.explode("sh").alias("t")]
+    if wide.isEmpty():
+        return _met(sets.select(*columns))
+    wide = F.broadcast(wide.select("block"))  # at most one for every WIDE_BLOCK rows
+    rows = materialize(sets.join(wide, "block", "left_semi").select(*columns), "shingle-rows")
+    shared = with_shared_size(rows, ["block", "t"], "shingle-counts")
+    return _met(sets.join(wide, "block", "left_anti").select(*columns)).unionByName(shared)
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """Rows with a shingle of their block that another row has, and their number.
+
+    Both readers ask for the same columns and neither adds a filter, so Spark shuffles the rows once for both;
+    the count names all columns for that.
+    """
+    met = rows.where("block is not null and t is not null").repartition("block", "t")
+    counts = met.groupBy("block", "t").agg(F.expr("count(pos, size)").alias("n")).where("n > 1")
+    return met.join(counts, ["block", "t"])
+
+
 def _prefixes(sets: DataFrame, threshold: float) -> DataFrame:
     """(pos, block, size, first, p): the shared shingles a similar set may start with, and one more.
 
@@ -106,8 +147,7 @@ def _prefixes(sets: DataFrame, threshold: float) -> DataFrame:
     come before all others and are not listed. ``first`` is how many listed shingles
     lie in the prefix; ``p`` has each with ``rem``, the number of shingles from it to the end.
     """
-    rows = materialize(sets.select("pos", "block", F.size("sh").alias("size"), F.explode("sh").alias("t")), "shingle-rows")
-    shared = with_shared_size(rows, ["block", "t"], "shingle-counts")
+    shared = _shared_shingles(sets)
     listed = shared.groupBy("pos", "block", "size").agg(F.array_sort(F.collect_list(F.struct("n", "t"))).alias("s"))
     size, alone = F.col("size"), F.col("size") - F.size("s")
     first = F.least(size - _required(size, threshold) + 1 - alone, F.size("s"))
@@ -173,12 +213,16 @@ def _entries(prefixes: DataFrame, threshold: float) -> DataFrame:
 def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Verified (a, b) among candidate pairs. Each row takes part in a bounded number of them.
 
-    The pairs are written first: with their size known, few of them are broadcast
-    to the sets, which then need not shuffle.
+    The pairs are written first and broadcast to the sets of their first rows, if not too many; only
+    the sets of their second rows shuffle, to meet them.
     """
     pairs = materialize(pairs.select("a", "b").distinct(), "near-pairs")
-    sa = sets.select(F.col("pos").alias("a"), F.col("sh").alias("_sa"))
-    sb = sets.select(F.col("pos").alias("b"), F.col("sh").alias("_sb"))
+    near_a = _at(sets, pairs.select(F.col("a").alias("pos")), "near-firsts")
+    near_b = _at(sets, pairs.select(F.col("b").alias("pos")), "near-seconds")
+    sa = near_a.select(F.col("pos").alias("a"), F.col("sh").alias("_sa"))
+    sb = near_b.select(F.col("pos").alias("b"), F.col("sh").alias("_sb"))
+    if pairs.count() <= LISTED_ROWS:
+        pairs = F.broadcast(pairs)
     return (
         pairs.join(sa, "a").join(sb, "b")
         .where(text.jaccard(F.col("_sa"), F.col("_sb")) >= threshold)
@@ -199,7 +243,7 @@ def _swept(kept_hot: DataFrame, rest: DataFrame, sets: DataFrame, threshold: flo
     """Rows of large buckets similar to a newly kept earlier row of the same bucket.
 
     A kept row may face a third of the table, so both joins on it are salted by
-    the bucket size.
+    the bucket size. Only the sets of rows in a pair take part.
     """
     parts = F.ceil(F.col("n") / SALT_ROWS).cast("int")
     salt = F.pmod(F.xxhash64("pos"), parts)
@@ -216,14 +260,17 @@ def _swept(kept_hot: DataFrame, rest: DataFrame, sets: DataFrame, threshold: flo
         .groupBy("a", F.col("pos").alias("b"))
         .agg(F.max("_parts").alias("_parts"))
     )
+    pairs = materialize(pairs, "near-swept")
     widest = kept_hot.groupBy(F.col("pos").alias("a")).agg(F.max(parts).alias("_w"))
     sets_a = (
-        sets.select(F.col("pos").alias("a"), F.col("sh").alias("_sa"))
+        _at(sets, pairs.select(F.col("a").alias("pos")), "near-firsts")
+        .select(F.col("pos").alias("a"), F.col("sh").alias("_sa"))
         .join(widest, "a")
         .withColumn("_s", F.explode(F.sequence(F.lit(0), F.col("_w") - 1)))
         .drop("_w")
     )
-    sets_b = sets.select(F.col("pos").alias("b"), F.col("sh").alias("_sb"))
+    sets_b = _at(sets, pairs.select(F.col("b").alias("pos")), "near-seconds")
+    sets_b = sets_b.select(F.col("pos").alias("b"), F.col("sh").alias("_sb"))
     return (
         pairs.withColumn("_s", F.pmod(F.xxhash64("b"), F.col("_parts")).cast("int"))
         .join(sets_a, ["a", "_s"])
@@ -235,21 +282,29 @@ def _swept(kept_hot: DataFrame, rest: DataFrame, sets: DataFrame, threshold: flo
 
 
 def near_duplicates(df: DataFrame, threshold: float, pos: str = "pos", field: str = "question") -> DataFrame:
-    """Positions of the rows that greedy keep-first removal drops."""
+    """Positions of the rows that greedy keep-first removal drops.
+
+    Shingles are made twice: of all rows for a narrow table of sizes and digests, and again of the rows that
+    may have a partner. Only these are written.
+    """
     sh = F.col("sh")
-    sets = shingle_table(df, pos, field).withColumns(
-        {"size": F.size(sh), "h1": F.xxhash64(sh), "h2": F.xxhash64(F.lit(7), sh)}
-    )
-    sets = materialize(sets, "shingles")
+    sets = shingle_table(df, pos, field)
+    brief = sets.select("pos", "block", F.size(sh).alias("size"), F.xxhash64(sh).alias("h1"), F.xxhash64(F.lit(7), sh).alias("h2"))
+    brief = materialize(brief, "shingles")
 
     # One row per (block, shingle set), from narrow columns only.
-    first = sets.groupBy("block", "h1", "h2").agg(F.min("pos").alias("pos"), F.max("size").alias("size"))
+    first = brief.groupBy("block", "h1", "h2").agg(F.min("pos").alias("pos"), F.max("size").alias("size"))
     first = materialize(first.select("pos", "block", "size"), "near-first")
-    copies = sets.select("pos").join(first.select("pos"), "pos", "left_anti")
+    copies = brief.select("pos").join(first.select("pos"), "pos", "left_anti")
     # A set of this size can match another one only if gaining one element keeps it at the threshold.
     able = first.where(F.col("size") / (F.col("size") + 1) >= threshold)
-    blocked = with_shared_size(able, ["block"], "block-sizes").select("pos")
-    usable = materialize(sets.select("pos", "block", "sh").join(blocked, "pos", "left_semi"), "near-sets")
+    blocked = materialize(with_shared_size(able, ["block"], "block-sizes").select("pos"), "near-blocked")
+    if blocked.count() <= LISTED_ROWS:
+        texts = df.select(F.col(pos).alias("pos"), field).join(F.broadcast(blocked), "pos", "left_semi")
+        usable = shingle_table(texts, "pos", field)
+    else:  # hashes shuffle, never texts
+        usable = materialize(sets, "all-sets").join(blocked, "pos", "left_semi")
+    usable = materialize(usable.select("pos", "block", F.size(sh).alias("size"), "sh"), "near-sets")
 
     prefixes = materialize(_prefixes(usable, threshold), "near-prefixes")
     entries = _entries(prefixes, threshold)

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -178,6 +179,57 @@ def test_low_limits_change_nothing(spark, monkeypatch):
     assert near(spark, rows, 0.6) == usual
 
 
+@pytest.mark.parametrize("listed,wide", [(0, 1_000_000), (5, 30), (2_000_000, 30)])
+def test_listed_rows_and_wide_blocks_change_nothing(spark, monkeypatch, listed, wide):
+    """Broadcast or shuffled positions, counts where rows meet or partial counts: the same rows are dropped."""
+    rng = random.Random(13)
+    base = [f"v{i}" for i in range(24)]
+    rows = []
+    for pos in range(120):
+        w = [f"b{pos % 3 if pos % 3 else pos % 5}"] + list(base)
+        for _ in range(rng.randint(0, 5)):
+            w[rng.randint(5, 24)] = f"z{rng.randint(0, 4)}"
+        rows.append((pos, " ".join(w)))
+    for name, value in (("LISTED_ROWS", listed), ("WIDE_BLOCK", wide), ("PAIR_LIMIT", 8)):
+        monkeypatch.setattr(dedup, name, value)
+    dropped = near(spark, rows, 0.6)
+    assert dropped
+    assert_keep_first(rows, dropped, 0.6)
+
+
+def test_only_rows_with_a_rival_write_shingles(spark, monkeypatch):
+    """Shingles are written once, of rows that share their block; those of the others and single rows of a shingle never."""
+    written = []
+
+    def counted(df, label):
+        out = materialize(df, label)
+        for c in {"sh", "p"} & set(df.columns):
+            written.append(out.agg(F.coalesce(F.sum(F.size(c)), F.lit(0))).first()[0])
+        if "t" in df.columns:
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(dedup, "materialize", counted)
+    alone = [(i, " ".join(f"a{i}x{j}" for j in range(30))) for i in range(200)]
+    rivals = [(1000 + i, "one two three four " + " ".join(f"r{i}x{j}" for j in range(28))) for i in range(20)]
+    assert near(spark, alone + rivals, 0.7) == set()
+    assert sum(written) == 20 * 30
+
+
+def test_shingle_rows_shuffle_once(spark):
+    """Of rows and counts of one shingle table, one shuffle serves both."""
+    rows = [(i, "one two three four " + " ".join(f"r{i % 7}x{j}" for j in range(20)) + f" e{i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "pos long, question string")
+    sets = dedup.shingle_table(df, "pos", "question").withColumn("size", F.size("sh"))
+    sets = materialize(sets, "test-sets")
+    shared = dedup._shared_shingles(sets)
+    got = {(r["pos"], r["t"]): r["n"] for r in shared.collect()}
+    held = [(r["pos"], r["block"], t) for r in sets.collect() for t in r["sh"]]
+    n = Counter((b, t) for _, b, t in held)
+    assert got == {(p, t): n[b, t] for p, b, t in held if n[b, t] > 1}
+    assert "ReusedExchange" in shared._jdf.queryExecution().executedPlan().toString()
+
+
 def test_template_rows_need_no_rounds(spark, monkeypatch):
     """Rows with one long template and rests of their own: as many written tables for 400 rows as for 3,000."""
     template = " ".join(f"t{i}" for i in range(60))
